@@ -149,9 +149,3 @@ def daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
         schemas.DAILY_VOLUME,
     )
 
-
-def requests(field: Field) -> DataFrame:
-    """Lookup requests of the field: its factor-linked pressures."""
-    from voidage.plans.pvt import requests_by_factor
-
-    return requests_by_factor(field.factors, field.pressures)
