@@ -49,9 +49,8 @@ def known_by_month_end(field: Field) -> DataFrame:
         F.sum("points").over(to_test).alias("KNOWN_POINTS"),
     )
     months = _asked(field).select("ID_COMPLETION", "VRR_DATE").distinct()
-    known = interval_join(
-        months, tests, ["ID_COMPLETION"], month_end(F.col("VRR_DATE")), "TEST_DATE", "END_DATE", "left"
-    )
+    ends = months.withColumn("MONTH_END", month_end(F.col("VRR_DATE")))
+    known = interval_join(ends, tests, ["ID_COMPLETION"], "MONTH_END", "TEST_DATE", "END_DATE", "left")
     none = F.lit(0).cast("bigint")
     return known.select(
         "ID_COMPLETION",
@@ -75,7 +74,7 @@ def interval_containment(field: Field) -> DataFrame:
         field.volumes.select("COMPLETION_ID", "ID_PATTERN", "PROD_DATE", "AMOUNT_TYPE"),
         pressure_intervals(field.pressures),
         ["ID_PATTERN"],
-        F.col("PROD_DATE"),
+        "PROD_DATE",
         "DATE",
         "END_DATE",
         "left",

@@ -74,15 +74,15 @@ def pvt_interp(field: Field) -> DataFrame:
 
 
 _GUARDED = (
-    "round(CASE WHEN r.PRESSURE BETWEEN least(a.PRESSURE, b.PRESSURE) AND greatest(a.PRESSURE, b.PRESSURE)"
-    " THEN {line} END, 5) AS {name}"
+    "CASE WHEN r.PRESSURE BETWEEN least(a.PRESSURE, b.PRESSURE) AND greatest(a.PRESSURE, b.PRESSURE)"
+    " THEN {line} END AS {name}"
 )
 
 
 @register(
     with_tables(
         "SELECT r.*, a.PRESSURE AS X1, b.PRESSURE AS X2, "
-        + ", ".join(_GUARDED.format(line=oracle.line("a", "b", p), name=p) for p in PROPERTIES)
+        + ", ".join(_GUARDED.format(line=oracle.ROUNDED["sql"](oracle.line("a", "b", p)), name=p) for p in PROPERTIES)
         + f""" FROM requests r JOIN up a ON {oracle.same_request('a')}
                JOIN (SELECT * FROM low UNION ALL SELECT * FROM up2) b ON {oracle.same_request('b')}""",
         "requests",

@@ -175,8 +175,10 @@ def _branch(name: str, conditions: list[str], a: str | None, b: str | None = Non
     )
 
 
+# round() of a double goes by its binary value here, which puts 1.103125 below
+# its half; as a decimal a half is a half.
 ROUNDED = {
-    "sql": lambda x: f"round({x}, 5)",
+    "sql": lambda x: f"CAST(round(CAST({x} AS DECIMAL(38, 12)), 5) AS DOUBLE)",
     "half_up": lambda x: f"floor(({x}) * 100000 + 0.5) / 100000",
 }
 

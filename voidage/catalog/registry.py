@@ -21,7 +21,7 @@ def register(sql: str | None = None, name: str | None = None) -> Callable:
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query registered twice: {key}")
-        QUERIES[key] = lambda spark, sf_dir: fn(derived.load(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: fn(derived.Field(spark, sf_dir))
         QUERIES[key].__doc__ = fn.__doc__
         if sql is not None:
             ORACLES[key] = sql

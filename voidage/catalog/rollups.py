@@ -24,13 +24,13 @@ from voidage.plans.vrr import (
 from voidage.sources.derived import Field
 from voidage.sources.schemas import PROPERTIES
 
-# Decimal places kept in the checks: ratios six, sums of doubles three.
+# Decimal places kept in the checks: ratios four, sums of doubles three.
 _EXACT = ("ID_PATTERN_VRR", "ID_PATTERN", "DATE", "PRESSURE")
 _RATIOS = ("VRR", "CUMULATIVE_VRR")
 
 
 def _places(name: str) -> int:
-    return 6 if name in _RATIOS else 3
+    return 4 if name in _RATIOS else 3
 
 
 def _settled(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -9,10 +9,15 @@ every request with every point of the completion.  Two steps avoid that:
   2^k consecutive tests, one for each binary digit of ``KNOWN``; each point is
   filed under the blocks that a prefix can use.  Repetition is logarithmic in
   the number of tests, which the calendar bounds.
-* Within a block, requests and points are sorted together by pressure and a
-  running "last point seen" gives the neighbours: linear work after the sort.
+* Within a block every point carries its neighbours, so a request only needs
+  the last point at or below its pressure: requests and points are sorted
+  together and "last point seen" is a running value.
 
 The few block results of a request are then reduced to one.
+
+A completion with very many requests is cut at quantiles of its requested
+pressures, and each piece starts with the point in force at its left edge; the
+pieces are then sorted by different tasks.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
 SCOPES = ("all_to_date", "active")
 
+#: Requests of one completion up to which one task handles them.
+PIECE = 1_000_000
+
 _BLOCK = ("ID_COMPLETION", "__size", "__block")
 
 # 2^17 - 1 test dates are 358 years of daily tests.
@@ -58,15 +66,14 @@ def with_known_tests(requests: DataFrame, pvt: DataFrame) -> DataFrame:
     Adds TEST_NO, TEST_DATE and END_DATE, so the requests must not have these.
     """
     return interval_join(
-        requests,
+        requests.withColumn("__month_end", month_end(F.col("VRR_DATE"))),
         numbered_tests(pvt).select("ID_COMPLETION", "TEST_NO", "TEST_DATE", "END_DATE"),
         on=["ID_COMPLETION"],
-        at=month_end(F.col("VRR_DATE")),
+        at="__month_end",
         start="TEST_DATE",
         end="END_DATE",
         how="left",
-        last_start=pvt.agg(F.max("TEST_DATE")).scalar(),
-    )
+    ).drop("__month_end")
 
 
 def _blocks_of_prefix(scope: str) -> tuple[Column, Column]:
@@ -87,20 +94,66 @@ def _blocks_of_test(scope: str) -> tuple[Column, Column]:
 
 
 def _levels(pvt: DataFrame, scope: str) -> DataFrame:
-    """One row per block and pressure: the point of the latest test, and a count."""
+    """Points per block in order of pressure, each with its neighbours.
+
+    One row per block and pressure, of equal pressures the latest test, plus
+    one row per block without a pressure that stands before the first.  A block
+    is sorted by one task, over distinct pressures only.
+    """
     sizes, block = _blocks_of_test(scope)
     point = F.struct("PRESSURE", "TEST_DATE", *PROPERTIES)
-    return (
+    distinct = (
         pvt.filter(F.col("PRESSURE").isNotNull())
         .join(numbered_tests(pvt).drop("END_DATE"), ["ID_COMPLETION", "TEST_DATE"])
         .withColumn("__size", F.explode(sizes))
         .withColumn("__block", block)
         .groupBy(*_BLOCK, "PRESSURE")
-        .agg(F.max(point).alias("__point"), F.count(F.lit(1)).alias("__points"))
+        .agg(F.max(point).alias("p"), F.count(F.lit(1)).alias("__points"))
+    )
+    in_block = W.partitionBy(*_BLOCK)
+    rising = in_block.orderBy("PRESSURE")
+    p, nothing = F.col("p"), F.lit(None)
+    neighbours = distinct.select(
+        *_BLOCK,
+        "PRESSURE",
+        p,
+        F.lag(p, 1).over(rising).alias("below"),
+        F.lag(p, 2).over(rising).alias("below2"),
+        F.lead(p, 1).over(rising).alias("above"),
+        F.lead(p, 2).over(rising).alias("above2"),
+        F.sum("__points").over(rising).alias("to_here"),
+        F.sum("__points").over(in_block).alias("all"),
+        "__points",
     )
+    here = F.struct(p, "below", "below2", "above", "above2", "to_here", "all", "__points")
+    none = F.lit(0).cast("bigint")
+    before = F.struct(
+        nothing.alias("p"),
+        nothing.alias("below"),
+        nothing.alias("below2"),
+        p.alias("above"),
+        F.col("above").alias("above2"),
+        none.alias("to_here"),
+        F.col("all"),
+        none.alias("__points"),
+    )
+    rows = F.when(F.col("below").isNull(), F.array(F.struct(F.lit(None).alias("x"), before.alias("level")), _row(here)))
+    return neighbours.select(*_BLOCK, F.explode(rows.otherwise(F.array(_row(here)))).alias("r")).select(
+        *_BLOCK, F.col("r.x").alias("__x"), F.col("r.level").alias("__level")
+    )
+
+
+def _row(level: Column) -> Column:
+    return F.struct(F.col("PRESSURE").alias("x"), level.alias("level"))
 
 
-def bracket(requests: DataFrame, pvt: DataFrame, scope: str = "all_to_date") -> DataFrame:
+def bracket(
+    requests: DataFrame,
+    pvt: DataFrame,
+    scope: str = "all_to_date",
+    piece: int = PIECE,
+    at_most: int | None = None,
+) -> DataFrame:
     """Add the nearest points of each request.
 
     ``requests`` are distinct rows with ID_COMPLETION, VRR_DATE and PRESSURE;
@@ -111,6 +164,9 @@ def bracket(requests: DataFrame, pvt: DataFrame, scope: str = "all_to_date") ->
 
     ``scope`` is ``all_to_date`` for the points of every test known by the end
     of the request's month, or ``active`` for those of the last such test only.
+    Of the completions with more than ``piece`` requests, the thousand largest
+    are cut into pieces.  ``at_most`` is a bound on the number of requests where
+    the caller knows one; otherwise they are counted, up to ``piece``.
     """
     if scope not in SCOPES:
         raise ValueError(f"unknown scope: {scope}")
@@ -128,8 +184,10 @@ def bracket(requests: DataFrame, pvt: DataFrame, scope: str = "all_to_date") ->
             "__request",
         )
     )
-    levels = _levels(pvt, scope).withColumnRenamed("PRESSURE", "__x")
-    found = _neighbours(levels, probes)
+    if at_most is None:
+        at_most = requests.limit(piece + 1).count()
+    cuts = _cuts(requests, piece) if at_most > piece else None
+    found = _floors(_levels(pvt, scope), probes, cuts)
     if scope == "active":
         return found.select("__request.*", *_FOUND)
     gathered = found.groupBy("__request").agg(
@@ -160,42 +218,82 @@ def _lowest(points: str) -> Column:
     return F.array_max(F.filter(points, lambda p: p.PRESSURE == pressure))
 
 
-def _neighbours(levels: DataFrame, probes: DataFrame) -> DataFrame:
-    """Probes with the levels around them, by sorting both together."""
-    block = W.partitionBy(*_BLOCK)
-    before = (W.unboundedPreceding, -1)
-    # At equal pressure probes come first, so that "before" is strict both ways.
-    rising = block.orderBy(F.col("__x").asc(), F.col("__is_level").asc()).rowsBetween(*before)
-    falling = block.orderBy(F.col("__x").desc(), F.col("__is_level").asc()).rowsBetween(*before)
+def _cuts(requests: DataFrame, piece: int) -> DataFrame:
+    """Quantiles of the requested pressures of completions with many requests.
+
+    Only the thousand largest are cut: any other has less than a thousandth of
+    the requests and is no task's bottleneck.  So there are at most a thousand
+    rows, of at most 255 cuts each.  Requests are distinct, so no pressure is
+    asked for on more days than there are.
+    """
+    counted = requests.groupBy("ID_COMPLETION").agg(F.count(F.lit(1)).alias("n"))
+    hot = counted.filter(F.col("n") > piece).orderBy(F.col("n").desc()).limit(1000).select("ID_COMPLETION")
+    quantiles = [i / 256 for i in range(1, 256)]
+    return (
+        requests.join(F.broadcast(hot), "ID_COMPLETION")
+        .groupBy("ID_COMPLETION")
+        .agg(F.array_sort(F.array_distinct(F.percentile_approx("PRESSURE", quantiles))).alias("__cuts"))
+    )
+
+
+def _floors(levels: DataFrame, probes: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """Probes with the last level at or below them, read out as neighbours."""
+    piece = F.lit(0)
+    if cuts is not None:
+        # The first piece holds what lies below the first cut, all of a
+        # completion without cuts, and the row before the first pressure.
+        small = F.broadcast(cuts)
+        edges = _left_edges(levels, small)
+        piece = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= F.col("__x"))), piece)
+        levels, probes = (df.join(small, "ID_COMPLETION", "left") for df in (levels, probes))
+    levels, probes = (df.withColumn("__piece", piece).drop("__cuts") for df in (levels, probes))
+    if cuts is not None:
+        levels = levels.unionByName(edges)
+    merged = levels.withColumn("__request", F.lit(None)).unionByName(
+        probes.withColumn("__level", F.lit(None))
+    )
+    # A level precedes the requests at its pressure.
+    rising = W.partitionBy(*_BLOCK, "__piece").orderBy(
+        F.col("__x").asc_nulls_first(), F.col("__level").isNull()
+    )
+    floor = F.last("__level", ignorenulls=True).over(rising.rowsBetween(W.unboundedPreceding, 0))
+    found = (
+        merged.withColumn("f", floor)
+        .filter(F.col("__request").isNotNull())
+        .select("__request", "f", (F.col("f.p.PRESSURE") == F.col("__x")).alias("hit"))
+    )
+    hit, f = F.coalesce("hit", F.lit(False)), F.col("f")
+    none = F.lit(0).cast("bigint")
+    return found.select(
+        "__request",
+        F.when(hit, f["p"]).alias("AT"),
+        F.when(hit, f["below"]).otherwise(f["p"]).alias("LOWER"),
+        F.when(hit, f["below2"]).otherwise(f["below"]).alias("LOWER2"),
+        f["above"].alias("UPPER"),
+        f["above2"].alias("UPPER2"),
+        F.coalesce(f["to_here"] - F.when(hit, f["__points"]).otherwise(none), none).alias("BELOW"),
+        F.coalesce(f["all"] - f["to_here"], none).alias("ABOVE"),
+    )
 
-    def last(value: Column, window) -> Column:
-        return F.last(value, ignorenulls=True).over(window)
 
-    def pair(neighbour: str) -> Column:
-        return F.when(
-            F.col("__is_level"), F.struct(F.col("__point").alias("near"), F.col(neighbour).alias("far"))
-        )
+def _left_edges(levels: DataFrame, cuts: DataFrame) -> DataFrame:
+    """For every piece of a cut block but the first, the level in force at its start.
 
-    merged = levels.withColumn("__is_level", F.lit(True)).unionByName(
-        probes.withColumn("__is_level", F.lit(False)), allowMissingColumns=True
+    The window runs over the pieces of a block, of which there are at most 256.
+    """
+    cut = levels.join(cuts, "ID_COMPLETION").withColumn(
+        "__piece", F.size(F.filter("__cuts", lambda cut: cut <= F.coalesce("__x", F.lit(float("-inf")))))
+    )
+    highest = cut.groupBy(*_BLOCK, "__piece", "__cuts").agg(
+        F.max_by("__level", F.coalesce("__x", F.lit(float("-inf")))).alias("__level")
+    )
+    pieces = highest.groupBy(*_BLOCK, "__cuts").agg(
+        F.map_from_entries(F.collect_list(F.struct("__piece", "__level"))).alias("__of")
     )
+    every = pieces.select(*_BLOCK, "__of", F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__piece"))
+    earlier = W.partitionBy(*_BLOCK).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
     return (
-        merged.withColumn("__previous", last(F.col("__point"), rising))
-        .withColumn("BELOW", F.coalesce(F.sum("__points").over(rising), F.lit(0)))
-        .withColumn("__lower", last(pair("__previous"), rising))
-        .withColumn("AT", F.max("__point").over(W.partitionBy(*_BLOCK, "__x")))
-        .withColumn("__next", last(F.col("__point"), falling))
-        .withColumn("ABOVE", F.coalesce(F.sum("__points").over(falling), F.lit(0)))
-        .withColumn("__upper", last(pair("__next"), falling))
-        .filter(~F.col("__is_level"))
-        .select(
-            "__request",
-            "AT",
-            F.col("__lower.near").alias("LOWER"),
-            F.col("__lower.far").alias("LOWER2"),
-            F.col("__upper.near").alias("UPPER"),
-            F.col("__upper.far").alias("UPPER2"),
-            "BELOW",
-            "ABOVE",
-        )
+        every.withColumn("__level", F.last(F.col("__of")[F.col("__piece")], ignorenulls=True).over(earlier))
+        .filter(F.col("__level").isNotNull())
+        .select(*_BLOCK, F.lit(None).cast("double").alias("__x"), "__level", "__piece")
     )

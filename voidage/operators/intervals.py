@@ -8,6 +8,7 @@ dates, and other tables then meet ``[start, end)`` through an equi-join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -15,6 +16,9 @@ from voidage.functions.dates import month_index, open_end
 
 _MONTH = "__month"
 
+#: Rows up to which intervals are sent to every task, after counting them.
+SMALL_ROWS = 200_000
+
 
 def next_distinct_date(df: DataFrame, keys: Sequence[str], date: str, end: str = "END_DATE") -> DataFrame:
     """Add the next later date of the key; rows that share a date share the end.
@@ -37,15 +41,49 @@ def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str
     return df.withColumn(end, F.coalesce(follows, open_end()))
 
 
+@dataclass(frozen=True)
+class Spread:
+    """What spreading intervals over calendar months comes to."""
+
+    last_month: int
+    rows: int
+
+    @property
+    def small(self) -> bool:
+        return self.rows <= SMALL_ROWS
+
+
+def measure(intervals: DataFrame, start: str, end: str) -> Spread:
+    """One pass over the intervals, at planning time, that returns one row.
+
+    It decides how the larger side of an interval join moves: not at all when
+    the intervals are few enough to be sent to it, by a shuffle otherwise.
+    """
+    first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
+    is_open = F.col(end) == open_end()
+    row = (
+        intervals.filter(F.col(start) < F.col(end))
+        .agg(
+            F.max(first).alias("last_month"),
+            F.count_if(is_open).alias("open"),
+            F.sum(F.when(is_open, first)).alias("open_from"),
+            F.sum(F.when(~is_open, last - first + 1)).alias("closed"),
+        )
+        .first()
+    )
+    last_month = row.last_month or 0
+    return Spread(last_month, (row.closed or 0) + row.open * (last_month + 1) - (row.open_from or 0))
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    at: Column,
+    at: str,
     start: str,
     end: str,
     how: str = "inner",
-    last_start: Column | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key in force at a date.
 
@@ -57,25 +95,26 @@ def interval_join(
     key is spread over its months.
 
     Months after the last interval start are folded into that month on both
-    sides, so open-ended intervals are not repeated for ever.  ``last_start``
-    gives that date as a scalar where the caller has it at less cost than a
-    pass over ``right``; any date is right, a poor one only folds too much.
+    sides, so open-ended intervals are not repeated for ever.
 
-    ``on`` names columns that both sides have; the result keeps one of each.
+    ``on`` names columns that both sides have and ``at`` the left date; the
+    result keeps one of each key.  ``spread`` is the measure of ``right``, or of
+    a cheaper table with the same intervals.
     """
-    if last_start is None:
-        last_start = right.agg(F.max(start)).scalar()
-    fold = month_index(last_start)
-    overlapped = F.sequence(
-        F.least(month_index(F.col(start)), fold),
-        F.least(month_index(F.date_sub(F.col(end), 1)), fold),
+    if spread is None:
+        spread = measure(right, start, end)
+    fold = F.lit(spread.last_month)
+    months = F.sequence(
+        month_index(F.col(start)), F.least(month_index(F.date_sub(F.col(end), 1)), fold)
     )
-    spread = right.filter(F.col(start) < F.col(end)).withColumn(_MONTH, F.explode(overlapped))
-    keyed = left.withColumn(_MONTH, F.least(month_index(at), fold)).withColumn("__at", at)
-    condition = (F.col("__at") >= F.col(f"__r.{start}")) & (F.col("__at") < F.col(f"__r.{end}"))
+    by_month = right.filter(F.col(start) < F.col(end)).withColumn(_MONTH, F.explode(months))
+    keyed = left.withColumn(_MONTH, F.least(month_index(F.col(at)), fold))
+    condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:
         condition = condition & (F.col(f"__l.{name}") == F.col(f"__r.{name}"))
-    joined = keyed.alias("__l").join(spread.alias("__r"), condition, how)
+    if spread.small:
+        by_month = F.broadcast(by_month)
+    joined = keyed.alias("__l").join(by_month.alias("__r"), condition, how)
     return joined.select(
         *(F.col(f"__l.{name}") for name in left.columns),
         *(F.col(f"__r.{name}") for name in right.columns if name not in on),

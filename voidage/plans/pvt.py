@@ -131,6 +131,7 @@ def pvt_lookup(
     tolerance: float = 0.0,
     guarded: bool = False,
     rounding: str = "sql",
+    at_most: int | None = None,
 ) -> DataFrame:
     """The ten fluid properties of each request, rounded to five places.
 
@@ -138,9 +139,10 @@ def pvt_lookup(
     they come back with their pressure unrounded, so that the result can be
     joined on it, plus the properties, BRANCH (the rule applied) and
     POINT_PRESSURE (the pressure of the point the rule started from).
+    ``at_most`` is a bound on the number of requests, if one is known.
     """
     round_off = ROUNDING[rounding]
-    chosen = with_branch(bracket(requests, pvt, scope), policy, tolerance)
+    chosen = with_branch(bracket(requests, pvt, scope, at_most=at_most), policy, tolerance)
     return chosen.select(
         *requests.columns,
         "BRANCH",

@@ -10,7 +10,7 @@ from voidage.functions.dates import pattern_key
 from voidage.functions.numeric import ratio_or_zero
 from voidage.functions.volumes import ALLOCATED, FREE_GAS_INPUTS, allocated_volumes, free_gas
 from voidage.operators import factors as factor_rules
-from voidage.operators.intervals import interval_join, overlap_join, validity_intervals
+from voidage.operators.intervals import interval_join, measure, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
 from voidage.plans.pvt import pvt_lookup, requests_by_volume
 from voidage.sources.schemas import PROPERTIES, VOLUME_COLUMNS
@@ -53,11 +53,12 @@ def pressure_intervals(pressures: DataFrame) -> DataFrame:
 
 def pressure_in_force(volumes: DataFrame, pressures: DataFrame) -> DataFrame:
     """Daily rows with the pressure of their own pattern in force that day."""
+    intervals = pressure_intervals(pressures).withColumnRenamed("DATE", "PRESSURE_DATE")
     return interval_join(
         volumes,
-        pressure_intervals(pressures).withColumnRenamed("DATE", "PRESSURE_DATE"),
+        intervals,
         on=["ID_PATTERN"],
-        at=F.col("PROD_DATE"),
+        at="PROD_DATE",
         start="PRESSURE_DATE",
         end="END_DATE",
     ).drop("END_DATE")
@@ -70,16 +71,21 @@ def with_factor(volumes: DataFrame, factors: DataFrame, rule: str = "pair", how:
     matches on the row's own pattern; the others give a row for every pattern
     of the completion.
     """
+    return _join_factors(
+        volumes.withColumn("ID_COMPLETION", F.col("COMPLETION_ID")), factors, rule, how
+    ).drop("ID_COMPLETION")
+
+
+def _join_factors(daily: DataFrame, factors: DataFrame, rule: str, how: str) -> DataFrame:
     return interval_join(
-        volumes.withColumn("ID_COMPLETION", F.col("COMPLETION_ID")),
+        daily,
         _factor_intervals(factors, rule),
         on=_factor_keys(rule),
-        at=F.col("PROD_DATE"),
+        at="PROD_DATE",
         start="EFFECT_DATE",
         end="END_DATE",
         how=how,
-        last_start=factors.agg(F.max("EFFECT_DATE")).scalar(),
-    ).drop("ID_COMPLETION", "END_DATE")
+    ).drop("END_DATE")
 
 
 def _factor_intervals(factors: DataFrame, rule: str) -> DataFrame:
@@ -111,12 +117,6 @@ def schedule(factors: DataFrame, pressures: DataFrame, rule: str = "pair") -> Da
     return overlap_join(periods, in_force, ["ID_PATTERN"], "START_DATE", "END_DATE")
 
 
-def _last_change(factors: DataFrame, pressures: DataFrame) -> Column:
-    return F.greatest(
-        factors.agg(F.max("EFFECT_DATE")).scalar(), pressures.agg(F.max("DATE")).scalar()
-    )
-
-
 def splits(
     volumes: DataFrame,
     factors: DataFrame,
@@ -157,24 +157,30 @@ def splits(
     )
 
 
+def _properties(planned: DataFrame, pvt: DataFrame, scope: str, policy: str, at_most: int) -> DataFrame:
+    """Planned periods with their fluid properties, NULL where the policy gives no row."""
+    found = pvt_lookup(planned, pvt, scope, policy, at_most=at_most)
+    if policy == "low_only":
+        keys = ["ID_PATTERN", "ID_COMPLETION", "START_DATE", "END_DATE"]
+        found = planned.join(found.select(*keys, *PROPERTIES), keys, "left")
+    return found.select(*(c for c in planned.columns if c != "VRR_DATE"), *PROPERTIES)
+
+
 def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy) -> DataFrame:
     # Distinct by construction: pattern, completion and start identify a row.
     planned = schedule(factors, pressures, factor)
-    looked_up = pvt_lookup(planned, pvt, scope, policy).drop("BRANCH", "POINT_PRESSURE", "VRR_DATE")
-    if policy == "low_only":
-        keys = ["ID_PATTERN", "ID_COMPLETION", "START_DATE", "END_DATE"]
-        looked_up = planned.drop("VRR_DATE").join(looked_up.drop("FACTOR", "PRESSURE"), keys, "left")
-    own = factor == "latest"
-    if not own:
+    spread = measure(planned, "START_DATE", "END_DATE")
+    looked_up = _properties(planned, pvt, scope, policy, spread.rows)
+    if factor != "latest":
         looked_up = looked_up.drop("ID_PATTERN")
     return interval_join(
         daily,
         looked_up,
         on=_factor_keys(factor),
-        at=F.col("PROD_DATE"),
+        at="PROD_DATE",
         start="START_DATE",
         end="END_DATE",
-        last_start=_last_change(factors, pressures),
+        spread=spread,
     )
 
 
@@ -186,29 +192,18 @@ def _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, poli
         "ID_PATTERN", "PRESSURE", F.col("DATE").alias("VRR_DATE"), F.col("DATE").alias("START_DATE"), "END_DATE"
     )
     planned = members.join(in_force, "ID_PATTERN")
-    looked_up = pvt_lookup(planned, pvt, scope, policy).drop("BRANCH", "POINT_PRESSURE", "VRR_DATE")
-    if policy == "low_only":
-        keys = ["ID_PATTERN", "ID_COMPLETION", "START_DATE", "END_DATE"]
-        looked_up = planned.drop("VRR_DATE").join(looked_up.drop("PRESSURE"), keys, "left")
+    spread = measure(planned, "START_DATE", "END_DATE")
+    looked_up = _properties(planned, pvt, scope, policy, spread.rows)
     placed = interval_join(
         daily,
         looked_up,
         on=["ID_PATTERN", "ID_COMPLETION"],
-        at=F.col("PROD_DATE"),
+        at="PROD_DATE",
         start="START_DATE",
         end="END_DATE",
-        last_start=pressures.agg(F.max("DATE")).scalar(),
-    )
-    return interval_join(
-        placed.drop("START_DATE", "END_DATE"),
-        _factor_intervals(factors, factor),
-        on=_factor_keys(factor),
-        at=F.col("PROD_DATE"),
-        start="EFFECT_DATE",
-        end="END_DATE",
-        how="left",
-        last_start=factors.agg(F.max("EFFECT_DATE")).scalar(),
+        spread=spread,
     )
+    return _join_factors(placed.drop("START_DATE", "END_DATE"), factors, factor, "left")
 
 
 def _sum_product(volume: str, factor: str) -> Column:

@@ -10,8 +10,14 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every partition of the smaller side is at most this large, hash it
+    # instead of sorting the larger side.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Plans are built from many small expressions; do not record a Python
+    # stack trace for each of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -23,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small check data would otherwise be coalesced onto one or two cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -10,27 +10,41 @@ from voidage.sources import schemas
 from voidage.sources.tables import conform
 
 
-@dataclass(frozen=True)
 class Field:
-    """The four base tables of one field."""
+    """The four base tables of one field, each derived when first asked for."""
 
-    pvt: DataFrame
-    pressures: DataFrame
-    factors: DataFrame
-    volumes: DataFrame
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def pvt(self) -> DataFrame:
+        return pvt(self.spark, self.sf_dir)
 
-def load(spark: SparkSession, sf_dir: str) -> Field:
-    return Field(
-        pvt=pvt(spark, sf_dir),
-        pressures=pattern_pressure(spark, sf_dir),
-        factors=contribution_factor(spark, sf_dir),
-        volumes=daily_volume(spark, sf_dir),
-    )
+    @cached_property
+    def pressures(self) -> DataFrame:
+        return pattern_pressure(self.spark, self.sf_dir)
+
+    @cached_property
+    def factors(self) -> DataFrame:
+        return contribution_factor(self.spark, self.sf_dir)
+
+    @cached_property
+    def volumes(self) -> DataFrame:
+        return daily_volume(self.spark, self.sf_dir)
+
+
+# The columns read, typed so that no file is opened to infer them.
+_READ = {
+    "part": "p_partkey BIGINT, p_size INT",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_READ[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _named(prefix: str, key: Column) -> Column:
@@ -38,14 +52,14 @@ def _named(prefix: str, key: Column) -> Column:
 
 
 def pvt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = _read(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
-    numbered = _read(spark, sf_dir, "part").select(
-        "p_partkey", F.col("p_size").cast("double").alias("z"), suppliers.alias("n")
-    )
-    s, k, z = F.expr("p_partkey % n"), F.expr("p_partkey div n"), F.col("z")
-    points = numbered.select(s.alias("s"), k.alias("k"), z).filter(
-        "s % 10 <> 9 AND (s % 10 <> 8 OR k = 0)"
+    # One number, and Parquet answers it from the file footers.
+    n = _read(spark, sf_dir, "supplier").count()
+    points = (
+        _read(spark, sf_dir, "part")
+        .selectExpr(f"p_partkey % {n} AS s", f"p_partkey div {n} AS k", "CAST(p_size AS DOUBLE) AS z")
+        .filter("s % 10 <> 9 AND (s % 10 <> 8 OR k = 0)")
     )
+    z = F.col("z")
     k = F.col("k")
     return conform(
         points.select(
