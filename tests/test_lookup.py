@@ -1,0 +1,112 @@
+"""Hand-computed lookups."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from build import pvt_table, request_table
+from voidage.plans.pvt import pvt_lookup, pvt_stub
+from voidage.sources.schemas import PROPERTIES
+
+CURVE = [("2020-01-01", 100.0, 1.0), ("2020-01-01", 200.0, 2.0), ("2020-01-01", 300.0, 4.0)]
+PAIR = CURVE[:2]
+TWO_TESTS = [
+    ("2020-01-01", 100.0, 1.0),
+    ("2020-01-01", 200.0, 2.0),
+    ("2020-06-01", 150.0, 5.0),
+    ("2020-06-01", 200.0, 6.0),
+]
+
+NO_ROW = "no row"
+
+# name: points, request date, pressure, options, expected branch, expected value
+CASES = {
+    "interp": (CURVE, "2020-03-10", 150.0, {}, "interp", 1.5),
+    "exact": (CURVE, "2020-03-10", 200.0, {}, "exact", 2.0),
+    "extrap_low": (CURVE, "2020-03-10", 50.0, {}, "extrap_low", 0.5),
+    "extrap_high": (CURVE, "2020-03-10", 400.0, {}, "extrap_high", 6.0),
+    "month end counts": ([("2020-01-31", 100.0, 7.0)], "2020-01-05", 100.0, {}, "exact", 7.0),
+    "not yet known": ([("2020-02-01", 100.0, 7.0)], "2020-01-05", 100.0, {}, "none", None),
+    "single": ([("2020-01-01", 100.0, 7.0)], "2020-03-10", 150.0, {}, "single", 7.0),
+    "two tests, between": (TWO_TESTS, "2020-07-01", 175.0, {}, "interp", 5.5),
+    "two tests, low": (TWO_TESTS, "2020-07-01", 120.0, {}, "interp", 2.6),
+    "two tests, active": (TWO_TESTS, "2020-07-01", 120.0, {"scope": "active"}, "extrap_low", 4.4),
+    "latest test wins": (TWO_TESTS, "2020-07-01", 200.0, {}, "exact", 6.0),
+    "earlier request": (TWO_TESTS, "2020-05-01", 200.0, {}, "exact", 2.0),
+    "missing property": (
+        [("2020-01-01", 100.0, None), ("2020-01-01", 200.0, 2.0)], "2020-03-10", 150.0, {}, "interp", None,
+    ),
+    "above, full": (PAIR, "2020-03-10", 250.0, {}, "extrap_high", 2.5),
+    "above, low_only": (PAIR, "2020-03-10", 250.0, {"policy": "low_only"}, NO_ROW, None),
+    "above, low_only_null": (PAIR, "2020-03-10", 250.0, {"policy": "low_only_null"}, "none", None),
+    "above, nearest": (PAIR, "2020-03-10", 250.0, {"policy": "nearest"}, "nearest_low", 2.0),
+    "below, full": (PAIR, "2020-03-10", 50.0, {}, "extrap_low", 0.5),
+    "below, low_only": (PAIR, "2020-03-10", 50.0, {"policy": "low_only"}, "extrap_low", 0.5),
+    "below, low_only_null": (PAIR, "2020-03-10", 50.0, {"policy": "low_only_null"}, "extrap_low", 0.5),
+    "below, nearest": (PAIR, "2020-03-10", 50.0, {"policy": "nearest"}, "nearest_high", 1.0),
+    "exact with neighbours": (CURVE, "2020-03-10", 200.0, {"policy": "low_only_null"}, "interp", 2.5),
+    "exact without neighbours": (
+        [("2020-01-01", 200.0, 2.0)], "2020-03-10", 200.0, {"policy": "low_only_null"}, "none", None,
+    ),
+    "one point, low_only": ([("2020-01-01", 200.0, 2.0)], "2020-03-10", 100.0, {"policy": "low_only"}, NO_ROW, None),
+    "within tolerance": (CURVE, "2020-03-10", 200.000001, {"tolerance": 1e-5}, "exact", 2.0),
+    "outside tolerance": (CURVE, "2020-03-10", 200.1, {"tolerance": 1e-5}, "interp", 2.002),
+    "guarded inside": (CURVE, "2020-03-10", 150.0, {"guarded": True}, "interp", 1.5),
+    "zero stays zero": ([("2020-01-01", 100.0, 0.0)], "2020-03-10", 100.0, {}, "exact", 0.0),
+    "no pressure": (CURVE, "2020-03-10", None, {}, "none", None),
+    "rounded": ([("2020-01-01", 100.0, 1.0000049)], "2020-03-10", 100.0, {}, "exact", 1.0),
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_case(spark, name):
+    points, date, pressure, options, branch, value = CASES[name]
+    pvt = pvt_table(spark, [("C1", *p) for p in points])
+    rows = pvt_lookup(request_table(spark, [("C1", date, pressure)]), pvt, **options).collect()
+    if branch == NO_ROW:
+        assert rows == []
+        return
+    (row,) = rows
+    assert row.BRANCH == branch
+    assert row.PRESSURE == pressure
+    for name in PROPERTIES:
+        assert row[name] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_unknown_completion_and_other_completions_do_not_mix(spark):
+    pvt = pvt_table(spark, [("C1", "2020-01-01", 100.0, 1.0), ("C2", "2020-01-01", 200.0, 9.0)])
+    asked = request_table(spark, [("C1", "2020-02-01", 200.0), ("C3", "2020-02-01", 200.0)])
+    found = {r.ID_COMPLETION: r.BRANCH for r in pvt_lookup(asked, pvt).collect()}
+    assert found == {"C1": "single", "C3": "none"}
+
+
+def test_other_columns_of_the_request_are_kept(spark):
+    pvt = pvt_table(spark, [("C1", *p) for p in CURVE])
+    asked = request_table(spark, [("C1", "2020-03-10", 150.0)]).withColumn("TEST_DATE", F.lit("mine"))
+    (row,) = pvt_lookup(asked, pvt).collect()
+    assert (row.TEST_DATE, row.BRANCH) == ("mine", "interp")
+
+
+def test_rounding_rules(spark):
+    point = [("C1", "2020-01-01", 100.0, -0.015625)]
+    asked = request_table(spark, [("C1", "2020-03-10", 100.0)])
+
+    def value(rounding):
+        return pvt_lookup(asked, pvt_table(spark, point), rounding=rounding).first().VISCOSITY_OIL
+
+    assert value("sql") == -0.01563
+    assert value("half_up") == -0.01562
+    assert value("half_even") == -0.01562
+
+
+def test_stub(spark):
+    (row,) = pvt_stub(request_table(spark, [("C1", "2020-03-10", 150.0)])).collect()
+    assert row.PRESSURE == 150.0
+    assert all(row[name] is None for name in PROPERTIES)
+
+
+@pytest.mark.parametrize("bad", [{"scope": "x"}, {"policy": "x"}])
+def test_unknown_options(spark, bad):
+    with pytest.raises(ValueError):
+        pvt_lookup(request_table(spark, [("C1", "2020-03-10", 1.0)]), pvt_table(spark, [("C1", *CURVE[0])]), **bad)
