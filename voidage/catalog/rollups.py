@@ -312,7 +312,8 @@ def vrr_view_untyped(field: Field) -> DataFrame:
 _REPORT = """
     SELECT DISTINCT f.FACTOR_PATTERN || strftime(v.PROD_DATE, '%d-%b-%Y') AS ID_PATTERN,
            v.PROD_DATE AS DATE, p.PRESSURE,
-           {ratio} AS VRR_INJECTION_VOLUME_PRODUCTION_VOLUME,
+           coalesce(v.CUMULATIVE_INJECTION_VOLUME_RES_BBL
+                    / nullif(v.CUMULATIVE_PRODUCTION_VOLUME_RES_BBL, 0), 0) AS VRR_INJECTION_VOLUME_PRODUCTION_VOLUME,
            coalesce(v.THEOR_OIL_VOL_STB, 0) AS THEOR_OIL_VOL_STB,
            coalesce(v.THEOR_WATER_VOL_STB, 0) AS THEOR_WATER_VOL_STB,
            coalesce(v.THEOR_GAS_VOL_KSCF * 1000, 0) AS THEOR_GAS_VOL_KSCF,
@@ -331,23 +332,18 @@ _REPORT = """
 
 @register(
     with_tables(
-        _REPORT.format(
-            ratio=settled(
-                "coalesce(v.CUMULATIVE_INJECTION_VOLUME_RES_BBL"
-                " / nullif(v.CUMULATIVE_PRODUCTION_VOLUME_RES_BBL, 0), 0)",
-                6,
-            )
-        ),
+        f"""SELECT * REPLACE ({settled('VRR_INJECTION_VOLUME_PRODUCTION_VOLUME', 6)}
+                              AS VRR_INJECTION_VOLUME_PRODUCTION_VOLUME) FROM report""",
         "daily_volume",
         "contribution_factor",
         "pressure_ended",
-        ctes={"matched": factor_match("completion")},
+        ctes={"matched": factor_match("completion"), "report": _REPORT},
     )
 )
 def vrr_report(field: Field) -> DataFrame:
     ratio = "VRR_INJECTION_VOLUME_PRODUCTION_VOLUME"
     rows = report(field.volumes, field.factors, field.pressures)
-    return rows.withColumn(ratio, settle(F.col(ratio), 6)).distinct()
+    return rows.withColumn(ratio, settle(F.col(ratio), 6))
 
 
 def _children_sql(name: str, rows: str, parent: str) -> str:

@@ -7,6 +7,7 @@ dates, and other tables then meet ``[start, end)`` through an equi-join.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,6 +46,7 @@ def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str
 class Spread:
     """What spreading intervals over calendar months comes to."""
 
+    first_start: dt.date | None
     last_month: int
     rows: int
 
@@ -64,6 +66,7 @@ def measure(intervals: DataFrame, start: str, end: str) -> Spread:
     row = (
         intervals.filter(F.col(start) < F.col(end))
         .agg(
+            F.min(start).alias("first_start"),
             F.max(first).alias("last_month"),
             F.count_if(is_open).alias("open"),
             F.sum(F.when(is_open, first)).alias("open_from"),
@@ -72,7 +75,8 @@ def measure(intervals: DataFrame, start: str, end: str) -> Spread:
         .first()
     )
     last_month = row.last_month or 0
-    return Spread(last_month, (row.closed or 0) + row.open * (last_month + 1) - (row.open_from or 0))
+    rows = (row.closed or 0) + row.open * (last_month + 1) - (row.open_from or 0)
+    return Spread(row.first_start, last_month, rows)
 
 
 def interval_join(
@@ -95,7 +99,8 @@ def interval_join(
     key is spread over its months.
 
     Months after the last interval start are folded into that month on both
-    sides, so open-ended intervals are not repeated for ever.
+    sides, so open-ended intervals are not repeated for ever.  An inner join drops
+    left rows from before the first start where they are read.
 
     ``on`` names columns that both sides have and ``at`` the left date; the
     result keeps one of each key.  ``spread`` is the measure of ``right``, or of
@@ -108,6 +113,8 @@ def interval_join(
         month_index(F.col(start)), F.least(month_index(F.date_sub(F.col(end), 1)), fold)
     )
     by_month = right.filter(F.col(start) < F.col(end)).withColumn(_MONTH, F.explode(months))
+    if how == "inner" and spread.first_start is not None:
+        left = left.filter(F.col(at) >= F.lit(spread.first_start))
     keyed = left.withColumn(_MONTH, F.least(month_index(F.col(at)), fold))
     condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voidage.functions.dates import pattern_key
 from voidage.functions.numeric import ratio_or_zero
-from voidage.functions.volumes import ALLOCATED, FREE_GAS_INPUTS, allocated_volumes, free_gas
+from voidage.functions.volumes import FREE_GAS_INPUTS, allocated_volumes, free_gas, scf
 from voidage.operators import factors as factor_rules
 from voidage.operators.intervals import interval_join, measure, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
-from voidage.plans.pvt import pvt_lookup, requests_by_volume
+from voidage.plans.pvt import pvt_lookup
 from voidage.sources.schemas import PROPERTIES, VOLUME_COLUMNS
 
 # The columns of the ratio report, in order.
@@ -106,15 +106,22 @@ def schedule(factors: DataFrame, pressures: DataFrame, rule: str = "pair") -> Da
     a pattern are cut to their common part, so that a daily row later finds
     factor, pressure and fluid properties by one join.
     """
-    periods = (
-        factor_rules.RULES[rule](factors)
-        .withColumnRenamed("EFFECT_DATE", "START_DATE")
-        .select("ID_PATTERN", "ID_COMPLETION", "FACTOR", "START_DATE", "END_DATE")
-    )
-    in_force = pressure_intervals(pressures).select(
-        "ID_PATTERN", "PRESSURE", F.col("DATE").alias("VRR_DATE"), F.col("DATE").alias("START_DATE"), "END_DATE"
+    return _with_pressure(factor_rules.RULES[rule](factors), pressures)
+
+
+def _pressure_periods(pressures: DataFrame) -> DataFrame:
+    return pressure_intervals(pressures).select(
+        "ID_PATTERN",
+        "PRESSURE",
+        F.col("DATE").alias("VRR_DATE"),
+        F.col("DATE").alias("START_DATE"),
+        "END_DATE",
     )
-    return overlap_join(periods, in_force, ["ID_PATTERN"], "START_DATE", "END_DATE")
+
+
+def _with_pressure(intervals: DataFrame, pressures: DataFrame) -> DataFrame:
+    periods = intervals.withColumnRenamed("EFFECT_DATE", "START_DATE")
+    return overlap_join(periods, _pressure_periods(pressures), ["ID_PATTERN"], "START_DATE", "END_DATE")
 
 
 def splits(
@@ -188,10 +195,7 @@ def _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, poli
     # The pressure follows the volume's own pattern, so a row without a factor
     # stays: volumes meet pressures and properties first, factors last.
     members = volumes.select("ID_PATTERN", F.col("COMPLETION_ID").alias("ID_COMPLETION")).distinct()
-    in_force = pressure_intervals(pressures).select(
-        "ID_PATTERN", "PRESSURE", F.col("DATE").alias("VRR_DATE"), F.col("DATE").alias("START_DATE"), "END_DATE"
-    )
-    planned = members.join(in_force, "ID_PATTERN")
+    planned = members.join(_pressure_periods(pressures), "ID_PATTERN")
     spread = measure(planned, "START_DATE", "END_DATE")
     looked_up = _properties(planned, pvt, scope, policy, spread.rows)
     placed = interval_join(
@@ -335,33 +339,45 @@ def vrr_view(
     return report.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") != 0).select(*VRR_COLUMNS)
 
 
+def _until_last_effect(intervals: DataFrame, factors: DataFrame) -> DataFrame:
+    """Cut factor intervals after the last effect date of their pattern.
+
+    A day has a factor of its pattern effective then or later exactly when it
+    is not after that date, so the cut stands in for the match.
+    """
+    last = factors.groupBy("ID_PATTERN").agg(F.max("EFFECT_DATE").alias("LAST_EFFECT_DATE"))
+    cut = F.least("END_DATE", F.date_add("LAST_EFFECT_DATE", 1))
+    return intervals.join(last, "ID_PATTERN").withColumn("END_DATE", cut)
+
+
 def forward_matched(volumes: DataFrame, factors: DataFrame) -> DataFrame:
     """Daily rows under their completion's factors whose pattern has a factor
     effective on that day or later."""
-    shares = with_factor(volumes, factors, "completion", "inner")
-    last_effect = factors.groupBy(F.col("ID_PATTERN").alias("FACTOR_PATTERN")).agg(
-        F.max("EFFECT_DATE").alias("LAST_EFFECT_DATE")
-    )
-    return shares.join(last_effect, "FACTOR_PATTERN").filter(F.col("PROD_DATE") <= F.col("LAST_EFFECT_DATE"))
+    intervals = _until_last_effect(factor_rules.by_completion(factors), factors)
+    return interval_join(
+        volumes.withColumn("ID_COMPLETION", F.col("COMPLETION_ID")),
+        intervals.withColumnRenamed("ID_PATTERN", "FACTOR_PATTERN"),
+        on=["ID_COMPLETION"],
+        at="PROD_DATE",
+        start="EFFECT_DATE",
+        end="END_DATE",
+    ).drop("ID_COMPLETION", "END_DATE")
 
 
 def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) -> DataFrame:
     """The report over stored cumulative volumes, one row per distinct factor of the pattern."""
-    matched = forward_matched(volumes, factors).select(
-        F.col("FACTOR_PATTERN").alias("ID_PATTERN"),
+    intervals = _until_last_effect(factor_rules.by_completion(factors), factors)
+    planned = _with_pressure(intervals, pressures).drop("FACTOR", "LAST_EFFECT_DATE")
+    daily = volumes.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") > 0).select(
+        F.col("COMPLETION_ID").alias("ID_COMPLETION"),
         "PROD_DATE",
         *VOLUME_COLUMNS[:3],
         "CUMULATIVE_INJECTION_VOLUME_RES_BBL",
         "CUMULATIVE_PRODUCTION_VOLUME_RES_BBL",
     )
-    stored = pressure_in_force(
-        matched.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") > 0), pressures
-    ).drop("PRESSURE_DATE")
-    # Both sides are reduced to what the result tells apart before they meet.
-    pattern_factors = factors.select("ID_PATTERN", F.col("FACTOR").alias("FACTORS")).distinct()
-    rows = stored.distinct().join(pattern_factors, "ID_PATTERN")
-    return rows.select(
-        pattern_key(F.col("ID_PATTERN"), F.col("PROD_DATE"), "dd-MMM-yyyy").alias("ID_PATTERN"),
+    matched = interval_join(daily, planned, ["ID_COMPLETION"], "PROD_DATE", "START_DATE", "END_DATE")
+    rows = matched.select(
+        "ID_PATTERN",
         F.col("PROD_DATE").alias("DATE"),
         "PRESSURE",
         ratio_or_zero(
@@ -369,7 +385,10 @@ def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) ->
         ).alias("VRR_INJECTION_VOLUME_PRODUCTION_VOLUME"),
         F.coalesce("THEOR_OIL_VOL_STB", F.lit(0.0)).alias("THEOR_OIL_VOL_STB"),
         F.coalesce("THEOR_WATER_VOL_STB", F.lit(0.0)).alias("THEOR_WATER_VOL_STB"),
-        F.coalesce(F.col("THEOR_GAS_VOL_KSCF") * 1000, F.lit(0.0)).alias("THEOR_GAS_VOL_KSCF"),
+        F.coalesce(scf(F.col("THEOR_GAS_VOL_KSCF")), F.lit(0.0)).alias("THEOR_GAS_VOL_KSCF"),
         F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL").alias("PRODUCTION_VOLUME_RES_BBL"),
-        "FACTORS",
-    ).distinct()
+    )
+    # Both sides are distinct before they meet, so their pairs are as well.
+    pattern_factors = factors.select("ID_PATTERN", F.col("FACTOR").alias("FACTORS")).distinct()
+    report = rows.distinct().join(pattern_factors, "ID_PATTERN")
+    return report.withColumn("ID_PATTERN", pattern_key(F.col("ID_PATTERN"), F.col("DATE"), "dd-MMM-yyyy"))
