@@ -8,22 +8,27 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def running_totals(
-    df: DataFrame, keys: Sequence[str], date: str, totals: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], date: str, totals: Mapping[str, Column], shared: bool = False
 ) -> DataFrame:
     """Add running sums per key by date; rows of one date share the total.
 
     The default window frame includes every row of the current date, so the
     running sum depends only on the total of each date.  Rows are first summed
     to one per key and date, the window runs over those - a key is never longer
-    than the calendar - and the result joins back on (key, date).  The join is
-    null-safe: a row without a key or date keeps its totals.
+    than the calendar - and the result joins back on (key, date).
+
+    The two join as one struct, which equals itself whether or not its fields
+    are NULL: a row without a key or date keeps its totals.
+
+    ``df`` is read twice.  With ``shared`` it is shuffled on (key, date) first,
+    and as long as both readers need the same columns the second one reuses
+    that shuffle.
     """
-    by_date = [*keys, date]
-    to_date = W.partitionBy(*keys).orderBy(date)
-    daily = df.groupBy(*by_date).agg(*(F.sum(value).alias(name) for name, value in totals.items()))
-    running = daily.select(
-        *(F.col(c).alias(f"__{c}") for c in by_date),
-        *(F.sum(name).over(to_date).alias(name) for name in totals),
-    )
-    same_date = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by_date]
-    return df.join(running, same_date).drop(*(f"__{c}" for c in by_date))
+    rest = [c for c in df.columns if c not in (*keys, date)]
+    keyed = df.select(F.struct(*keys, date).alias("__key"), *rest)
+    if shared:
+        keyed = keyed.repartition("__key")
+    daily = keyed.groupBy("__key").agg(*(F.sum(value).alias(name) for name, value in totals.items()))
+    to_date = W.partitionBy(*(f"__key.{k}" for k in keys)).orderBy(f"__key.{date}")
+    running = daily.select("__key", *(F.sum(name).over(to_date).alias(name) for name in totals))
+    return keyed.join(running, "__key").select("__key.*", *rest, *totals)

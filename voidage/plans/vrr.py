@@ -289,7 +289,7 @@ def rollup_with_cumulatives(shares: DataFrame, cumulative_includes_free_gas: boo
         "CUMULATIVE_PRODUCTION_VOLUME_RES_BBL": produced,
         "CUMULATIVE_INJECTION_VOLUME_RES_BBL": _m("WATER_INJ_VOLUME_RES_BBL") + _m("GAS_INJ_VOLUME_RES_BBL"),
     }
-    running = running_totals(_rollup_vector(shares), ["ID_PATTERN"], "DATE", totals)
+    running = running_totals(_rollup_vector(shares), ["ID_PATTERN"], "DATE", totals, shared=True)
     return _with_totals(running.select(*_GROUP, *_unpacked(), *totals))
 
 
