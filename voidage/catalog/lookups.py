@@ -12,7 +12,7 @@ from voidage.catalog.registry import register
 from voidage.plans import sqlapi
 from voidage.functions.numeric import ROUNDING, interpolate
 from voidage.operators.curves import bracket
-from voidage.plans.pvt import property_value, pvt_lookup, requests_by_factor, with_branch
+from voidage.plans.pvt import property_value, pvt_lookup, requests_by_factor, with_branch, with_line
 from voidage.sources.derived import Field
 from voidage.sources.schemas import PROPERTIES
 
@@ -167,7 +167,7 @@ def union_branches(field: Field) -> DataFrame:
         ~at & ~low & ~up,
     )
     branches = [with_branch(found.filter(part), "full") for part in parts]
-    return reduce(DataFrame.unionByName, branches).select(
+    return with_line(reduce(DataFrame.unionByName, branches)).select(
         "ID_COMPLETION",
         "VRR_DATE",
         "PRESSURE",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voidage.functions.numeric import ROUNDING, extrapolate, interpolate
+from voidage.functions.numeric import ROUNDING
 from voidage.operators.curves import bracket
 from voidage.sources.schemas import PROPERTIES
 
@@ -114,13 +114,28 @@ def _tolerate(found: DataFrame, tolerance: float) -> DataFrame:
 
 
 def property_value(name: str, guarded: bool = False) -> Column:
-    """One property at the request pressure, before rounding."""
-    a, b, x = F.col("__a"), F.col("__b"), F.col("PRESSURE")
-    x1, x2, y1, y2 = a["PRESSURE"], b["PRESSURE"], a[name], b[name]
-    line = extrapolate(x1, x2, y1, y2, x)
+    """One property at the request pressure, before rounding.
+
+    The line of ``extrapolate``, with its two differences of pressure taken
+    from the columns ``__dx`` and ``__run``: ten properties share them, and the
+    generated code stays small enough to be compiled.
+    """
+    y1, y2 = F.col(f"__a.{name}"), F.col(f"__b.{name}")
+    line = y1 + F.col("__dx") * (y2 - y1) / F.col("__run")
     if guarded:
-        line = F.when(F.col("BRANCH") == "interp", interpolate(x1, x2, y1, y2, x, True)).otherwise(line)
-    return F.when(b.isNull(), y1).otherwise(line)
+        inside = (F.col("__dx") >= F.least(F.col("__run"), F.lit(0.0))) & (
+            F.col("__dx") <= F.greatest(F.col("__run"), F.lit(0.0))
+        )
+        line = F.when((F.col("BRANCH") != "interp") | inside, line)
+    return F.when(F.col("__run").isNull(), y1).otherwise(line)
+
+
+def with_line(chosen: DataFrame) -> DataFrame:
+    """Add the pressure differences of the line: request and second point, from the first."""
+    start = F.col("__a.PRESSURE")
+    return chosen.withColumns(
+        {"__dx": F.col("PRESSURE") - start, "__run": F.col("__b.PRESSURE") - start}
+    )
 
 
 def pvt_lookup(
@@ -143,7 +158,7 @@ def pvt_lookup(
     """
     round_off = ROUNDING[rounding]
     chosen = with_branch(bracket(requests, pvt, scope, at_most=at_most), policy, tolerance)
-    return chosen.select(
+    return with_line(chosen).select(
         *requests.columns,
         "BRANCH",
         F.col("__a.PRESSURE").alias("POINT_PRESSURE"),
