@@ -131,18 +131,23 @@ def interval_join(
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str, end: str) -> DataFrame:
     """Pair the intervals of two tables that overlap, cut to the common part.
 
+    Two intervals overlap when one starts within the other, so this is two
+    interval joins: left starts within right intervals, and right starts within
+    left intervals that began earlier.  No other pairs are tried.
+
     Both sides carry ``start`` and ``end``; the result has one of each.
     """
-    condition = (F.col(f"__l.{start}") < F.col(f"__r.{end}")) & (
-        F.col(f"__r.{start}") < F.col(f"__l.{end}")
-    )
-    for name in on:
-        condition = condition & (F.col(f"__l.{name}") == F.col(f"__r.{name}"))
-    skip = {*on, start, end}
-    return left.alias("__l").join(right.alias("__r"), condition).select(
-        *(F.col(f"__l.{name}") for name in on),
-        F.greatest(f"__l.{start}", f"__r.{start}").alias(start),
-        F.least(f"__l.{end}", f"__r.{end}").alias(end),
-        *(F.col(f"__l.{name}") for name in left.columns if name not in skip),
-        *(F.col(f"__r.{name}") for name in right.columns if name not in skip),
+    spread = measure(right, start, end)
+    # The same fold serves both; the left side is not counted, so not sent.
+    uncounted = Spread(None, spread.last_month, SMALL_ROWS + 1)
+    names = {start: "__start", end: "__end"}
+
+    def starts_within(inner: DataFrame, outer: DataFrame, spread: Spread) -> DataFrame:
+        outer = outer.withColumnsRenamed(names)
+        return interval_join(inner, outer, on, start, "__start", "__end", spread=spread)
+
+    first = starts_within(left, right, spread)
+    second = starts_within(right, left, uncounted).filter(F.col(start) > F.col("__start"))
+    return (
+        first.unionByName(second).withColumn(end, F.least(end, "__end")).drop("__start", "__end")
     )
