@@ -83,7 +83,7 @@ def test_shuffled_joins_give_the_same(spark, small, monkeypatch, name):
 def test_cut_completions_give_the_same(spark, small, monkeypatch, name):
     from voidage.operators import curves
 
-    monkeypatch.setattr(curves.bracket, "__defaults__", ("all_to_date", 5, None))
+    monkeypatch.setattr(curves, "PIECE", 5)
     df = QUERIES[name](spark, SMALL)
     assert "__cuts" in df._jdf.queryExecution().analyzed().toString()
     assert parity.compare(df, small, ORACLES[name]) == []

@@ -57,8 +57,8 @@ def bound_scan(field: Field) -> DataFrame:
 _NULLS = ", ".join(f"CAST(NULL AS DOUBLE) AS {p}" for p in PROPERTIES)
 
 
-@register(with_tables(f"SELECT *, {_NULLS} FROM requests", "requests"))
-def pvt_stub_rows(field: Field) -> DataFrame:
+@register(with_tables(f"SELECT *, {_NULLS} FROM requests", "requests"), name="pvt_stub")
+def stub_rows(field: Field) -> DataFrame:
     return pvt_stub(requests_by_factor(field.factors, field.pressures))
 
 

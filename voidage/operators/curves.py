@@ -151,7 +151,7 @@ def bracket(
     requests: DataFrame,
     pvt: DataFrame,
     scope: str = "all_to_date",
-    piece: int = PIECE,
+    piece: int | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
     """Add the nearest points of each request.
@@ -164,8 +164,8 @@ def bracket(
 
     ``scope`` is ``all_to_date`` for the points of every test known by the end
     of the request's month, or ``active`` for those of the last such test only.
-    Of the completions with more than ``piece`` requests, the thousand largest
-    are cut into pieces.  ``at_most`` is a bound on the number of requests where
+    Of the completions with more than ``piece`` requests (a million by default),
+    the thousand largest are cut into pieces.  ``at_most`` is a bound on the number of requests where
     the caller knows one; otherwise they are counted, up to ``piece``.
     """
     if scope not in SCOPES:
@@ -184,6 +184,7 @@ def bracket(
             "__request",
         )
     )
+    piece = PIECE if piece is None else piece
     if at_most is None:
         at_most = requests.limit(piece + 1).count()
     cuts = _cuts(requests, piece) if at_most > piece else None

@@ -25,7 +25,7 @@ def read_path(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, table: str) -> DataFrame:
-    """A base table registered in a catalog, e.g. ``trusted.volumes.daily``."""
+    """A base table registered in a catalog, e.g. ``field.volumes.daily``."""
     return conform(spark.table(name), schemas.TABLES[table])
 
 
