@@ -50,6 +50,12 @@ def test_scan_reads_only_what_the_query_needs(spark):
     assert "l_linenumber" not in read and "l_suppkey" in read
 
 
+@pytest.mark.parametrize("name", ["qualify_top1", "top2", "two_extremes"])
+def test_top_rows_are_cut_before_the_shuffle(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_rollup_is_grouped_once(spark):
     """The running totals reuse the shuffle of the grouped rows."""
     plan = _final_plan(QUERIES["vrr_view_pair"](spark, MEDIUM))

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from build import factor_table, pressure_table, pvt_table, request_table, volume_table
 from conftest import MEDIUM, SMALL
-from voidage.operators.intervals import interval_join  # noqa: F401
 from voidage.plans import sqlapi
 from voidage.plans.pvt import pvt_lookup, requests_by_factor
-from voidage.plans.vrr import with_factor
+from voidage.plans.vrr import vrr_view, with_factor
 from voidage.sources import schemas
 from voidage.sources.derived import Field
 from voidage.sources.tables import known_points, read_path, read_table, write_daily_volumes
@@ -109,3 +108,24 @@ def test_sql_views(spark):
     sqlapi.register_lookup_function(spark, request_table(spark, [("C1", "2020-01-01", 110.0)]), pvt)
     (answer,) = spark.sql("SELECT * FROM pvt_at(110D, 'C1', DATE '2020-01-01')").collect()
     assert (answer.BRANCH, answer.VISCOSITY_GAS) == ("single", 2.0)
+
+
+def test_view_scans_stored_volumes_from_the_first_period_on(spark, tmp_path):
+    rows = [{"ID_PATTERN": "P1", "COMPLETION_ID": "C1", "PROD_DATE": "2020-01-02", "AMOUNT_TYPE": "Production"}]
+    path = str(tmp_path / "volumes")
+    volume_table(spark, rows).write.parquet(path)
+    view = vrr_view(
+        read_path(spark, path, "production_volumes_daily_oilfield"),
+        factor_table(spark, [("P1", "C1", "2020-01-01", 0.5)]),
+        pressure_table(spark, [("P1", "2019-01-01", 110.0)]),
+        pvt_table(spark, [("C1", "2019-01-01", 100.0, 2.0)]),
+        require_gas=True,
+    )
+    jvm = spark.sparkContext._jvm
+    plan = view._jdf.queryExecution().explainString(
+        jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "GreaterThanOrEqual(PROD_DATE,2020-01-01)" in plan
+    assert "IsNotNull(THEOR_GAS_VOL_KSCF)" in plan
+    reads = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert reads and all("CUMULATIVE" not in line and "FREE_GAS" not in line for line in reads)

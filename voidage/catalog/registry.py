@@ -1,4 +1,4 @@
-"""Where queries and their reference SQL are registered."""
+"""Where queries and their oracle SQL are registered."""
 
 from __future__ import annotations
 
