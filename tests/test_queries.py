@@ -8,9 +8,9 @@ import pytest
 
 import parity
 from conftest import MEDIUM, SMALL
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from voidage.catalog import ORACLES, QUERIES
 
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
