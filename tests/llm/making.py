@@ -1,7 +1,10 @@
+"""A fixture that the tests of this folder import."""
+
 from __future__ import annotations
 
 import pytest
 
+SMALL, MEDIUM, LARGE = (f"/root/testdata/sf{x}" for x in ("0.001", "0.01", "0.1"))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -4,6 +4,8 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from making import make  # noqa: F401
+
 from voidage.llm import exact
 
 

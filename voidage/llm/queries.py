@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voidage.llm import toxicity
 from voidage.llm.common import documents
 from voidage.llm.exact import exact_dedup
+from voidage.llm.packing import pack, token_pieces
+from voidage.llm.pieces import decode, encode
+from voidage.llm.pseudonyms import pseudonymise
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +23,48 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` with personal data replaced by pseudonyms."""
+    docs = documents(spark, sf_dir)
+    return pseudonymise(docs).select("doc_id", "text")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` encoded, and decoded again from its ids."""
+    rows = decode(encode(documents(spark, sf_dir)))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` scored by a model that learned from labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_windows",
+        "top_window",
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into few sequences of 4096 tokens."""
+    return pack(token_pieces(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_pii": op4_pii,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_toxicity": op9_toxicity,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
