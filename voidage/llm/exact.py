@@ -17,6 +17,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Else every partition sets aside megabytes for files of a few kilobytes.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
