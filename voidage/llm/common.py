@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Whether Spark removes the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -35,9 +38,19 @@ def stored(df: DataFrame) -> DataFrame:
     application's folder below ``spark.checkpoint.dir`` is removed, as the result
     that reads them is lazy.
     """
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    # What a finished step shuffled is not needed again: its table is.
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def any_rows(df: DataFrame) -> bool:

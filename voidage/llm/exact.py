@@ -113,7 +113,8 @@ def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> tup
         .select("digest", F.col("text").alias("retained_text"))
     )
     copy = stored(copy.dropDuplicates(["digest"]))
-    differing = stored(texts.join(copy, "digest").filter("text != retained_text").select("digest").distinct())
+    # Without an aggregation on top, so that adaptive execution can split a digest that very many rows have.
+    differing = stored(texts.join(copy, "digest").filter("text != retained_text").select("digest")).distinct()
     plain = state.select(
         "digest",
         F.lit(None).cast("string").alias("exact_text"),

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from voidage.llm import toxicity
 from voidage.llm.common import documents
 from voidage.llm.exact import exact_dedup
+from voidage.llm.fingerprints import with_edits
+from voidage.llm.near import near_duplicates
 from voidage.llm.packing import pack, token_pieces
 from voidage.llm.pieces import decode, encode
+from voidage.llm.preferences import against_neighbour, as_arrays, format_pairs
 from voidage.llm.pseudonyms import pseudonymise
+from voidage.llm.recompress import without_repeats
+from voidage.llm.substrings import without_repeats as without_byte_repeats
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,12 +28,53 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` with 85 of 100 three-word shingles in common."""
+    rows = near_duplicates(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without bytes that 400-byte strings with another occurrence cover."""
+    rows = without_byte_repeats(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with personal data replaced by pseudonyms."""
     docs = documents(spark, sf_dir)
     return pseudonymise(docs).select("doc_id", "text")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text of ``documents``, of its edited text, and how like they are."""
+    rows = with_edits(documents(spark, sf_dir))
+    as_text = {c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")}
+    return rows.withColumns(as_text)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without words that 13-word windows of smaller documents cover."""
+    rows = without_repeats(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last answer, as prompt and masked completions."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = format_pairs(against_neighbour(as_arrays(turns)))
+    as_text = lambda c: F.array_join(
+        F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["length"].cast("string"))), ","
+    )
+    return rows.withColumns({c: as_text(c) for c in ("chosen_mask", "rejected_mask")})
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded, and decoded again from its ids."""
     rows = decode(encode(documents(spark, sf_dir)))
@@ -61,7 +107,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_pii": op4_pii,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_preferences": op7_preferences,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
@@ -73,4 +124,43 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_preferences": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k
+            FROM conversations
+        ), c AS (
+            SELECT conv_id, count(*) AS n, max(CASE WHEN role = 'assistant' THEN k END) AS l
+            FROM t GROUP BY conv_id
+        ), a AS (
+            SELECT c.conv_id, c.n, c.l, t.text AS answer FROM c LEFT JOIN t ON t.conv_id = c.conv_id AND t.k = c.l
+        ), p AS (
+            SELECT a.conv_id, b.answer AS other,
+                   CASE WHEN a.l IS NULL THEN a.n WHEN a.answer = b.answer THEN a.l ELSE a.l - 1 END AS shared,
+                   b.answer IS NOT NULL AND (a.l IS NULL OR a.answer <> b.answer) AS differs
+            FROM a LEFT JOIN a AS b ON b.conv_id = xor(a.conv_id, 1)
+        ), r AS (
+            SELECT t.conv_id, t.k, t.role, t.text, p.shared,
+                   '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS piece
+            FROM t JOIN p USING (conv_id)
+        ), s AS (
+            SELECT *, coalesce(sum(length(piece)) OVER (
+                       PARTITION BY conv_id, k > shared ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                       + length(role) + 5 AS start
+            FROM r
+        ), g AS (
+            SELECT conv_id,
+                   coalesce(string_agg(piece, '' ORDER BY k) FILTER (k <= shared), '') AS prompt,
+                   coalesce(string_agg(piece, '' ORDER BY k) FILTER (k > shared), '') AS chosen_text,
+                   coalesce(string_agg(start::BIGINT || ':' || (length(text) + 7), ',' ORDER BY k)
+                            FILTER (k > shared AND role = 'assistant'), '') AS chosen_mask
+            FROM s GROUP BY conv_id
+        )
+        SELECT g.conv_id, g.prompt, p.shared::INTEGER AS n_prompt_turns, g.chosen_text,
+               CASE WHEN p.differs THEN '<|assistant|>' || chr(10) || p.other || '<|end|>' || chr(10) ELSE '' END
+                   AS rejected_text,
+               g.chosen_mask,
+               CASE WHEN p.differs THEN '14:' || (length(p.other) + 7) ELSE '' END AS rejected_mask
+        FROM g JOIN p USING (conv_id)
+    """,
 }
