@@ -59,11 +59,11 @@ def brute(points, asked, scope):
 
 @pytest.mark.parametrize("scope", ["all_to_date", "active"])
 @pytest.mark.parametrize(
-    "seed,tests,piece", [(1, 1, 10**6), (2, 5, 10**6), (3, 9, 1), (4, 33, 20), (5, 70, 10**6), (6, 70, 1)]
+    "seed,tests,width", [(1, 1, 250), (2, 5, 3), (3, 9, 1), (4, 33, 0.5), (5, 70, 250), (6, 70, 2)]
 )
-def test_same_as_brute_force(spark, scope, seed, tests, piece):
+def test_same_as_brute_force(spark, scope, seed, tests, width):
     points, asked = field(seed, completions=4, tests=tests, requests=250, levels=220)
-    found = bracket(request_table(spark, asked), pvt_table(spark, points), scope, piece=piece)
+    found = bracket(request_table(spark, asked), pvt_table(spark, points), scope, width=width)
     result = {}
     for r in found.collect():
         key = (r.ID_COMPLETION, r.VRR_DATE.isoformat(), r.PRESSURE)
@@ -78,7 +78,7 @@ def test_same_as_brute_force(spark, scope, seed, tests, piece):
 def test_values_come_from_the_chosen_test(spark):
     points, asked = field(7, completions=3, tests=12, requests=200, levels=200)
     value = {(c, t, p): v for c, t, p, v in points}
-    for r in bracket(request_table(spark, asked), pvt_table(spark, points), piece=10).collect():
+    for r in bracket(request_table(spark, asked), pvt_table(spark, points), width=2).collect():
         for side in SIDES:
             if r[side] is not None:
                 key = (r.ID_COMPLETION, r[side].TEST_DATE.isoformat(), r[side].PRESSURE)
@@ -96,3 +96,37 @@ def test_points_without_date_or_pressure_are_ignored(spark):
     pvt = pvt.unionByName(pvt.selectExpr("ID_COMPLETION", "CAST(NULL AS DATE) AS TEST_DATE", *pvt.columns[2:]))
     (row,) = bracket(request_table(spark, [("C1", "2020-03-01", 150.0)]), pvt).collect()
     assert (row.LOWER.PRESSURE, row.LOWER2, row.UPPER, row.BELOW) == (100.0, None, None, 1)
+
+
+@pytest.mark.parametrize("scope", ["all_to_date", "active"])
+def test_equal_requests_come_back_as_often(spark, scope):
+    points = [("C1", "2020-01-01", 100.0, 1.0)]
+    asked = [("C1", "2020-03-01", 150.0)] * 2 + [("C2", "2020-03-01", None)] * 3 + [(None, "2020-03-01", 1.0)]
+    requests = request_table(spark, asked)
+    found = bracket(requests, pvt_table(spark, points), scope)
+    assert sorted(r.ID_COMPLETION or "" for r in found.collect()) == ["", "C1", "C1", "C2", "C2", "C2"]
+    more = requests.selectExpr("*", "monotonically_increasing_id() AS n")
+    rows = bracket(more, pvt_table(spark, points), scope).collect()
+    assert len({r.n for r in rows}) == len(rows) == 6
+    assert sum(r.LOWER is not None for r in rows) == 2
+
+
+def test_one_completion_is_sorted_in_parts(spark):
+    """A completion with all the points: no task sees more than a range of one of its blocks."""
+    from voidage.operators import curves
+
+    points = [("C1", "2020-01-01", float(p), 1.0) for p in range(4000)]
+    levels = curves._points(pvt_table(spark, points), "active", 250)
+    assert levels.select("__range").distinct().count() == 16
+    assert levels.groupBy(*curves._PIECE).count().agg({"count": "max"}).first()[0] == 250
+
+
+def test_more_tests_than_any_fixed_number_of_blocks(spark):
+    """The blocks of a prefix follow from its length alone."""
+    from pyspark.sql import functions as F
+
+    from voidage.operators import curves
+
+    sizes, _ = curves._blocks_of_prefix("all_to_date")
+    n = spark.range(1).select(F.lit(5 * 2**18).cast("int").alias("TEST_NO")).select(sizes.alias("s")).first().s
+    assert sum(2**k for k in n) == 5 * 2**18 + 1

@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from build import day, factor_table, pressure_table, volume_table
-from voidage.operators import intervals
 from voidage.operators.extremes import first_rows, two_extremes
-from voidage.operators.intervals import interval_join, measure, next_distinct_date, overlap_join, validity_intervals
+from voidage.operators.intervals import interval_join, last_start, next_distinct_date, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
 from voidage.plans.vrr import pressure_in_force, with_factor
 
@@ -35,12 +34,15 @@ def _random_tables(spark, seed):
     return left, right, sorted(starts)
 
 
-@pytest.mark.parametrize("small", [0, intervals.SMALL_ROWS])
+@pytest.mark.parametrize("limit", [None, 0, 10**6])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_interval_join_is_as_of(spark, monkeypatch, small, how):
-    monkeypatch.setattr(intervals, "SMALL_ROWS", small)
+def test_interval_join_is_as_of(spark, limit, how):
     left, right, starts = _random_tables(spark, 3)
-    joined = interval_join(left, validity_intervals(right, ["k"], "start"), ["k"], "at", "start", "END_DATE", how)
+    joined = interval_join(
+        left, validity_intervals(right, ["k"], "start"), ["k"], "at", "start", "END_DATE", how, broadcast_bytes=limit
+    )
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit == 10**6)
     found = {r.n: r.start for r in joined.collect()}
     expected = {}
     for r in left.collect():
@@ -57,16 +59,49 @@ def test_interval_join_with_nothing_on_the_right(spark):
     assert interval_join(left, empty, ["k"], "at", "start", "END_DATE", "left").count() == 200
 
 
-def test_measure_counts_what_is_spread(spark):
-    table = spark.createDataFrame(
-        [("A", day("2020-01-15"), day("2020-03-02")), ("A", day("2020-03-02"), day("9999-12-31")),
-         ("B", day("2020-05-01"), day("9999-12-31")), ("B", day("2020-05-01"), day("2020-05-01"))],
-        "k string, start date, stop date",
+def test_any_fold_gives_the_same(spark):
+    """Bounds may come from a cheaper table: months are folded at other places then."""
+    left, right, _ = _random_tables(spark, 6)
+    ended = validity_intervals(right, ["k"], "start")
+    rows = lambda **o: sorted(map(str, interval_join(left, ended, ["k"], "at", "start", "END_DATE", **o).collect()))
+    early = spark.createDataFrame([(day("1990-01-01"),)], "start date")
+    late = early.union(spark.createDataFrame([(day("2031-01-01"),)], "start date"))
+    assert rows() == rows(fold=last_start(early.select("start"))) == rows(fold=last_start(late.select("start")))
+
+
+def _repeated(spark, joined) -> int:
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan()
+    metrics = []
+    pending = [plan]
+    while pending:
+        node = pending.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            pending.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage") or "QueryStage" in node.getClass().getSimpleName():
+            pending.append(node.plan())
+            continue
+        if node.nodeName() == "Generate":
+            metrics.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        pending += [children.apply(i) for i in range(children.size())]
+    return sum(metrics)
+
+
+def test_starts_after_the_fold_are_not_repeated(spark):
+    """Factors that start decades after the last pressure get one month each, not a backward row of months."""
+    factors = spark.createDataFrame([("P", day("2050-01-01"), day("9999-12-31"), i) for i in range(10)], "k string, s date, e date, f int")
+    pressures = spark.createDataFrame([("P", day("2019-01-01"), day("2019-02-01"), 1)], "k string, s date, e date, p int")
+    joined = interval_join(
+        pressures, factors.withColumnsRenamed({"s": "s2", "e": "e2"}), ["k"], "s", "s2", "e2", "left",
+        fold=last_start(pressures.select("s")),
     )
-    spread = measure(table, "start", "stop")
-    # January to March; March to May, the last start; May; an empty interval.
-    assert spread.rows == 3 + 3 + 1
-    assert spread.last_month == 2020 * 12 + 5
+    assert _repeated(spark, joined) <= 10
+    empty = pressures.filter("false")
+    assert overlap_join(factors, empty, ["k"], "s", "e").count() == 0
+    assert _repeated(spark, interval_join(pressures, factors.withColumnsRenamed({"s": "s2", "e": "e2"}), ["k"], "s", "s2", "e2", "left",
+                                          fold=last_start(empty.select("s")))) <= 10
 
 
 def test_next_distinct_date_skips_ties(spark):

@@ -21,6 +21,7 @@ def small():
 
 
 def test_every_query_has_an_oracle():
+    assert len(QUERIES) >= 80
     assert set(QUERIES) == set(ORACLES)
 
 
@@ -62,34 +63,56 @@ def test_rollup_is_grouped_once(spark):
     assert "ReusedExchange" in plan
 
 
-def test_daily_rows_stay_in_place_when_the_schedule_is_small(spark, monkeypatch):
-    from voidage.operators import intervals
+@pytest.mark.parametrize("limit", [None, 0, 10**8])
+def test_daily_rows_stay_in_place_when_asked(spark, limit):
+    """A schedule measured below the limit goes to the daily rows; nothing is forced otherwise."""
+    from voidage.plans.vrr import vrr_view
+    from voidage.sources.derived import Field
 
-    def joins(plan: str) -> list[str]:
-        return [line for line in plan.splitlines() if "Join" in line and "START_DATE" in line and "PROD_DATE" in line]
+    field = Field(spark, SMALL)
+    view = vrr_view(field.volumes, field.factors, field.pressures, field.pvt, broadcast_bytes=limit)
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit == 10**8)
 
-    field_query = QUERIES["free_gas_gor"]
-    (line,) = joins(field_query(spark, SMALL)._jdf.queryExecution().executedPlan().toString())
-    assert "BroadcastHashJoin" in line
-    monkeypatch.setattr(intervals, "SMALL_ROWS", 0)
-    (line,) = joins(field_query(spark, SMALL)._jdf.queryExecution().executedPlan().toString())
-    assert "BroadcastHashJoin" not in line
-    assert "__month" in line
 
+@pytest.mark.parametrize("name", ["vrr_view_pair", "pvt_full_all", "view_over_view", "vrr_view_latest_own_pressure", "vrr_report"])
+def test_no_job_while_planning(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"plan-{name}", name)
+    try:
+        QUERIES[name](spark, SMALL)
+        assert list(tracker.getJobIdsForGroup(f"plan-{name}")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-@pytest.mark.parametrize("name", ["vrr_view_pair", "vrr_view_latest_own_pressure", "factor_asof_pair", "active_test"])
-def test_shuffled_joins_give_the_same(spark, small, monkeypatch, name):
-    from voidage.operators import intervals
 
-    monkeypatch.setattr(intervals, "SMALL_ROWS", 0)
+@pytest.mark.parametrize("name", ["pvt_full_all", "pvt_full_active", "count_threshold"])
+def test_narrow_ranges_give_the_same(spark, small, monkeypatch, name):
+    from voidage.operators import curves
+
+    monkeypatch.setattr(curves, "RANGE", 60.0)
     assert parity.compare(QUERIES[name](spark, SMALL), small, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", ["pvt_full_all", "pvt_full_active", "count_threshold"])
-def test_cut_completions_give_the_same(spark, small, monkeypatch, name):
-    from voidage.operators import curves
+def test_checks_can_fail(small):
+    """The filter of the subquery removes rows, and the tolerance changes answers."""
+    count = lambda sql: small.execute(f"SELECT count(*) FROM ({sql})").fetchone()[0]
+    from voidage.catalog.oracle import with_tables
 
-    monkeypatch.setattr(curves, "PIECE", 5)
-    df = QUERIES[name](spark, SMALL)
-    assert "__cuts" in df._jdf.queryExecution().analyzed().toString()
-    assert parity.compare(df, small, ORACLES[name]) == []
+    assert 0 < count(ORACLES["in_subquery"]) < count(with_tables("SELECT * FROM daily_volume", "daily_volume"))
+    branch = lambda name: dict(small.execute(f"SELECT BRANCH, count(*) FROM ({ORACLES[name]}) GROUP BY 1").fetchall())
+    near, plain = branch("pvt_exact_tolerance"), branch("pvt_full_active")
+    assert 0 < near["exact"] < plain["exact"]
+
+
+def _reads(df, column: str) -> int:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(rf"Relation \[[^\]]*{column}", plan))
+
+
+def test_one_bracket_and_two_reads(spark):
+    """Branches and second bounds read the bracket once; the own-pressure view reads the daily lines twice."""
+    once = _reads(QUERIES["pvt_full_all"](spark, SMALL), "p_partkey")
+    assert _reads(QUERIES["union_branches"](spark, SMALL), "p_partkey") == once
+    assert _reads(QUERIES["second_bound"](spark, SMALL), "p_partkey") == once
+    assert _reads(QUERIES["vrr_view_latest_own_pressure"](spark, SMALL), "l_suppkey") == 2

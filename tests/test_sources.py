@@ -102,15 +102,55 @@ def test_sql_views(spark):
     pressures = pressure_table(spark, [("P1", "2020-01-01", 110.0)])
     volumes = volume_table(spark, [{"ID_PATTERN": "P1", "COMPLETION_ID": "C1", "PROD_DATE": "2020-01-02",
                                     "AMOUNT_TYPE": "Production", "THEOR_OIL_VOL_STB": 4.0}])
-    sqlapi.register_views(spark, volumes, factors, pressures, pvt)
-    row = spark.sql("SELECT v.ID_PATTERN_VRR, p.BRANCH FROM pattern_vrr_view v, completion_pvt_interpolated p").first()
+    assert sqlapi.register_views(spark, volumes, factors, pressures, pvt, views=["completion_pvt_interpolated"], prefix="a_") == [
+        "a_completion_pvt_interpolated"]
+    names = {t.name for t in spark.catalog.listTables()}
+    assert not names & {*sqlapi.TABLES, *sqlapi.VIEWS, "a_pattern_vrr_view"}
+    sqlapi.register_views(spark, volumes, factors, pressures, pvt, prefix="b_", tables=True)
+    row = spark.sql("SELECT v.ID_PATTERN_VRR, p.BRANCH FROM b_pattern_vrr_view v, b_completion_pvt_interpolated p").first()
     assert tuple(row) == ("P102-01-2020", "single")
     sqlapi.register_lookup_function(spark, request_table(spark, [("C1", "2020-01-01", 110.0)]), pvt)
     (answer,) = spark.sql("SELECT * FROM pvt_at(110D, 'C1', DATE '2020-01-01')").collect()
     assert (answer.BRANCH, answer.VISCOSITY_GAS) == ("single", 2.0)
-
-
-def test_view_scans_stored_volumes_from_the_first_period_on(spark, tmp_path):
+    (unknown,) = spark.sql("SELECT * FROM pvt_at(111D, 'C9', DATE '2020-01-01')").collect()
+    assert (unknown.BRANCH, unknown.VISCOSITY_GAS) == ("none", None)
+
+
+def test_view_follows_its_tables(spark, tmp_path):
+    """Rows that are stored after a view was defined are in it, earlier ones too."""
+    pvt = pvt_table(spark, [("C1", "2000-01-01", 100.0, 2.0)])
+    put = lambda name, df: df.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    put("factors", factor_table(spark, [("P1", "C1", "2020-01-01", 0.5)]))
+    put("pressures", pressure_table(spark, [("P1", "2010-01-01", 110.0)]))
+    days = ["2015-06-01", "2020-06-01"]
+    volumes = volume_table(spark, [{"ID_PATTERN": "P1", "COMPLETION_ID": "C1", "PROD_DATE": d,
+                                    "AMOUNT_TYPE": "Production", "THEOR_OIL_VOL_STB": 4.0} for d in days])
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW f_stored USING parquet OPTIONS (path '{tmp_path}/factors')")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW p_stored USING parquet OPTIONS (path '{tmp_path}/pressures')")
+    factors = read_table(spark, "f_stored", "pattern_contribution_factor")
+    pressures = read_table(spark, "p_stored", "pattern_pressure")
+    view = vrr_view(volumes, factors, pressures, pvt)
+    assert sorted(str(r.DATE) for r in view.collect()) == days[1:]
+    put("factors", factor_table(spark, [("P1", "C1", "2014-01-01", 0.25)]))
+    spark.catalog.refreshTable("f_stored")
+    later = vrr_view(volumes, read_table(spark, "f_stored", "pattern_contribution_factor"), pressures, pvt)
+    assert sorted(str(r.DATE) for r in later.collect()) == days
+    # No date of the data is written into the plan.
+    assert "2014-01-01" not in later._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_three_part_names(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS field_db")
+    try:
+        volume_table(spark, [{"ID_PATTERN": "P", "COMPLETION_ID": "C", "PROD_DATE": "2020-01-01"}]).write.mode("overwrite").option(
+            "path", str(tmp_path / "daily")).saveAsTable("spark_catalog.field_db.daily")
+        assert read_table(spark, "spark_catalog.field_db.daily", "production_volumes_daily_oilfield").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS spark_catalog.field_db.daily")
+        spark.sql("DROP DATABASE IF EXISTS field_db")
+
+
+def test_view_reads_only_the_columns_and_rows_it_needs(spark, tmp_path):
     rows = [{"ID_PATTERN": "P1", "COMPLETION_ID": "C1", "PROD_DATE": "2020-01-02", "AMOUNT_TYPE": "Production"}]
     path = str(tmp_path / "volumes")
     volume_table(spark, rows).write.parquet(path)
@@ -125,7 +165,6 @@ def test_view_scans_stored_volumes_from_the_first_period_on(spark, tmp_path):
     plan = view._jdf.queryExecution().explainString(
         jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert "GreaterThanOrEqual(PROD_DATE,2020-01-01)" in plan
     assert "IsNotNull(THEOR_GAS_VOL_KSCF)" in plan
     reads = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
     assert reads and all("CUMULATIVE" not in line and "FREE_GAS" not in line for line in reads)

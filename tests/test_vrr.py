@@ -187,3 +187,17 @@ def test_relationship_counts(spark, factors, pressures, pvt):
     assert found["pattern to completion"] == (2, 2, 1, 1)
     assert found["completion to pattern"] == (1, 2, 2, 2)
     assert found["pattern to pressure record"] == (2, 3, 1, 2)
+
+
+@pytest.mark.parametrize("scope", ["active", "all_to_date"])
+def test_factor_stored_twice_counts_twice(spark, factors, pressures, pvt, scope):
+    rows = volume_table(spark, [production("2020-01-10", THEOR_OIL_VOL_STB=8.0)])
+    twice = factors.union(factors)
+    assert splits(rows, twice, pressures, pvt, scope=scope).count() == 2
+    assert splits(rows, twice, pressures, pvt, scope=scope, policy="low_only").count() == 2
+
+
+def test_without_pressures(spark, factors, pressures, pvt):
+    rows = volume_table(spark, [production("2020-01-10", THEOR_OIL_VOL_STB=8.0)])
+    assert vrr_view(rows, factors, pressures.filter("false"), pvt).count() == 0
+    assert vrr_view(rows, factors.filter("false"), pressures, pvt, pressure_key="volume").count() == 1

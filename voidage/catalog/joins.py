@@ -11,8 +11,16 @@ from voidage.functions.dates import month_end
 from voidage.operators.curves import bracket, numbered_tests, with_known_tests
 from voidage.operators.extremes import two_extremes as extremes
 from voidage.operators.intervals import interval_join
-from voidage.plans.pvt import pvt_lookup, requests_by_factor, requests_by_volume as by_volume
-from voidage.plans.vrr import forward_matched, pressure_in_force as in_force, pressure_intervals, with_factor
+from voidage.plans import sqlapi
+from voidage.plans.pvt import requests_by_factor, requests_by_volume as by_volume
+from voidage.plans.vrr import (
+    forward_matched,
+    pressure_in_force as in_force,
+    pressure_intervals,
+    schedule,
+    schedule_fold,
+    with_factor,
+)
 from voidage.sources.derived import Field
 
 DAY = ("ID_PATTERN", "COMPLETION_ID", "PROD_DATE", "AMOUNT_TYPE")
@@ -95,37 +103,47 @@ def pressure_in_force(field: Field) -> DataFrame:
     return in_force(field.volumes.select(*DAY), field.pressures)
 
 
-_MAX_EFFECT = "SELECT max(g.EFFECT_DATE) FROM contribution_factor g WHERE "
-
-# The effect date in force for daily row v and factor row f, per rule.
-_IN_FORCE = {
-    "pair": _MAX_EFFECT
-    + "g.ID_PATTERN = f.ID_PATTERN AND g.ID_COMPLETION = f.ID_COMPLETION AND g.EFFECT_DATE <= v.PROD_DATE",
-    "pattern": _MAX_EFFECT + "g.ID_PATTERN = f.ID_PATTERN AND g.EFFECT_DATE <= v.PROD_DATE",
-    "completion": _MAX_EFFECT + "g.ID_COMPLETION = f.ID_COMPLETION AND g.EFFECT_DATE <= v.PROD_DATE",
-    "latest": _MAX_EFFECT
-    + "g.ID_PATTERN = f.ID_PATTERN AND g.ID_COMPLETION = f.ID_COMPLETION AND f.EFFECT_DATE <= v.PROD_DATE",
+# What ends factor row f, per rule: the next effect date of these keys.
+_ENDED_BY = {
+    "pair": "g.ID_PATTERN = f.ID_PATTERN AND g.ID_COMPLETION = f.ID_COMPLETION",
+    "pattern": "g.ID_PATTERN = f.ID_PATTERN",
+    "completion": "g.ID_COMPLETION = f.ID_COMPLETION",
 }
 
 
-def factor_match(rule: str) -> str:
-    """Daily rows with every factor row that carries the effect date in force."""
+def _factor_periods(rule: str) -> str:
+    """Every factor row with the day it ends, ranked on the factors alone."""
+    if rule == "latest":
+        return """
+        SELECT f.*, DATE '9999-12-31' AS END_DATE FROM contribution_factor f
+        QUALIFY rank() OVER (PARTITION BY ID_PATTERN, ID_COMPLETION ORDER BY EFFECT_DATE DESC) = 1"""
+    return f"""
+        SELECT f.*, coalesce((SELECT min(g.EFFECT_DATE) FROM contribution_factor g
+                              WHERE {_ENDED_BY[rule]} AND g.EFFECT_DATE > f.EFFECT_DATE), DATE '9999-12-31') AS END_DATE
+        FROM contribution_factor f"""
+
+
+def _in_force(rule: str) -> str:
     own = "AND f.ID_PATTERN = v.ID_PATTERN" if rule == "latest" else ""
+    return f"f.ID_COMPLETION = v.COMPLETION_ID {own} AND v.PROD_DATE >= f.EFFECT_DATE AND v.PROD_DATE < f.END_DATE"
+
+
+def factor_match(rule: str) -> str:
+    """Daily rows with every factor row that is in force."""
     return f"""
         SELECT v.ID_PATTERN, v.COMPLETION_ID, v.PROD_DATE, v.AMOUNT_TYPE,
                f.ID_PATTERN AS FACTOR_PATTERN, f.EFFECT_DATE, f.FACTOR
-        FROM daily_volume v JOIN contribution_factor f ON f.ID_COMPLETION = v.COMPLETION_ID {own}
-        WHERE f.EFFECT_DATE = ({_IN_FORCE[rule]})"""
+        FROM daily_volume v JOIN ({_factor_periods(rule)}) f ON {_in_force(rule)}"""
 
 
 def _factor_sql(rule: str, how: str = "LEFT") -> str:
     return with_tables(
-        f"""SELECT v.ID_PATTERN, v.COMPLETION_ID, v.PROD_DATE, v.AMOUNT_TYPE, FACTOR_PATTERN, EFFECT_DATE, FACTOR
-            FROM daily_volume v {how} JOIN matched m
-              ON m.COMPLETION_ID = v.COMPLETION_ID AND m.PROD_DATE = v.PROD_DATE AND m.AMOUNT_TYPE = v.AMOUNT_TYPE""",
+        f"""SELECT v.ID_PATTERN, v.COMPLETION_ID, v.PROD_DATE, v.AMOUNT_TYPE,
+                   f.ID_PATTERN AS FACTOR_PATTERN, f.EFFECT_DATE, f.FACTOR
+            FROM daily_volume v {how} JOIN periods f ON {_in_force(rule)}""",
         "daily_volume",
         "contribution_factor",
-        ctes={"matched": factor_match(rule)},
+        ctes={"periods": _factor_periods(rule)},
     )
 
 
@@ -198,18 +216,22 @@ def second_bound(field: Field) -> DataFrame:
     """The second pressure below and above, as one relation."""
     found = bracket(_asked(field), field.pvt)
 
-    def side(name: str, point: str) -> DataFrame:
-        return found.filter(F.col(point).isNotNull()).select(
-            "ID_COMPLETION",
-            "VRR_DATE",
-            "PRESSURE",
-            F.lit(name).alias("SIDE"),
-            F.col(f"{point}.PRESSURE").alias("POINT_PRESSURE"),
-            F.col(f"{point}.TEST_DATE").alias("TEST_DATE"),
-            F.col(f"{point}.VISCOSITY_OIL").alias("VISCOSITY_OIL"),
+    sides = F.array(
+        *(
+            F.struct(F.lit(name).alias("SIDE"), F.col(point).alias("p"))
+            for name, point in (("low", "LOWER2"), ("up", "UPPER2"))
         )
-
-    return side("low", "LOWER2").unionByName(side("up", "UPPER2"))
+    )
+    both = found.select("ID_COMPLETION", "VRR_DATE", "PRESSURE", F.explode(sides).alias("s"))
+    return both.filter(F.col("s.p").isNotNull()).select(
+        "ID_COMPLETION",
+        "VRR_DATE",
+        "PRESSURE",
+        "s.SIDE",
+        F.col("s.p.PRESSURE").alias("POINT_PRESSURE"),
+        F.col("s.p.TEST_DATE").alias("TEST_DATE"),
+        F.col("s.p.VISCOSITY_OIL").alias("VISCOSITY_OIL"),
+    )
 
 
 @register(
@@ -255,14 +277,16 @@ def not_exists_anti(field: Field) -> DataFrame:
 @register(
     with_tables(
         """SELECT * FROM daily_volume
-           WHERE ID_PATTERN IN (SELECT ID_PATTERN FROM contribution_factor WHERE EFFECT_DATE >= DATE '1999-01-01')""",
+           WHERE ID_PATTERN IN (SELECT ID_PATTERN FROM pattern_pressure
+                                WHERE DATE < DATE '1995-07-01' AND PRESSURE >= 3000)""",
         "daily_volume",
-        "contribution_factor",
+        "pattern_pressure",
     )
 )
 def in_subquery(field: Field) -> DataFrame:
-    changed = field.factors.filter("EFFECT_DATE >= DATE '1999-01-01'").select("ID_PATTERN")
-    return field.volumes.join(changed, "ID_PATTERN", "left_semi")
+    """Daily rows of the patterns that began with a high pressure, about half of them."""
+    high = field.pressures.filter("DATE < DATE '1995-07-01' AND PRESSURE >= 3000").select("ID_PATTERN")
+    return field.volumes.join(high, "ID_PATTERN", "left_semi")
 
 
 @register(with_tables("SELECT * FROM requests", "requests"), name="requests_by_factor")
@@ -318,26 +342,49 @@ def cross_where_join(field: Field) -> DataFrame:
 
 @register(
     with_tables(
-        f"""SELECT f.ID_PATTERN, f.ID_COMPLETION, f.EFFECT_DATE, f.FACTOR, p.DATE, p.PRESSURE,
-                   x.BRANCH, x.OIL_FORMATION_VOLUME_FACTOR, x.SOLUTION_GAS_OIL_RATIO
-            FROM contribution_factor f JOIN pattern_pressure p ON p.ID_PATTERN = f.ID_PATTERN,
-                 LATERAL (SELECT * FROM answers a WHERE a.ID_COMPLETION = f.ID_COMPLETION
-                          AND a.VRR_DATE = p.DATE AND a.PRESSURE = p.PRESSURE) x""",
+        """SELECT v.ID_PATTERN, v.COMPLETION_ID, v.PROD_DATE, v.AMOUNT_TYPE, f.FACTOR_PATTERN, f.FACTOR,
+                  p.DATE AS PRESSURE_DATE, p.PRESSURE, x.BRANCH, x.OIL_FORMATION_VOLUME_FACTOR, x.SOLUTION_GAS_OIL_RATIO
+           FROM daily_volume v
+           JOIN matched f ON f.COMPLETION_ID = v.COMPLETION_ID AND f.PROD_DATE = v.PROD_DATE
+                         AND f.AMOUNT_TYPE = v.AMOUNT_TYPE
+           JOIN pressure_ended p ON p.ID_PATTERN = f.FACTOR_PATTERN
+                                AND v.PROD_DATE >= p.DATE AND v.PROD_DATE < p.END_DATE,
+                LATERAL (SELECT * FROM answers a WHERE a.ID_COMPLETION = v.COMPLETION_ID
+                         AND a.VRR_DATE = p.DATE AND a.PRESSURE = p.PRESSURE) x""",
         "requests",
         "pvt_ended",
+        "daily_volume",
+        "pressure_ended",
         ctes={
             **oracle.neighbours("all_to_date"),
             "answers": " UNION ALL ".join(oracle.branches("full").values()),
+            "matched": factor_match("pair"),
         },
     )
 )
 def lateral_lookup(field: Field) -> DataFrame:
-    """A lookup per joined row, as one lookup of the distinct requests joined back."""
-    rows = field.factors.join(field.pressures, "ID_PATTERN").withColumn("VRR_DATE", F.col("DATE"))
-    answers = pvt_lookup(_asked(field), field.pvt).select(
-        "ID_COMPLETION", "VRR_DATE", "PRESSURE", "BRANCH", "OIL_FORMATION_VOLUME_FACTOR", "SOLUTION_GAS_OIL_RATIO"
+    """The table function, called LATERAL for every daily row with the factor and pressure in force."""
+    spark = field.pvt.sparkSession
+    sqlapi.register_lookup_function(spark, _asked(field), field.pvt, name="pvt_in_force")
+    planned = schedule(field.factors, field.pressures).withColumnsRenamed(
+        {"ID_PATTERN": "FACTOR_PATTERN", "VRR_DATE": "PRESSURE_DATE"}
+    )
+    daily = field.volumes.select(*DAY).withColumn("ID_COMPLETION", F.col("COMPLETION_ID"))
+    rows = interval_join(
+        daily,
+        planned,
+        ["ID_COMPLETION"],
+        "PROD_DATE",
+        "START_DATE",
+        "END_DATE",
+        fold=schedule_fold(field.factors, field.pressures),
+    )
+    return spark.sql(
+        """SELECT r.ID_PATTERN, r.COMPLETION_ID, r.PROD_DATE, r.AMOUNT_TYPE, r.FACTOR_PATTERN, r.FACTOR,
+                  r.PRESSURE_DATE, r.PRESSURE, x.BRANCH, x.OIL_FORMATION_VOLUME_FACTOR, x.SOLUTION_GAS_OIL_RATIO
+           FROM {rows} r, LATERAL pvt_in_force(r.PRESSURE, r.COMPLETION_ID, r.PRESSURE_DATE) x""",
+        rows=rows,
     )
-    return rows.join(answers, ["ID_COMPLETION", "VRR_DATE", "PRESSURE"]).drop("VRR_DATE")
 
 
 @register(

@@ -11,7 +11,7 @@ from voidage.sources.schemas import PROPERTIES
 _TABLES = {
     "ns": "SELECT count(*) AS n FROM supplier",
     "pvt": """
-        SELECT 'C' || s AS ID_COMPLETION,
+        SELECT CASE WHEN s % 10 = 9 OR (s % 10 = 8 AND k <> 0) THEN 'T' ELSE 'C' END || s AS ID_COMPLETION,
                DATE '1995-01-15' + CAST(500 * (k % 4) AS INTEGER) AS TEST_DATE,
                CAST(1000 + 500 * (k // 4) + 50 * (z % 10) AS DOUBLE) AS PRESSURE,
                1 + z / 64 AS OIL_FORMATION_VOLUME_FACTOR,
@@ -24,8 +24,7 @@ _TABLES = {
                CASE WHEN z <> 13 THEN z / 2048 END AS VISCOSITY_GAS,
                z / 2048 AS INJECTED_GAS_FORMATION_VOLUME_FACTOR,
                1 + z / 256 AS INJECTED_WATER_FORMATION_VOLUME_FACTOR
-        FROM (SELECT p_partkey % n AS s, p_partkey // n AS k, CAST(p_size AS DOUBLE) AS z FROM part, ns)
-        WHERE s % 10 <> 9 AND (s % 10 <> 8 OR k = 0)""",
+        FROM (SELECT p_partkey % n AS s, p_partkey // n AS k, CAST(p_size AS DOUBLE) AS z FROM part, ns)""",
     "pattern_pressure": """
         SELECT 'P' || c_nationkey AS ID_PATTERN,
                CAST(date_trunc('quarter', o_orderdate) AS DATE) AS DATE,
@@ -33,12 +32,13 @@ _TABLES = {
         FROM orders JOIN customer ON o_custkey = c_custkey
         GROUP BY ALL""",
     "contribution_factor": """
-        SELECT 'P' || (s_nationkey + x) % 25 AS ID_PATTERN, 'C' || s_suppkey AS ID_COMPLETION,
+        SELECT 'P' || (s_nationkey + x) % 25 AS ID_PATTERN,
+               CASE WHEN s_suppkey % 7 = 0 OR (v = 1 AND s_suppkey % 5 = 0) THEN 'N' ELSE 'C' END
+                   || s_suppkey AS ID_COMPLETION,
                CASE WHEN v = 0 THEN DATE '1996-01-01' WHEN x = 0 THEN DATE '1999-01-01'
                     ELSE DATE '1999-07-01' END AS EFFECT_DATE,
                CAST(CASE WHEN x = 0 THEN 0.625 + 0.125 * v ELSE 0.375 - 0.125 * v END AS DOUBLE) AS FACTOR
-        FROM supplier, (VALUES (0), (1)) AS a(x), (VALUES (0), (1)) AS b(v)
-        WHERE s_suppkey % 7 <> 0 AND (v = 0 OR s_suppkey % 5 <> 0)""",
+        FROM supplier, (VALUES (0), (1)) AS a(x), (VALUES (0), (1)) AS b(v)""",
     "daily": """
         SELECT 'P' || s_nationkey AS ID_PATTERN, 'C' || l_suppkey AS COMPLETION_ID,
                CAST(l_shipdate AS DATE) AS PROD_DATE, l_linestatus = 'F' AS prod,
@@ -129,7 +129,7 @@ def neighbours(scope: str, tolerance: str | None = None) -> dict[str, str]:
     """CTEs for the points at, below and above each request."""
     down, rise = "k.PRESSURE DESC, k.TEST_DATE DESC", "k.PRESSURE, k.TEST_DATE DESC"
     at = f"abs(k.PRESSURE - k.X) < {tolerance}" if tolerance else "k.PRESSURE = k.X"
-    nearest = "abs(k.PRESSURE - k.X), k.TEST_DATE DESC" if tolerance else "k.TEST_DATE DESC"
+    nearest = "k.TEST_DATE DESC, abs(k.PRESSURE - k.X)" if tolerance else "k.TEST_DATE DESC"
     return {
         "known": known(scope),
         "hit": f"SELECT * FROM known k WHERE {at} " + _FIRST.format(order=nearest),
@@ -175,11 +175,20 @@ def _branch(name: str, conditions: list[str], a: str | None, b: str | None = Non
     )
 
 
+def _half_even(x: str) -> str:
+    down = f"floor({x})"
+    return (
+        f"CAST(CASE WHEN {x} - {down} = 0.5 AND CAST({down} AS BIGINT) % 2 = 0 THEN {down}"
+        f" ELSE floor({x} + 0.5) END AS DOUBLE) / 100000"
+    )
+
+
 # round() of a double goes by its binary value here, which puts 1.103125 below
 # its half; as a decimal a half is a half.
 ROUNDED = {
     "sql": lambda x: f"CAST(round(CAST({x} AS DECIMAL(38, 12)), 5) AS DOUBLE)",
     "half_up": lambda x: f"floor(({x}) * 100000 + 0.5) / 100000",
+    "half_even": lambda x: _half_even(f"CAST({x} AS DECIMAL(38, 12)) * 100000"),
 }
 
 
@@ -231,9 +240,12 @@ def lookup(
     only: tuple[str, ...] = (),
     tolerance: str | None = None,
     rounding: str = "sql",
+    requests: str | None = None,
 ) -> str:
-    """A whole lookup, or ``only`` some of its branches."""
+    """A whole lookup, or ``only`` some of its branches; ``requests`` replaces the usual ones."""
     chosen = {n: q for n, q in branches(policy, rounding).items() if not only or n in only}
+    tables = ("contribution_factor", "pattern_pressure") if requests else ("requests",)
+    asked = {"requests": requests} if requests else {}
     return with_tables(
-        "\nUNION ALL ".join(chosen.values()), "requests", "pvt_ended", ctes=neighbours(scope, tolerance)
+        "\nUNION ALL ".join(chosen.values()), *tables, "pvt_ended", ctes={**asked, **neighbours(scope, tolerance)}
     )

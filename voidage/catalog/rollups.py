@@ -9,7 +9,7 @@ from voidage.catalog.joins import DAY, factor_match
 from voidage.catalog.oracle import settled, with_tables
 from voidage.catalog.registry import register
 from voidage.functions.numeric import settle
-from voidage.functions.volumes import ALLOCATED, allocated_volumes
+from voidage.functions.volumes import allocated_volumes
 from voidage.plans import relations
 from voidage.plans.vrr import (
     VRR_COLUMNS,
@@ -46,13 +46,14 @@ def _settled_sql(columns: tuple[str, ...]) -> str:
 
 # ---------------------------------------------------------------- oracle text
 
+# Stored volumes by the share f of a daily row v; gas is stored in thousands.
 _ALLOCATED_SQL = {
-    name: (
-        f"coalesce(v.{stored} * 1000 * f.FACTOR, v.{stored} * 1000, 0)"
-        if kscf
-        else f"coalesce(v.{stored} * f.FACTOR, v.{stored}, 0)"
-    )
-    for name, (stored, kscf) in ALLOCATED.items()
+    "OIL_VOLUME": "coalesce(v.THEOR_OIL_VOL_STB * f.FACTOR, v.THEOR_OIL_VOL_STB, 0)",
+    "WATER_VOLUME": "coalesce(v.THEOR_WATER_VOL_STB * f.FACTOR, v.THEOR_WATER_VOL_STB, 0)",
+    "GAS_VOLUME": "coalesce(v.THEOR_GAS_VOL_KSCF * 1000 * f.FACTOR, v.THEOR_GAS_VOL_KSCF * 1000, 0)",
+    "WATER_INJ_VOLUME": "coalesce(v.THEOR_WATER_INJ_VOL_STB * f.FACTOR, v.THEOR_WATER_INJ_VOL_STB, 0)",
+    "GAS_WELL_GAS_VOLUME": "coalesce(v.ALLOC_GAS_VOL_KSCF * 1000 * f.FACTOR, v.ALLOC_GAS_VOL_KSCF * 1000, 0)",
+    "GAS_INJ_VOLUME": "coalesce(v.THEOR_GAS_INJ_VOL_KSCF * 1000 * f.FACTOR, v.THEOR_GAS_INJ_VOL_KSCF * 1000, 0)",
 }
 
 _ABOVE_SOLUTION = (
@@ -69,7 +70,9 @@ _FREE_GAS_SQL = {
 }
 
 
-def _shares_ctes(factor: str, pressure_key: str, gas_rule: str, require_gas: bool) -> dict[str, str]:
+def _shares_ctes(
+    factor: str, pressure_key: str, gas_rule: str, require_gas: bool, scope: str = "all_to_date", policy: str = "full"
+) -> dict[str, str]:
     """CTEs up to ``shares``: one row per daily row, factor and pressure."""
     pattern = "f.FACTOR_PATTERN" if pressure_key == "factor" else "v.ID_PATTERN"
     gas = "WHERE v.THEOR_GAS_VOL_KSCF IS NOT NULL" if require_gas else ""
@@ -82,8 +85,8 @@ def _shares_ctes(factor: str, pressure_key: str, gas_rule: str, require_gas: boo
             FROM pattern_pressure p JOIN daily_volume v ON v.ID_PATTERN = p.ID_PATTERN"""
     return {
         **asked,
-        **oracle.neighbours("all_to_date"),
-        "answers": " UNION ALL ".join(oracle.branches("full").values()),
+        **oracle.neighbours(scope),
+        "answers": " UNION ALL ".join(oracle.branches(policy).values()),
         "matched": factor_match(factor),
         "shares": f"""
             SELECT v.ID_PATTERN, v.COMPLETION_ID AS ID_COMPLETION, f.FACTOR_PATTERN, v.PROD_DATE AS DATE,
@@ -143,6 +146,8 @@ def _rolled_sql(
     gas_rule: str = "gor",
     require_gas: bool = False,
     where: str = "",
+    scope: str = "all_to_date",
+    policy: str = "full",
 ) -> str:
     tables = ["daily_volume", "contribution_factor", "pressure_ended", "pvt_ended"]
     if pressure_key == "factor":
@@ -151,7 +156,7 @@ def _rolled_sql(
         f"SELECT {_settled_sql(columns)} FROM rated {where}",
         *tables,
         ctes={
-            **_shares_ctes(factor, pressure_key, gas_rule, require_gas),
+            **_shares_ctes(factor, pressure_key, gas_rule, require_gas, scope, policy),
             "rolled": _ROLLED,
             "rated": _RATED,
         },
@@ -309,6 +314,16 @@ def vrr_view_untyped(field: Field) -> DataFrame:
     return _view(field, factor="pair", free_gas="untyped", require_gas=True)
 
 
+@register(_view_sql(factor="pair", scope="active"))
+def vrr_view_active(field: Field) -> DataFrame:
+    return _view(field, factor="pair", scope="active")
+
+
+@register(_view_sql(factor="pair", policy="low_only"))
+def vrr_view_low_only(field: Field) -> DataFrame:
+    return _view(field, factor="pair", policy="low_only")
+
+
 _REPORT = """
     SELECT DISTINCT f.FACTOR_PATTERN || strftime(v.PROD_DATE, '%d-%b-%Y') AS ID_PATTERN,
            v.PROD_DATE AS DATE, p.PRESSURE,

@@ -15,9 +15,10 @@ every request with every point of the completion.  Two steps avoid that:
 
 The few block results of a request are then reduced to one.
 
-A completion with very many requests is cut at quantiles of its requested
-pressures, and each piece starts with the point in force at its left edge; the
-pieces are then sorted by different tasks.
+Blocks are cut at multiples of a pressure, so that no task sorts a whole block,
+however many points or requests it has. What a request near a cut needs from the
+other side, the two nearest points on each side of every range and the number of
+points before it, is worked out on one row per block and range.
 """
 
 from __future__ import annotations
@@ -25,18 +26,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from voidage.functions.dates import month_end, open_end
-from voidage.operators.intervals import interval_join
+from voidage.operators.intervals import interval_join, last_start
 from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
 SCOPES = ("all_to_date", "active")
 
-#: Requests of one completion up to which one task handles them.
-PIECE = 1_000_000
+#: Width of the pressure ranges into which blocks are cut.
+RANGE = 250.0
 
 _BLOCK = ("ID_COMPLETION", "__size", "__block")
-
-# 2^17 - 1 test dates are 358 years of daily tests.
-_SIZES = "sequence(0, 16)"
+_PIECE = (*_BLOCK, "__range")
 
 
 def numbered_tests(pvt: DataFrame) -> DataFrame:
@@ -73,13 +72,19 @@ def with_known_tests(requests: DataFrame, pvt: DataFrame) -> DataFrame:
         start="TEST_DATE",
         end="END_DATE",
         how="left",
+        fold=last_start(pvt.select("TEST_DATE")),
     ).drop("__month_end")
 
 
+def _sizes(n: str) -> str:
+    """The binary digits that a number up to ``n`` can have."""
+    return f"sequence(0, CAST(floor(log2({n})) AS INT) + 1)"
+
+
 def _blocks_of_prefix(scope: str) -> tuple[Column, Column]:
     if scope == "active":
         return F.expr("array(0)"), F.col("TEST_NO")
-    sizes = F.expr(f"filter({_SIZES}, k -> shiftright(TEST_NO + 1, k) & 1 = 1)")
+    sizes = F.expr(f"filter({_sizes('TEST_NO + 1')}, k -> shiftright(TEST_NO + 1, k) & 1 = 1)")
     return sizes, F.expr("shiftright(TEST_NO + 1, __size + 1) * 2")
 
 
@@ -88,17 +93,20 @@ def _blocks_of_test(scope: str) -> tuple[Column, Column]:
         return F.expr("array(0)"), F.col("TEST_NO")
     # A prefix only uses even-numbered blocks that are full.
     sizes = F.expr(
-        f"filter({_SIZES}, k -> shiftleft(1, k) <= TESTS AND shiftright(TEST_NO, k) & 1 = 0)"
+        f"filter({_sizes('TESTS')}, k -> shiftleft(1, k) <= TESTS AND shiftright(TEST_NO, k) & 1 = 0)"
     )
     return sizes, F.expr("shiftright(TEST_NO, __size)")
 
 
-def _levels(pvt: DataFrame, scope: str) -> DataFrame:
-    """Points per block in order of pressure, each with its neighbours.
+def _range_of(pressure: str, width: float) -> Column:
+    return F.floor(F.col(pressure) / F.lit(float(width)))
+
 
-    One row per block and pressure, of equal pressures the latest test, plus
-    one row per block without a pressure that stands before the first.  A block
-    is sorted by one task, over distinct pressures only.
+def _points(pvt: DataFrame, scope: str, width: float) -> DataFrame:
+    """Points per block and range with their neighbours in the range.
+
+    One row per block and pressure, of equal pressures the latest test.  A task
+    sorts the distinct pressures of one range of a block.
     """
     sizes, block = _blocks_of_test(scope)
     point = F.struct("PRESSURE", "TEST_DATE", *PROPERTIES)
@@ -107,91 +115,188 @@ def _levels(pvt: DataFrame, scope: str) -> DataFrame:
         .join(numbered_tests(pvt).drop("END_DATE"), ["ID_COMPLETION", "TEST_DATE"])
         .withColumn("__size", F.explode(sizes))
         .withColumn("__block", block)
-        .groupBy(*_BLOCK, "PRESSURE")
+        .withColumn("__range", _range_of("PRESSURE", width))
+        .groupBy(*_PIECE, "PRESSURE")
         .agg(F.max(point).alias("p"), F.count(F.lit(1)).alias("__points"))
     )
-    in_block = W.partitionBy(*_BLOCK)
-    rising = in_block.orderBy("PRESSURE")
-    p, nothing = F.col("p"), F.lit(None)
-    neighbours = distinct.select(
-        *_BLOCK,
-        "PRESSURE",
-        p,
-        F.lag(p, 1).over(rising).alias("below"),
-        F.lag(p, 2).over(rising).alias("below2"),
-        F.lead(p, 1).over(rising).alias("above"),
-        F.lead(p, 2).over(rising).alias("above2"),
+    rising = W.partitionBy(*_PIECE).orderBy("PRESSURE")
+    return distinct.select(
+        *_PIECE,
+        "p",
+        F.lag("p", 1).over(rising).alias("below"),
+        F.lag("p", 2).over(rising).alias("below2"),
+        F.lead("p", 1).over(rising).alias("above"),
+        F.lead("p", 2).over(rising).alias("above2"),
         F.sum("__points").over(rising).alias("to_here"),
-        F.sum("__points").over(in_block).alias("all"),
         "__points",
     )
-    here = F.struct(p, "below", "below2", "above", "above2", "to_here", "all", "__points")
+
+
+def _surroundings(points: DataFrame, probes: DataFrame) -> DataFrame:
+    """Per block and range that has points or requests, what lies around it.
+
+    ``own`` are the two lowest points of the range itself, ``under`` the two
+    nearest below the range and ``over`` the two nearest above it, nearest first;
+    ``before`` is the number of points below the range, ``all`` that of the block.
+    Only a block's ranges are sorted together, one row each.
+    """
+    lowest, highest = F.col("below2").isNull(), F.col("above2").isNull()
+    ends = points.filter(lowest | highest).select(
+        *_PIECE,
+        F.when(lowest, F.col("p")).alias("low"),
+        F.when(highest, F.col("p")).alias("high"),
+        F.col("to_here").alias("n"),
+    )
+    ranges = (
+        ends.unionByName(probes.select(*_PIECE), allowMissingColumns=True)
+        .groupBy(*_PIECE)
+        .agg(
+            F.array_sort(F.collect_list("low")).alias("low"),
+            F.sort_array(F.collect_list("high"), asc=False).alias("high"),
+            F.max("n").alias("n"),
+        )
+    )
+    of_block = W.partitionBy(*_BLOCK).orderBy("__range")
+    earlier, later = of_block.rowsBetween(W.unboundedPreceding, -1), of_block.rowsBetween(1, W.unboundedFollowing)
+    filled = F.col("n").isNotNull()
+    last = lambda c: F.last(F.when(filled, c), ignorenulls=True).over(earlier)
+    first = lambda c: F.first(F.when(filled, c), ignorenulls=True).over(later)
+    # Two neighbouring ranges with points have two points between them.
+    two = lambda own, other: F.slice(F.concat(own, F.coalesce(other, F.slice(own, 1, 0))), 1, 2)
+    linked = ranges.select(
+        *_PIECE,
+        F.slice("low", 1, 2).alias("own"),
+        two(F.col("low"), first(F.col("low"))).alias("up"),
+        two(F.col("high"), last(F.col("high"))).alias("down"),
+        F.sum("n").over(earlier).alias("before"),
+        F.sum("n").over(W.partitionBy(*_BLOCK)).alias("all"),
+        "n",
+    )
     none = F.lit(0).cast("bigint")
-    before = F.struct(
-        nothing.alias("p"),
-        nothing.alias("below"),
-        nothing.alias("below2"),
-        p.alias("above"),
-        F.col("above").alias("above2"),
-        none.alias("to_here"),
-        F.col("all"),
-        none.alias("__points"),
+    return linked.select(
+        *_PIECE,
+        F.struct(
+            "own",
+            last(F.col("down")).alias("under"),
+            first(F.col("up")).alias("over"),
+            F.coalesce("before", none).alias("before"),
+            F.coalesce("all", none).alias("all"),
+        ).alias("around"),
+    )
+
+
+def _floors(points: DataFrame, probes: DataFrame) -> DataFrame:
+    """Probes (``__key``, ``__x``) with the points around them, from one sort per range of a block."""
+    level = F.struct("p", "below", "below2", "above", "above2", "to_here", "__points")
+    merged = (
+        points.select(*_PIECE, F.col("p.PRESSURE").alias("__x"), level.alias("f"))
+        .unionByName(probes, allowMissingColumns=True)
+        .unionByName(_surroundings(points, probes), allowMissingColumns=True)
+    )
+    # What is around comes first, and a point precedes the requests at its pressure.
+    rising = W.partitionBy(*_PIECE).orderBy(F.col("__x").asc_nulls_first(), F.col("f").isNull())
+    so_far = rising.rowsBetween(W.unboundedPreceding, 0)
+    found = merged.select(
+        "__key",
+        "__x",
+        F.last("f", ignorenulls=True).over(so_far).alias("f"),
+        F.first("around", ignorenulls=True).over(so_far).alias("c"),
+    ).filter(F.col("__key").isNotNull())
+    f, c = F.col("f"), F.col("c")
+    hit = F.coalesce(f["p"]["PRESSURE"] == F.col("__x"), F.lit(False))
+    nothing = F.lit(0).cast("bigint")
+
+    def two(beyond: Column, *here: Column) -> Column:
+        """The first two points of those here and then those beyond the range."""
+        there = F.filter(F.array(*here), lambda p: p.isNotNull())
+        return F.slice(F.concat(there, F.coalesce(beyond, F.slice(there, 1, 0))), 1, 2)
+
+    below = F.when(hit, two(c["under"], f["below"], f["below2"])).otherwise(two(c["under"], f["p"], f["below"]))
+    own = lambda k: F.get(c["own"], F.lit(k))
+    above = F.when(f.isNull(), two(c["over"], own(0), own(1))).otherwise(two(c["over"], f["above"], f["above2"]))
+    passed = F.coalesce(f["to_here"], nothing)
+    sides = found.select(
+        "__key",
+        F.when(hit, f["p"]).alias("AT"),
+        below.alias("__below"),
+        above.alias("__above"),
+        (c["before"] + passed - F.when(hit, f["__points"]).otherwise(nothing)).alias("BELOW"),
+        (c["all"] - c["before"] - passed).alias("ABOVE"),
     )
-    rows = F.when(F.col("below").isNull(), F.array(F.struct(F.lit(None).alias("x"), before.alias("level")), _row(here)))
-    return neighbours.select(*_BLOCK, F.explode(rows.otherwise(F.array(_row(here)))).alias("r")).select(
-        *_BLOCK, F.col("r.x").alias("__x"), F.col("r.level").alias("__level")
+    at = lambda side, k: F.get(side, F.lit(k))
+    return sides.select(
+        "__key",
+        "AT",
+        at("__below", 0).alias("LOWER"),
+        at("__below", 1).alias("LOWER2"),
+        at("__above", 0).alias("UPPER"),
+        at("__above", 1).alias("UPPER2"),
+        "BELOW",
+        "ABOVE",
     )
 
 
-def _row(level: Column) -> Column:
-    return F.struct(F.col("PRESSURE").alias("x"), level.alias("level"))
+_FOUND = ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2", "BELOW", "ABOVE")
 
 
 def bracket(
-    requests: DataFrame,
-    pvt: DataFrame,
-    scope: str = "all_to_date",
-    piece: int | None = None,
-    at_most: int | None = None,
+    requests: DataFrame, pvt: DataFrame, scope: str = "all_to_date", width: float | None = None
 ) -> DataFrame:
     """Add the nearest points of each request.
 
-    ``requests`` are distinct rows with ID_COMPLETION, VRR_DATE and PRESSURE;
-    other columns are kept.  Added are the points AT the pressure, LOWER and
-    LOWER2 (the two nearest distinct pressures below), UPPER and UPPER2 (above),
-    each a struct of pressure, test date and properties or NULL, and the number
-    of points BELOW and ABOVE.  Of equal pressures the latest test wins.
+    ``requests`` have ID_COMPLETION, VRR_DATE and PRESSURE; other columns are
+    kept, and rows that repeat come back as often.  Added are the points AT the
+    pressure, LOWER and LOWER2 (the two nearest distinct pressures below), UPPER
+    and UPPER2 (above), each a struct of pressure, test date and properties or
+    NULL, and the number of points BELOW and ABOVE.  Of equal pressures the
+    latest test wins.
 
     ``scope`` is ``all_to_date`` for the points of every test known by the end
     of the request's month, or ``active`` for those of the last such test only.
-    Of the completions with more than ``piece`` requests (a million by default),
-    the thousand largest are cut into pieces.  ``at_most`` is a bound on the number of requests where
-    the caller knows one; otherwise they are counted, up to ``piece``.
+    ``width`` is that of the pressure ranges by which the work is cut; it does
+    not change the result.
     """
     if scope not in SCOPES:
         raise ValueError(f"unknown scope: {scope}")
+    width = RANGE if width is None else width
+    key = list(REQUEST_KEY)
+    only_keys = set(requests.columns) == set(key)
+    # Equal requests are looked up once.
+    asked = requests.groupBy(*key).agg(F.count(F.lit(1)).alias("__times"))
     sizes, block = _blocks_of_prefix(scope)
-    asked = requests.select(*REQUEST_KEY, F.struct(*requests.columns).alias("__request"))
-    probes = (
+    known = (
         with_known_tests(asked, pvt)
         # A request without a pressure matches nothing, like one without a test.
         .withColumn("TEST_NO", F.when(F.col("PRESSURE").isNotNull(), F.col("TEST_NO")))
-        .withColumn("__size", F.explode_outer(sizes))
-        .select(
-            *(F.col(name) for name in _BLOCK[:2]),
-            block.alias("__block"),
-            F.col("PRESSURE").alias("__x"),
-            "__request",
-        )
+        .withColumn("__key", F.struct(*key, "__times"))
     )
-    piece = PIECE if piece is None else piece
-    if at_most is None:
-        at_most = requests.limit(piece + 1).count()
-    cuts = _cuts(requests, piece) if at_most > piece else None
-    found = _floors(_levels(pvt, scope), probes, cuts)
-    if scope == "active":
-        return found.select("__request.*", *_FOUND)
-    gathered = found.groupBy("__request").agg(
+    probes = (
+        known.filter(F.col("TEST_NO").isNotNull())
+        .withColumn("__size", F.explode(sizes))
+        .withColumn("__block", block)
+        .withColumn("__range", _range_of("PRESSURE", width))
+        .select(*_PIECE, F.col("PRESSURE").alias("__x"), "__key")
+    )
+    found = _floors(_points(pvt, scope, width), probes)
+    if scope != "active":
+        found = _gathered(found)
+    none = F.lit(0).cast("bigint")
+    point = found.schema["AT"].dataType
+    without = known.filter(F.col("TEST_NO").isNull()).select(
+        "__key", *(F.lit(None).cast(point).alias(n) for n in _FOUND[:5]), none.alias("BELOW"), none.alias("ABOVE")
+    )
+    answers = found.unionByName(without).select("__key.*", *_FOUND)
+    if only_keys:
+        again = answers.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+        return again.select(*requests.columns, *_FOUND)
+    same = [F.col(f"__q.{name}").eqNullSafe(F.col(f"__a.{name}")) for name in key]
+    joined = requests.alias("__q").join(answers.alias("__a"), same, "left")
+    return joined.select(*(F.col(f"__q.{c}") for c in requests.columns), *(F.col(f"__a.{n}") for n in _FOUND))
+
+
+def _gathered(found: DataFrame) -> DataFrame:
+    """The block results of each request as one."""
+    gathered = found.groupBy("__key").agg(
         F.max("AT").alias("AT"),
         F.flatten(F.collect_list(F.array("LOWER", "LOWER2"))).alias("__lower"),
         F.flatten(F.collect_list(F.array("UPPER", "UPPER2"))).alias("__upper"),
@@ -206,95 +311,11 @@ def bracket(
         )
         .withColumn("__above", F.filter("__upper", lambda p: p.PRESSURE > F.col("UPPER.PRESSURE")))
         .withColumn("UPPER2", _lowest("__above"))
-        .select("__request.*", *_FOUND)
+        .select("__key", *_FOUND)
     )
 
 
-_FOUND = ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2", "BELOW", "ABOVE")
-
-
 def _lowest(points: str) -> Column:
     """The point of the lowest pressure, and of those the one tested last."""
     pressure = F.array_min(F.transform(points, lambda p: p.PRESSURE))
     return F.array_max(F.filter(points, lambda p: p.PRESSURE == pressure))
-
-
-def _cuts(requests: DataFrame, piece: int) -> DataFrame:
-    """Quantiles of the requested pressures of completions with many requests.
-
-    Only the thousand largest are cut: any other has less than a thousandth of
-    the requests and is no task's bottleneck.  So there are at most a thousand
-    rows, of at most 255 cuts each.  Requests are distinct, so no pressure is
-    asked for on more days than there are.
-    """
-    counted = requests.groupBy("ID_COMPLETION").agg(F.count(F.lit(1)).alias("n"))
-    hot = counted.filter(F.col("n") > piece).orderBy(F.col("n").desc()).limit(1000).select("ID_COMPLETION")
-    quantiles = [i / 256 for i in range(1, 256)]
-    return (
-        requests.join(F.broadcast(hot), "ID_COMPLETION")
-        .groupBy("ID_COMPLETION")
-        .agg(F.array_sort(F.array_distinct(F.percentile_approx("PRESSURE", quantiles))).alias("__cuts"))
-    )
-
-
-def _floors(levels: DataFrame, probes: DataFrame, cuts: DataFrame | None) -> DataFrame:
-    """Probes with the last level at or below them, read out as neighbours."""
-    piece = F.lit(0)
-    if cuts is not None:
-        # The first piece holds what lies below the first cut, all of a
-        # completion without cuts, and the row before the first pressure.
-        small = F.broadcast(cuts)
-        edges = _left_edges(levels, small)
-        piece = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= F.col("__x"))), piece)
-        levels, probes = (df.join(small, "ID_COMPLETION", "left") for df in (levels, probes))
-    levels, probes = (df.withColumn("__piece", piece).drop("__cuts") for df in (levels, probes))
-    if cuts is not None:
-        levels = levels.unionByName(edges)
-    merged = levels.withColumn("__request", F.lit(None)).unionByName(
-        probes.withColumn("__level", F.lit(None))
-    )
-    # A level precedes the requests at its pressure.
-    rising = W.partitionBy(*_BLOCK, "__piece").orderBy(
-        F.col("__x").asc_nulls_first(), F.col("__level").isNull()
-    )
-    floor = F.last("__level", ignorenulls=True).over(rising.rowsBetween(W.unboundedPreceding, 0))
-    found = (
-        merged.withColumn("f", floor)
-        .filter(F.col("__request").isNotNull())
-        .select("__request", "f", (F.col("f.p.PRESSURE") == F.col("__x")).alias("hit"))
-    )
-    hit, f = F.coalesce("hit", F.lit(False)), F.col("f")
-    none = F.lit(0).cast("bigint")
-    return found.select(
-        "__request",
-        F.when(hit, f["p"]).alias("AT"),
-        F.when(hit, f["below"]).otherwise(f["p"]).alias("LOWER"),
-        F.when(hit, f["below2"]).otherwise(f["below"]).alias("LOWER2"),
-        f["above"].alias("UPPER"),
-        f["above2"].alias("UPPER2"),
-        F.coalesce(f["to_here"] - F.when(hit, f["__points"]).otherwise(none), none).alias("BELOW"),
-        F.coalesce(f["all"] - f["to_here"], none).alias("ABOVE"),
-    )
-
-
-def _left_edges(levels: DataFrame, cuts: DataFrame) -> DataFrame:
-    """For every piece of a cut block but the first, the level in force at its start.
-
-    The window runs over the pieces of a block, of which there are at most 256.
-    """
-    cut = levels.join(cuts, "ID_COMPLETION").withColumn(
-        "__piece", F.size(F.filter("__cuts", lambda cut: cut <= F.coalesce("__x", F.lit(float("-inf")))))
-    )
-    highest = cut.groupBy(*_BLOCK, "__piece", "__cuts").agg(
-        F.max_by("__level", F.coalesce("__x", F.lit(float("-inf")))).alias("__level")
-    )
-    pieces = highest.groupBy(*_BLOCK, "__cuts").agg(
-        F.map_from_entries(F.collect_list(F.struct("__piece", "__level"))).alias("__of")
-    )
-    every = pieces.select(*_BLOCK, "__of", F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__piece"))
-    earlier = W.partitionBy(*_BLOCK).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
-    return (
-        every.withColumn("__level", F.last(F.col("__of")[F.col("__piece")], ignorenulls=True).over(earlier))
-        .filter(F.col("__level").isNotNull())
-        .select(*_BLOCK, F.lit(None).cast("double").alias("__x"), "__level", "__piece")
-    )

@@ -7,18 +7,14 @@ dates, and other tables then meet ``[start, end)`` through an equi-join.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from voidage.functions.dates import month_index, open_end
 
-_MONTH = "__month"
-
-#: Rows up to which intervals are sent to every task, after counting them.
-SMALL_ROWS = 200_000
+_MONTH, _FOLD = "__month", "__fold"
 
 
 def next_distinct_date(df: DataFrame, keys: Sequence[str], date: str, end: str = "END_DATE") -> DataFrame:
@@ -42,41 +38,20 @@ def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str
     return df.withColumn(end, F.coalesce(follows, open_end()))
 
 
-@dataclass(frozen=True)
-class Spread:
-    """What spreading intervals over calendar months comes to."""
+def last_start(*starts: DataFrame) -> Column:
+    """Month of the last date in tables of one column, as one scalar subquery.
 
-    first_start: dt.date | None
-    last_month: int
-    rows: int
+    The query works it out each time it runs; nothing is measured, and no date is
+    written down, while a plan is built or a view is defined.
+    """
+    dates = reduce(DataFrame.union, (df.toDF("d") for df in starts))
+    return dates.agg(F.coalesce(F.max(month_index(F.col("d"))), F.lit(0))).scalar()
 
-    @property
-    def small(self) -> bool:
-        return self.rows <= SMALL_ROWS
 
-
-def measure(intervals: DataFrame, start: str, end: str) -> Spread:
-    """One pass over the intervals, at planning time, that returns one row.
-
-    It decides how the larger side of an interval join moves: not at all when
-    the intervals are few enough to be sent to it, by a shuffle otherwise.
-    """
-    first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
-    is_open = F.col(end) == open_end()
-    row = (
-        intervals.filter(F.col(start) < F.col(end))
-        .agg(
-            F.min(start).alias("first_start"),
-            F.max(first).alias("last_month"),
-            F.count_if(is_open).alias("open"),
-            F.sum(F.when(is_open, first)).alias("open_from"),
-            F.sum(F.when(~is_open, last - first + 1)).alias("closed"),
-        )
-        .first()
-    )
-    last_month = row.last_month or 0
-    rows = (row.closed or 0) + row.open * (last_month + 1) - (row.open_from or 0)
-    return Spread(row.first_start, last_month, rows)
+def fits(df: DataFrame, limit_bytes: int) -> bool:
+    """Whether the rows of ``df`` take at most ``limit_bytes``, by one aggregation of their text lengths."""
+    widths = F.sum(sum((F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(16)))
+    return (df.agg(widths).first()[0] or 0) <= limit_bytes
 
 
 def interval_join(
@@ -87,7 +62,8 @@ def interval_join(
     start: str,
     end: str,
     how: str = "inner",
-    spread: Spread | None = None,
+    fold: Column | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key in force at a date.
 
@@ -99,27 +75,30 @@ def interval_join(
     key is spread over its months.
 
     Months after the last interval start are folded into that month on both
-    sides, so open-ended intervals are not repeated for ever.  An inner join drops
-    left rows from before the first start where they are read.
+    sides, so open-ended intervals are not repeated for ever; an interval that
+    starts later than the fold has that one month.
 
     ``on`` names columns that both sides have and ``at`` the left date; the
-    result keeps one of each key.  ``spread`` is the measure of ``right``, or of
-    a cheaper table with the same intervals.
+    result keeps one of each key.  ``fold`` is the ``last_start`` of ``right`` or,
+    as any fold gives the same rows, of cheaper tables.  How the sides move is left to Spark,
+    which measures them in bytes while the query runs, unless ``broadcast_bytes``
+    asks to measure the repeated intervals now, and send them if they are no more.
     """
-    if spread is None:
-        spread = measure(right, start, end)
-    fold = F.lit(spread.last_month)
-    months = F.sequence(
-        month_index(F.col(start)), F.least(month_index(F.date_sub(F.col(end), 1)), fold)
+    if fold is None:
+        fold = last_start(right.select(start))
+    first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
+    months = F.sequence(F.least(first, F.col(_FOLD)), F.least(last, F.col(_FOLD)))
+    by_month = (
+        right.filter(F.col(start) < F.col(end))
+        .withColumn(_FOLD, fold)
+        .withColumn(_MONTH, F.explode(months))
+        .drop(_FOLD)
     )
-    by_month = right.filter(F.col(start) < F.col(end)).withColumn(_MONTH, F.explode(months))
-    if how == "inner" and spread.first_start is not None:
-        left = left.filter(F.col(at) >= F.lit(spread.first_start))
     keyed = left.withColumn(_MONTH, F.least(month_index(F.col(at)), fold))
     condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:
         condition = condition & (F.col(f"__l.{name}") == F.col(f"__r.{name}"))
-    if spread.small:
+    if broadcast_bytes is not None and fits(by_month, broadcast_bytes):
         by_month = F.broadcast(by_month)
     joined = keyed.alias("__l").join(by_month.alias("__r"), condition, how)
     return joined.select(
@@ -128,7 +107,9 @@ def interval_join(
     )
 
 
-def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str, end: str) -> DataFrame:
+def overlap_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], start: str, end: str, fold: Column | None = None
+) -> DataFrame:
     """Pair the intervals of two tables that overlap, cut to the common part.
 
     Two intervals overlap when one starts within the other, so this is two
@@ -137,17 +118,16 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: st
 
     Both sides carry ``start`` and ``end``; the result has one of each.
     """
-    spread = measure(right, start, end)
-    # The same fold serves both; the left side is not counted, so not sent.
-    uncounted = Spread(None, spread.last_month, SMALL_ROWS + 1)
+    if fold is None:
+        fold = last_start(left.select(start), right.select(start))
     names = {start: "__start", end: "__end"}
 
-    def starts_within(inner: DataFrame, outer: DataFrame, spread: Spread) -> DataFrame:
+    def starts_within(inner: DataFrame, outer: DataFrame) -> DataFrame:
         outer = outer.withColumnsRenamed(names)
-        return interval_join(inner, outer, on, start, "__start", "__end", spread=spread)
+        return interval_join(inner, outer, on, start, "__start", "__end", fold=fold)
 
-    first = starts_within(left, right, spread)
-    second = starts_within(right, left, uncounted).filter(F.col(start) > F.col("__start"))
+    first = starts_within(left, right)
+    second = starts_within(right, left).filter(F.col(start) > F.col("__start"))
     return (
         first.unionByName(second).withColumn(end, F.least(end, "__end")).drop("__start", "__end")
     )

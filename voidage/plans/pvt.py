@@ -102,15 +102,15 @@ def with_branch(found: DataFrame, policy: str, tolerance: float = 0.0) -> DataFr
 
 
 def _tolerate(found: DataFrame, tolerance: float) -> DataFrame:
-    """Take a point nearer than ``tolerance`` for exact: the nearest, then the newest."""
+    """Take a point nearer than ``tolerance`` for exact: the newest, of one test the nearest."""
 
     def within(name: str) -> Column:
         gap = F.abs(F.col(f"{name}.PRESSURE") - F.col("PRESSURE"))
-        rank = F.struct((-gap).alias("near"), F.col(f"{name}.TEST_DATE").alias("tested"))
+        rank = F.struct(F.col(f"{name}.TEST_DATE").alias("tested"), (-gap).alias("near"))
         return F.when(gap < tolerance, F.struct(rank.alias("rank"), F.col(name).alias("point")))
 
-    best = F.array_max(F.array(within("LOWER"), within("UPPER")))
-    return found.withColumn("AT", F.coalesce("AT", best["point"]))
+    best = F.array_max(F.array(*map(within, ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2"))))
+    return found.withColumn("AT", best["point"])
 
 
 def property_value(name: str, guarded: bool = False) -> Column:
@@ -146,18 +146,16 @@ def pvt_lookup(
     tolerance: float = 0.0,
     guarded: bool = False,
     rounding: str = "sql",
-    at_most: int | None = None,
 ) -> DataFrame:
     """The ten fluid properties of each request, rounded to five places.
 
-    ``requests`` are distinct rows with ID_COMPLETION, VRR_DATE and PRESSURE;
-    they come back with their pressure unrounded, so that the result can be
-    joined on it, plus the properties, BRANCH (the rule applied) and
-    POINT_PRESSURE (the pressure of the point the rule started from).
-    ``at_most`` is a bound on the number of requests, if one is known.
+    ``requests`` are rows with ID_COMPLETION, VRR_DATE and PRESSURE; rows that
+    repeat come back as often.  They come back with their pressure unrounded, so
+    that the result can be joined on it, plus the properties, BRANCH (the rule
+    applied) and POINT_PRESSURE (the pressure of the point the rule started from).
     """
     round_off = ROUNDING[rounding]
-    chosen = with_branch(bracket(requests, pvt, scope, at_most=at_most), policy, tolerance)
+    chosen = with_branch(bracket(requests, pvt, scope), policy, tolerance)
     return with_line(chosen).select(
         *requests.columns,
         "BRANCH",

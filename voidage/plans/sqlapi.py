@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from voidage.plans.pvt import pvt_lookup, requests_by_factor
@@ -30,34 +32,59 @@ def register_line_functions(spark: SparkSession) -> None:
 def register_lookup_function(
     spark: SparkSession, requests: DataFrame, pvt: DataFrame, name: str = "pvt_at", **options
 ) -> None:
-    """A SQL table function that answers any of ``requests``.
+    """A SQL table function that answers ``requests`` and gives one row for any arguments.
 
-    The function selects from the set-based lookup by equality on its
-    arguments, so a LATERAL call is planned as an equi-join with it.
+    The function selects from the set-based lookup by equality on its arguments,
+    so a LATERAL call is planned as an equi-join with it.  Arguments that are not
+    among ``requests`` get the branch ``none`` without properties, like a request
+    about which nothing is known.
     """
-    pvt_lookup(requests, pvt, **options).createOrReplaceTempView(f"{name}_answers")
+    pvt_lookup(requests.distinct(), pvt, **options).createOrReplaceTempView(f"{name}_answers")
     columns = ", ".join(f"{p} DOUBLE" for p in PROPERTIES)
+    # At most one answer has the three keys, so each aggregate is its value.
+    values = ", ".join(f"max({p})" for p in PROPERTIES)
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(at_pressure DOUBLE, at_completion STRING, at_date DATE)
-            RETURNS TABLE (PRESSURE DOUBLE, BRANCH STRING, POINT_PRESSURE DOUBLE, {columns})
-            RETURN SELECT PRESSURE, BRANCH, POINT_PRESSURE, {', '.join(PROPERTIES)} FROM {name}_answers
+            RETURNS TABLE (BRANCH STRING, POINT_PRESSURE DOUBLE, {columns})
+            RETURN SELECT coalesce(max(BRANCH), 'none'), max(POINT_PRESSURE), {values} FROM {name}_answers
                    WHERE ID_COMPLETION = at_completion AND VRR_DATE = at_date AND PRESSURE = at_pressure"""
     )
 
 
+#: The views that ``register_views`` can define, in the order of their needs.
+TABLES = (
+    "production_volumes_daily_oilfield",
+    "pattern_contribution_factor",
+    "pattern_pressure",
+    "completion_pvt_characteristics",
+)
+VIEWS = ("completion_pvt_interpolated", "pattern_vrr_view")
+
+
 def register_views(
     spark: SparkSession,
     volumes: DataFrame,
     factors: DataFrame,
     pressures: DataFrame,
     pvt: DataFrame,
+    views: Sequence[str] = VIEWS,
+    prefix: str = "",
+    tables: bool = False,
     **options,
-) -> None:
-    """Temporary views of the base tables, the lookup and the report."""
-    volumes.createOrReplaceTempView("production_volumes_daily_oilfield")
-    factors.createOrReplaceTempView("pattern_contribution_factor")
-    pressures.createOrReplaceTempView("pattern_pressure")
-    pvt.createOrReplaceTempView("completion_pvt_characteristics")
-    answers = pvt_lookup(requests_by_factor(factors, pressures), pvt)
-    answers.createOrReplaceTempView("completion_pvt_interpolated")
-    vrr_view(volumes, factors, pressures, pvt, **options).createOrReplaceTempView("pattern_vrr_view")
+) -> list[str]:
+    """Temporary views of the lookup and the report; returns the names it defined.
+
+    Only the ``views`` asked for are planned, and ``tables`` says whether the base
+    tables get views, too.  ``prefix`` goes in front of all names, so that views of
+    the same name stay as they are.
+    """
+    made = {}
+    if tables:
+        made.update(zip(TABLES, (volumes, factors, pressures, pvt)))
+    if VIEWS[0] in views:
+        made[VIEWS[0]] = pvt_lookup(requests_by_factor(factors, pressures), pvt)
+    if VIEWS[1] in views:
+        made[VIEWS[1]] = vrr_view(volumes, factors, pressures, pvt, **options)
+    for name, df in made.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in made]

@@ -10,10 +10,10 @@ from voidage.functions.dates import pattern_key
 from voidage.functions.numeric import ratio_or_zero
 from voidage.functions.volumes import FREE_GAS_INPUTS, allocated_volumes, free_gas, scf
 from voidage.operators import factors as factor_rules
-from voidage.operators.intervals import interval_join, measure, overlap_join, validity_intervals
+from voidage.operators.intervals import interval_join, last_start, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
 from voidage.plans.pvt import pvt_lookup
-from voidage.sources.schemas import PROPERTIES, VOLUME_COLUMNS
+from voidage.sources.schemas import PROPERTIES, REQUEST_KEY, VOLUME_COLUMNS
 
 # The columns of the ratio report, in order.
 VRR_COLUMNS = (
@@ -45,6 +45,9 @@ VRR_COLUMNS = (
 
 PRESSURE_KEYS = ("factor", "volume")
 
+#: Parts into which the report deals the days of a pattern.
+SALTS = 32
+
 
 def pressure_intervals(pressures: DataFrame) -> DataFrame:
     """Pattern pressures with the date each one ends."""
@@ -61,6 +64,7 @@ def pressure_in_force(volumes: DataFrame, pressures: DataFrame) -> DataFrame:
         at="PROD_DATE",
         start="PRESSURE_DATE",
         end="END_DATE",
+        fold=last_start(pressures.select("DATE")),
     ).drop("END_DATE")
 
 
@@ -85,6 +89,7 @@ def _join_factors(daily: DataFrame, factors: DataFrame, rule: str, how: str) ->
         start="EFFECT_DATE",
         end="END_DATE",
         how=how,
+        fold=last_start(factors.select("EFFECT_DATE")),
     ).drop("END_DATE")
 
 
@@ -106,7 +111,12 @@ def schedule(factors: DataFrame, pressures: DataFrame, rule: str = "pair") -> Da
     a pattern are cut to their common part, so that a daily row later finds
     factor, pressure and fluid properties by one join.
     """
-    return _with_pressure(factor_rules.RULES[rule](factors), pressures)
+    return _with_pressure(factor_rules.RULES[rule](factors), pressures, schedule_fold(factors, pressures))
+
+
+def schedule_fold(factors: DataFrame, pressures: DataFrame) -> Column:
+    """Month after which neither a factor nor a pressure begins, from the base tables."""
+    return last_start(factors.select("EFFECT_DATE"), pressures.select("DATE"))
 
 
 def _pressure_periods(pressures: DataFrame) -> DataFrame:
@@ -119,9 +129,9 @@ def _pressure_periods(pressures: DataFrame) -> DataFrame:
     )
 
 
-def _with_pressure(intervals: DataFrame, pressures: DataFrame) -> DataFrame:
+def _with_pressure(intervals: DataFrame, pressures: DataFrame, fold: Column) -> DataFrame:
     periods = intervals.withColumnRenamed("EFFECT_DATE", "START_DATE")
-    return overlap_join(periods, _pressure_periods(pressures), ["ID_PATTERN"], "START_DATE", "END_DATE")
+    return overlap_join(periods, _pressure_periods(pressures), ["ID_PATTERN"], "START_DATE", "END_DATE", fold)
 
 
 def splits(
@@ -135,6 +145,7 @@ def splits(
     require_gas: bool = False,
     scope: str = "all_to_date",
     policy: str = "full",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Daily rows per pattern share: allocated volumes, free gas, pressure, properties."""
     if pressure_key not in PRESSURE_KEYS:
@@ -149,7 +160,7 @@ def splits(
         *FREE_GAS_INPUTS[gas_rule],
     )
     if pressure_key == "factor":
-        placed = _by_schedule(daily, factors, pressures, pvt, factor, scope, policy)
+        placed = _by_schedule(daily, factors, pressures, pvt, factor, scope, policy, broadcast_bytes)
     else:
         placed = _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, policy)
     return placed.select(
@@ -164,20 +175,20 @@ def splits(
     )
 
 
-def _properties(planned: DataFrame, pvt: DataFrame, scope: str, policy: str, at_most: int) -> DataFrame:
-    """Planned periods with their fluid properties, NULL where the policy gives no row."""
-    found = pvt_lookup(planned, pvt, scope, policy, at_most=at_most)
-    if policy == "low_only":
-        keys = ["ID_PATTERN", "ID_COMPLETION", "START_DATE", "END_DATE"]
-        found = planned.join(found.select(*keys, *PROPERTIES), keys, "left")
-    return found.select(*(c for c in planned.columns if c != "VRR_DATE"), *PROPERTIES)
+def _properties(planned: DataFrame, pvt: DataFrame, scope: str, policy: str) -> DataFrame:
+    """Planned periods with their fluid properties, NULL where the policy gives no row.
+
+    A pressure that several periods or patterns ask for is looked up once.
+    """
+    key = list(REQUEST_KEY)
+    answers = pvt_lookup(planned.select(*key).distinct(), pvt, scope, policy)
+    same = [F.col(f"__q.{name}").eqNullSafe(F.col(f"__a.{name}")) for name in key]
+    found = planned.alias("__q").join(answers.select(*key, *PROPERTIES).alias("__a"), same, "left")
+    return found.select(*(F.col(f"__q.{c}") for c in planned.columns if c != "VRR_DATE"), *PROPERTIES)
 
 
-def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy) -> DataFrame:
-    # Distinct by construction: pattern, completion and start identify a row.
-    planned = schedule(factors, pressures, factor)
-    spread = measure(planned, "START_DATE", "END_DATE")
-    looked_up = _properties(planned, pvt, scope, policy, spread.rows)
+def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy, broadcast_bytes) -> DataFrame:
+    looked_up = _properties(schedule(factors, pressures, factor), pvt, scope, policy)
     if factor != "latest":
         looked_up = looked_up.drop("ID_PATTERN")
     return interval_join(
@@ -187,7 +198,8 @@ def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy) -> DataF
         at="PROD_DATE",
         start="START_DATE",
         end="END_DATE",
-        spread=spread,
+        fold=schedule_fold(factors, pressures),
+        broadcast_bytes=broadcast_bytes,
     )
 
 
@@ -196,16 +208,14 @@ def _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, poli
     # stays: volumes meet pressures and properties first, factors last.
     members = volumes.select("ID_PATTERN", F.col("COMPLETION_ID").alias("ID_COMPLETION")).distinct()
     planned = members.join(_pressure_periods(pressures), "ID_PATTERN")
-    spread = measure(planned, "START_DATE", "END_DATE")
-    looked_up = _properties(planned, pvt, scope, policy, spread.rows)
     placed = interval_join(
         daily,
-        looked_up,
+        _properties(planned, pvt, scope, policy),
         on=["ID_PATTERN", "ID_COMPLETION"],
         at="PROD_DATE",
         start="START_DATE",
         end="END_DATE",
-        spread=spread,
+        fold=last_start(pressures.select("DATE")),
     )
     return _join_factors(placed.drop("START_DATE", "END_DATE"), factors, factor, "left")
 
@@ -321,6 +331,7 @@ def vrr_view(
     scope: str = "all_to_date",
     policy: str = "full",
     cumulative_includes_free_gas: bool = False,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Voidage replacement ratio per pattern, day and pressure.
 
@@ -328,12 +339,13 @@ def vrr_view(
     ``pressure_key``  whose pattern gives the pressure: the factor's or the volume's
     ``free_gas``      gor, stored or untyped
     ``require_gas``   leave out daily rows without a gas volume
+    ``broadcast_bytes`` measure the schedule now and send it to the daily rows if it is no larger
 
     The output pattern is the volume's own, so one pattern and day can have
     several pressures.  Days before the first production are left out.
     """
     shares = splits(
-        volumes, factors, pressures, pvt, factor, pressure_key, free_gas, require_gas, scope, policy
+        volumes, factors, pressures, pvt, factor, pressure_key, free_gas, require_gas, scope, policy, broadcast_bytes
     )
     report = ratios(rollup_with_cumulatives(shares, cumulative_includes_free_gas))
     return report.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") != 0).select(*VRR_COLUMNS)
@@ -361,13 +373,15 @@ def forward_matched(volumes: DataFrame, factors: DataFrame) -> DataFrame:
         at="PROD_DATE",
         start="EFFECT_DATE",
         end="END_DATE",
+        fold=last_start(factors.select("EFFECT_DATE")),
     ).drop("ID_COMPLETION", "END_DATE")
 
 
 def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) -> DataFrame:
     """The report over stored cumulative volumes, one row per distinct factor of the pattern."""
     intervals = _until_last_effect(factor_rules.by_completion(factors), factors)
-    planned = _with_pressure(intervals, pressures).drop("FACTOR", "LAST_EFFECT_DATE")
+    fold = schedule_fold(factors, pressures)
+    planned = _with_pressure(intervals, pressures, fold).drop("FACTOR", "LAST_EFFECT_DATE")
     daily = volumes.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") > 0).select(
         F.col("COMPLETION_ID").alias("ID_COMPLETION"),
         "PROD_DATE",
@@ -375,7 +389,7 @@ def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) ->
         "CUMULATIVE_INJECTION_VOLUME_RES_BBL",
         "CUMULATIVE_PRODUCTION_VOLUME_RES_BBL",
     )
-    matched = interval_join(daily, planned, ["ID_COMPLETION"], "PROD_DATE", "START_DATE", "END_DATE")
+    matched = interval_join(daily, planned, ["ID_COMPLETION"], "PROD_DATE", "START_DATE", "END_DATE", fold=fold)
     rows = matched.select(
         "ID_PATTERN",
         F.col("PROD_DATE").alias("DATE"),
@@ -388,7 +402,10 @@ def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) ->
         F.coalesce(scf(F.col("THEOR_GAS_VOL_KSCF")), F.lit(0.0)).alias("THEOR_GAS_VOL_KSCF"),
         F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL").alias("PRODUCTION_VOLUME_RES_BBL"),
     )
-    # Both sides are distinct before they meet, so their pairs are as well.
+    # Both sides are distinct before they meet, so their pairs are as well. The days of
+    # a pattern are dealt to salts, each of which gets the pattern's few factors.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     pattern_factors = factors.select("ID_PATTERN", F.col("FACTOR").alias("FACTORS")).distinct()
-    report = rows.distinct().join(pattern_factors, "ID_PATTERN")
+    salted = rows.distinct().withColumn("__salt", F.pmod(F.xxhash64("DATE"), F.lit(SALTS)).cast("int"))
+    report = salted.join(pattern_factors.withColumn("__salt", salts), ["ID_PATTERN", "__salt"]).drop("__salt")
     return report.withColumn("ID_PATTERN", pattern_key(F.col("ID_PATTERN"), F.col("DATE"), "dd-MMM-yyyy"))

@@ -52,18 +52,20 @@ def _named(prefix: str, key: Column) -> Column:
 
 
 def pvt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One number, and Parquet answers it from the file footers.
-    n = _read(spark, sf_dir, "supplier").count()
+    n = _read(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
     points = (
         _read(spark, sf_dir, "part")
-        .selectExpr(f"p_partkey % {n} AS s", f"p_partkey div {n} AS k", "CAST(p_size AS DOUBLE) AS z")
-        .filter("s % 10 <> 9 AND (s % 10 <> 8 OR k = 0)")
+        .withColumn("n", n)
+        .selectExpr("p_partkey % n AS s", "p_partkey div n AS k", "CAST(p_size AS DOUBLE) AS z")
     )
+    # A tenth of the completions have no test and a tenth one point: their other
+    # points belong to test wells, which no factor and no volume refers to.
+    elsewhere = F.expr("s % 10 = 9 OR (s % 10 = 8 AND k <> 0)")
     z = F.col("z")
     k = F.col("k")
     return conform(
         points.select(
-            _named("C", F.col("s")).alias("ID_COMPLETION"),
+            F.when(elsewhere, _named("T", F.col("s"))).otherwise(_named("C", F.col("s"))).alias("ID_COMPLETION"),
             F.date_add(F.lit("1995-01-15").cast("date"), (500 * (k % 4)).cast("int")).alias("TEST_DATE"),
             (1000 + 500 * F.expr("k div 4") + 50 * (z % 10)).alias("PRESSURE"),
             (1 + z / 64).alias("OIL_FORMATION_VOLUME_FACTOR"),
@@ -107,15 +109,18 @@ def contribution_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = (
         _read(spark, sf_dir, "supplier")
         .select("s_suppkey", "s_nationkey")
-        .filter("s_suppkey % 7 <> 0")
         .withColumn("x", F.explode(F.array(F.lit(0), F.lit(1))))
         .withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
-        .filter("v = 0 OR s_suppkey % 5 <> 0")
     )
+    # A seventh of the completions have no factor and a fifth no second one: these
+    # factors belong to planned wells, which have no volumes and no tests.
+    elsewhere = F.expr("s_suppkey % 7 = 0 OR (v = 1 AND s_suppkey % 5 = 0)")
     return conform(
         suppliers.select(
             _named("P", (F.col("s_nationkey") + role) % 25).alias("ID_PATTERN"),
-            _named("C", F.col("s_suppkey")).alias("ID_COMPLETION"),
+            F.when(elsewhere, _named("N", F.col("s_suppkey")))
+            .otherwise(_named("C", F.col("s_suppkey")))
+            .alias("ID_COMPLETION"),
             F.when(period == 0, "1996-01-01")
             .when(role == 0, "1999-01-01")
             .otherwise("1999-07-01")

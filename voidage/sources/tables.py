@@ -19,9 +19,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
-def read_path(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A base table stored as Parquet."""
-    return conform(spark.read.parquet(path), schemas.TABLES[table])
+def read_path(spark: SparkSession, path: str, table: str, stored_as: T.StructType | None = None) -> DataFrame:
+    """A base table stored as Parquet.
+
+    Without ``stored_as``, names and types as stored, files are opened to infer
+    them; a table stored by its declaration has ``schemas.TABLES[table]``.
+    """
+    reader = spark.read if stored_as is None else spark.read.schema(stored_as)
+    return conform(reader.parquet(path), schemas.TABLES[table])
 
 
 def read_table(spark: SparkSession, name: str, table: str) -> DataFrame:
@@ -32,12 +37,12 @@ def read_table(spark: SparkSession, name: str, table: str) -> DataFrame:
 def write_daily_volumes(volumes: DataFrame, path: str) -> None:
     """Store daily volumes by production year, so date filters prune files.
 
-    Rows are clustered on (year, completion) before the write, which keeps the
-    file count per year bounded and spreads any one completion over the years.
+    Rows are gathered by year before the write; adaptive execution splits a large
+    year and merges small ones, so tasks and files are of its advisory size.
     """
     (
         volumes.withColumn("PROD_YEAR", F.year("PROD_DATE"))
-        .repartition("PROD_YEAR", F.pmod(F.xxhash64("COMPLETION_ID"), F.lit(64)))
+        .hint("rebalance", F.col("PROD_YEAR"))
         .write.mode("overwrite")
         .partitionBy("PROD_YEAR")
         .parquet(path)
