@@ -8,22 +8,28 @@ from collections.abc import Callable, Iterable, Iterator
 class ChunkTable(dict):
     """Chunk -> value, filled by ``segment`` with all unseen chunks of a block at once.
 
-    Its size is bounded: when it holds ``most`` chunks it starts anew, so a worker's
-    memory does not grow with the vocabulary of the corpus.
+    Its size is bounded, so a worker's memory does not grow with the vocabulary of
+    the corpus: beyond ``most`` chunks only those that the block at hand uses stay,
+    or none with ``renew``.
     """
 
-    def __init__(self, segment: Callable[[list[str]], Iterable], most: int = 200_000):
+    def __init__(self, segment: Callable[[list[str]], Iterable], most: int = 400_000, renew: bool = False):
         super().__init__()
-        self.segment, self.most = segment, most
+        self.segment, self.most, self.renew = segment, most, renew
 
     def learn(self, blocks: Iterable[list[str]]) -> None:
-        unseen = set().union(*blocks).difference(self)
-        if unseen:
-            if len(self) + len(unseen) > self.most:
-                self.clear()
-                unseen = set().union(*blocks)
-            new = list(unseen)
-            self.update(zip(new, self.segment(new)))
+        used = set().union(*blocks)
+        # Not set.difference, which goes through the whole table unless it is a plain dict.
+        unseen = [chunk for chunk in used if chunk not in self]
+        if not unseen:
+            return
+        if len(self) + len(unseen) > self.most:
+            kept = {} if self.renew else {chunk: self[chunk] for chunk in used if chunk in self}
+            if self.renew:
+                unseen = list(used)
+            self.clear()
+            self.update(kept)
+        self.update(zip(unseen, self.segment(unseen)))
 
 
 def slices(values: list[str], most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:

@@ -45,7 +45,7 @@ def chunk_pattern(pieces: list[str]) -> re.Pattern | None:
 class Encoder:
     """Encodes texts as the library does, by way of the chunk table."""
 
-    def __init__(self, path: str, most_chunks: int = 200_000):
+    def __init__(self, path: str, most_chunks: int = 400_000):
         self.model = _load(path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.pattern = chunk_pattern(pieces)
@@ -100,7 +100,7 @@ class Decoder:
         return whole.decode("utf-8", "replace")[whole.startswith(b" ") :]
 
 
-def encode(docs: DataFrame, model_path: str | None = None, most_chunks: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, model_path: str | None = None, most_chunks: int = 400_000) -> DataFrame:
     """``doc_id`` and ``ids`` (binary, little-endian unsigned 32-bit) of every whole text of ``docs``.
 
     A null text is empty; an empty text has only the begin and end ids. Rows that

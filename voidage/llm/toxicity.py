@@ -281,7 +281,7 @@ class Scorer:
 
     def __init__(self, model: Model, most_words: int = 150_000):
         self.model = model
-        self.table = ChunkTable(self._rows, most_words)
+        self.table = ChunkTable(self._rows, most_words, renew=True)
         self.projected = np.zeros((0, 6 * HIDDEN), np.float32)
 
     def _rows(self, words: list[str]) -> range:
