@@ -161,6 +161,18 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).drop("in_a", "in_b")
 
 
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` with components that ``links`` connect made one; only what they connect is gone through."""
+    if links.isEmpty():
+        return parts
+    of = lambda side: parts.select(F.col("id").alias(side), F.col("component").alias(f"in_{side}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    more = components(between.select(F.coalesce("in_a", "a").alias("a"), F.coalesce("in_b", "b").alias("b")))
+    moved = parts.join(more.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left")
+    added = more.join(parts.select("id"), "id", "left_anti")
+    return stored(moved.select("id", F.coalesce("top", "component").alias("component")).unionByName(added))
+
+
 def _rest(members: DataFrame, width: int, percent: int) -> DataFrame:
     """Every pair of ``members`` (``node``, ``part``, ``text``) in different parts that can reach ``percent``: ``a``, ``b``.
 
@@ -245,10 +257,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     pairs = stored(pairs)
     texts = _texts_of(docs, classes.join(rows.select("node").distinct(), "node"), width)
     best = pairs.groupBy("b").agg(F.max(F.struct("weight", F.col("a"))).alias("m")).select(F.col("m.a").alias("a"), "b")
-    links = stored(_verified(best, texts, width, percent))
-    parts = components(links)
-    links = links.union(stored(_verified(_apart(pairs, parts), texts, width, percent)))
-    parts = components(links)
+    parts = components(stored(_verified(best, texts, width, percent)))
+    parts = _merged(parts, stored(_verified(_apart(pairs, parts), texts, width, percent)))
     placed = rows.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
         "tree", F.substring("path", 1, 4 * DEPTH).alias("prefix"), "node", F.coalesce("component", "node").alias("part")
     )
@@ -261,8 +271,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     if not open_.isEmpty():
         found = stored(_rest(texts.join(open_, "node"), width, percent))
         if not found.isEmpty():
-            links = links.union(stored(_verified(found, texts, width, percent)))
-            parts = components(links)
+            parts = _merged(parts, stored(_verified(found, texts, width, percent)))
     return _labelled(sets, classes, parts)
 
 
