@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -19,27 +22,67 @@ END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit; for a few ids much faster than an array of numpy."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Words that the tokenizer's model can be given directly: letters that are one sign
+#: each in lower case and in every normal form, then signs that are neither letters,
+#: numbers, an apostrophe nor part of a special token.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=?@\[\]^_`{}~]*)")
+#: What a tokenizer must be made of for that.
+STEPS = (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
+
+
 class WordEncoder:
     """Ids of whole texts, words between spaces and line ends encoded once each.
 
-    The tokenizer drops white space before it merges, so words are independent.
+    The tokenizer drops white space before it merges, so words are independent; so
+    are the letters and the signs behind them of a simple word. Its letters go to the
+    merging model without the steps before it, which cost far more and change only
+    their case.
     """
 
-    def __init__(self, path: str, most_words: int = 200_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, most_words: int = 400_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        config = json.loads(self.tokenizer.to_str())
+        kinds = lambda step, parts: [p["type"] for p in (config[step] or {}).get(parts, [])]
+        self.direct = (kinds("normalizer", "normalizers"), kinds("pre_tokenizer", "pretokenizers")) == STEPS
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(256) if SIMPLE.fullmatch(chr(c))]
+        self.as_bytes = str.maketrans({c: byte_level.pre_tokenize_str(c)[0][0] for c in letters})
         self.table = ChunkTable(self._segment, most_words)
 
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [pack_ids(x.ids) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def _segment(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        parts = [SIMPLE.fullmatch(word) if self.direct else None for word in words]
+        others = [word for word, part in zip(words, parts) if part is None]
+        tails = list({part[2] for part in parts if part})
+        found = iter(self._whole(others))
+        tail = dict(zip(tails, self._whole(tails)))
+        tokenize, stems = self.tokenizer.model.tokenize, {}
+        out = []
+        for part in parts:
+            if part is None:
+                out.append(next(found))
+                continue
+            letters = part[1].lower()
+            stem = stems.get(letters)
+            if stem is None:
+                stem = stems[letters] = pack_ids([t.id for t in tokenize(letters.translate(self.as_bytes))])
+            out.append(stem + tail[part[2]])
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         blocks = [text.replace("\n", " ").split(" ") for text in texts]
