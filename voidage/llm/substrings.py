@@ -17,6 +17,8 @@ from voidage.llm.recompress import LOWEST, _rows, _signed
 #: Bytes of the gram that makes an anchor.
 GRAM = 64
 _RNG = np.random.default_rng(77)
+#: Windows of a block.
+BLOCK = 32
 #: Two random values of each byte, and odd bases with their inverses modulo 2^64.
 VALUES = _RNG.integers(0, 1 << 63, (2, 256), dtype=np.int64).astype(U64) * U64(2) + U64(1)
 BASES = [int(x) * 4 + 5 & 0xFFFFFFFFFFFFFFFF for x in _RNG.integers(1 << 40, 1 << 61, 2)]
@@ -45,7 +47,7 @@ class Hashes:
 
 
 def anchors(hashes: Hashes, ends: np.ndarray, window: int):
-    """Groups of windows with the same anchor: first and last window, key, text of each group.
+    """Groups of windows with the same anchor: first and last window, key, text, anchor of each group.
 
     The anchor of a window is the gram with the least hash in it, the leftmost of
     equals. Equal windows have it at the same place, wherever they stand.
@@ -55,7 +57,7 @@ def anchors(hashes: Hashes, ends: np.ndarray, window: int):
     total = int(n_windows.sum())
     if not total:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, U64), none
+        return none, none, np.zeros(0, U64), none, none
     keys = hashes.grams(GRAM)
     span = window - GRAM + 1
     place_bits = 31
@@ -72,7 +74,7 @@ def anchors(hashes: Hashes, ends: np.ndarray, window: int):
     cut = np.ones(total, bool)
     cut[1:] = (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(cut)
-    return first[at], first[np.append(at[1:], total) - 1], keys[chosen[at]], owner[at]
+    return first[at], first[np.append(at[1:], total) - 1], keys[chosen[at]], owner[at], chosen[at]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -89,7 +91,8 @@ def repeated(docs: DataFrame, window: int = 400) -> DataFrame:
     Every window of ``window`` bytes that also starts somewhere else. Exact up to
     128-bit hashes. Steps, each stored: keys of anchors that occur more than once;
     groups of windows with such an anchor, counted by their whole span; of the spans
-    whose key has several different ones, one copy each, window by window.
+    whose key has several different ones, one copy each, cut to the blocks of windows
+    whose common bytes occur in another one; these window by window.
     """
     rows = _rows(docs)
 
@@ -100,7 +103,7 @@ def repeated(docs: DataFrame, window: int = 400) -> DataFrame:
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, ends in _blocks(batches):
             one, two = Hashes(data, 0), Hashes(data, 1)
-            first, last, keys, of = anchors(one, ends, window)
+            first, last, keys, of, anchor = anchors(one, ends, window)
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             spans = [h.of(first, last + window) for h in (one, two)]
             yield pa.RecordBatch.from_arrays(
@@ -110,25 +113,60 @@ def repeated(docs: DataFrame, window: int = 400) -> DataFrame:
                     part.column(1).take(pa.array(of)),
                     pa.array((first - starts[of]).astype(np.int32)),
                     pa.array((last - starts[of]).astype(np.int32)),
+                    pa.array((anchor - starts[of]).astype(np.int32)),
                     *map(_signed, spans),
                 ],
-                ["key", "doc", "tie", "first", "last", "one", "two"],
+                ["key", "doc", "tie", "first", "last", "anchor", "one", "two"],
             )
 
     keys = rows.mapInArrow(keyed, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     shared = stored(keys.filter("n > 1").select("key"))
-    groups = rows.mapInArrow(grouped, "key long, doc long, tie long, first int, last int, one long, two long")
+    groups = rows.mapInArrow(grouped, "key long, doc long, tie long, first int, last int, anchor int, one long, two long")
     groups = stored(groups.join(shared, "key", "left_semi"))
     spans = stored(
         groups.groupBy("key", "one", "two").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "tie", "first", "last")).alias("copy")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "tie", "first", "last", "anchor")).alias("copy")
         )
     )
     whole = groups.join(spans.filter("n > 1").select("one", "two"), ["one", "two"], "left_semi")
     whole = whole.select("doc", "tie", "first", "last")
     several = spans.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     open_ = spans.join(several, "key", "left_semi").select("copy.*", (F.col("n") == 1).alias("single"))
-    of_text = open_.groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "last", "single")).alias("ranges"))
+    of_text = lambda spans, *more: spans.groupBy("doc", "tie").agg(
+        F.collect_list(F.struct("first", "last", "single", *more)).alias("ranges")
+    )
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of windows that stand alike to their anchor, by what all windows of a block have in common."""
+        for part, data, ends in _blocks(batches):
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            rows_ = []
+            for k, ranges in enumerate(part.column(3).to_pylist()):
+                for r in ranges:
+                    for j in range((r["anchor"] - r["last"]) // BLOCK, (r["anchor"] - r["first"]) // BLOCK + 1):
+                        top = r["anchor"] - BLOCK * j
+                        rows_.append((k, j, top, max(r["first"], top - BLOCK + 1), min(r["last"], top), r["single"]))
+            of, j, top, first, last, alone = (np.array(c) for c in zip(*rows_))
+            at = top + starts[of]
+            common = [Hashes(data, w).of(at, at - BLOCK + 1 + window) for w in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _signed(mixed(common[0] + j.astype(U64))),
+                    _signed(common[1]),
+                    part.column(0).take(pa.array(of)),
+                    part.column(1).take(pa.array(of)),
+                    pa.array(first.astype(np.int32)),
+                    pa.array(last.astype(np.int32)),
+                    pa.array(alone),
+                ],
+                ["one", "two", "doc", "tie", "first", "last", "single"],
+            )
+
+    spread = rows.join(of_text(open_, "anchor"), ["doc", "tie"]).select("doc", "tie", "text", "ranges")
+    core = "one long, two long, doc long, tie long, first int, last int, single boolean"
+    blocks = stored(spread.mapInArrow(cores, core))
+    met = blocks.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    blocks = stored(blocks.join(met, ["one", "two"], "left_semi").drop("one", "two"))
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, ends in _blocks(batches):
@@ -153,7 +191,7 @@ def repeated(docs: DataFrame, window: int = 400) -> DataFrame:
                 ["one", "two", "doc", "tie", "first", "single"],
             )
 
-    windows = rows.join(of_text, ["doc", "tie"]).select("doc", "tie", "text", "ranges")
+    windows = rows.join(of_text(blocks), ["doc", "tie"]).select("doc", "tie", "text", "ranges")
     windows = stored(windows.mapInArrow(single, "one long, two long, doc long, tie long, first int, single boolean"))
     often = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     lone = windows.filter("single").join(often, ["one", "two"], "left_semi")
