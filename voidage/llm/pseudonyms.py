@@ -14,6 +14,27 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 DEFAULT_KEY = "replace this key"
 
+#: What may stand between two digits of a phone number.
+_BETWEEN = r"(?:[ .-]?\(|\)[ .-]?|[ .-])?"
+#: The same, but no space after six digits in line or after a group that a dot or hyphen
+#: joins: what follows it is a number of its own.
+_WITHIN = (
+    r"(?:[ .-]?\(|\)[ .-]?|[.-]|(?<![0-9]{6})"
+    + "".join(rf"(?<![.-][0-9]{{{n}}})" for n in range(1, 6))
+    + r" )?"
+)
+#: Countries whose numbers all have the same length, by the digits that follow the code.
+_PHONE_DIGITS = {
+    10: "1|7|30|44|52|57|90|91|92",
+    9: "27|31|33|34|41|48|61|212|351|380|420|421|966",
+    8: "45|47|65|852",
+}
+_FIXED_PHONE = "|".join(
+    rf"\+(?:{codes})(?:{_BETWEEN}[0-9]){{{digits}}}(?![0-9A-Za-z])" for digits, codes in _PHONE_DIGITS.items()
+)
+#: 8 to 15 digits, as many as there are; from ten on a separate number is not taken in.
+_ANY_PHONE = rf"\+[0-9](?:{_BETWEEN}[0-9]){{7,9}}(?:{_WITHIN}[0-9]){{0,5}}"
+
 #: Forms of the values that are looked for. Each begins at a place that a longer run
 #: of the same signs cannot precede, and has bounded repetition, so a search is
 #: linear in the text.
@@ -21,7 +42,7 @@ FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,12}(?:[ .-][0-9]{2,5}){0,4}(?![0-9A-Za-z])"
+    "phone": rf"(?<![0-9A-Za-z+])(?:{_FIXED_PHONE}|{_ANY_PHONE})(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "date": r"(?<![0-9A-Za-z.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
