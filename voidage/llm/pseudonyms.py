@@ -35,13 +35,33 @@ _FIXED_PHONE = "|".join(
 #: 8 to 15 digits, as many as there are; from ten on a separate number is not taken in.
 _ANY_PHONE = rf"\+[0-9](?:{_BETWEEN}[0-9]){{7,9}}(?:{_WITHIN}[0-9]){{0,5}}"
 
+#: Signs of an IBAN by country, so that a word after it is not taken for its end.
+_IBAN_SIGNS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "AO|CV|GW|LY|MZ|PT|ST", 26: "DZ|IR|IS|TR", 27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE",
+    31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form(signs: int, countries: str) -> str:
+    groups, rest = divmod(signs - 4, 4)
+    return rf"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+#: Of any other country without spaces, where its end is plain.
+_IBAN = "|".join(
+    [rf"(?:{_iban_form(n, c)})(?![0-9A-Za-z])" for n, c in _IBAN_SIGNS.items()] + [r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"]
+)
+
 #: Forms of the values that are looked for. Each begins at a place that a longer run
 #: of the same signs cannot precede, and has bounded repetition, so a search is
 #: linear in the text.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})(?![0-9A-Za-z])",
     "phone": rf"(?<![0-9A-Za-z+])(?:{_FIXED_PHONE}|{_ANY_PHONE})(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
@@ -198,29 +218,35 @@ def _ip(value: Column, key: Column) -> Column:
     )
 
 
-def _day(value: Column) -> Column:
+def _day(value: Column, month_first: bool = False) -> Column:
     """The date that ``value`` writes, null if there is none such from 1900 to 2099."""
     parts = F.split(value, "[./-]")
     iso = value.rlike("^[0-9]{4}")
     year, month, day = (
         F.when(iso, parts[0]).otherwise(parts[2]),
-        parts[1],
-        F.when(iso, parts[2]).otherwise(parts[0]),
+        F.when(iso, parts[1]).otherwise(parts[0 if month_first else 1]),
+        F.when(iso, parts[2]).otherwise(parts[1 if month_first else 0]),
     )
     date = F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd")
     return F.when(date.between(F.lit(FIRST_DAY).cast("date"), F.date_add(F.lit(FIRST_DAY).cast("date"), DAYS - 1)), date)
 
 
-def _date(value: Column, key: Column) -> Column:
+def _date(value: Column, key: Column, month_first: bool = False) -> Column:
     # 271 * 270 is the next product above the number of days: a result beyond the
-    # last day is permuted again, so the days are permuted among themselves.
+    # last day is permuted again, so the days are permuted among themselves. Dates that
+    # can only be read month first stay such dates, so none becomes another's pseudonym.
     secret = F.concat(key, F.lit(":date"))
+    day_of = lambda n: F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
     moved = F.aggregate(
-        F.sequence(F.lit(1), F.lit(16)),
-        _mixed(F.datediff(_day(value), F.lit(FIRST_DAY).cast("date")).cast("long"), 271, 270, secret),
-        lambda n, i: F.when(n < DAYS, n).otherwise(_mixed(n, 271, 270, secret)),
+        F.sequence(F.lit(1), F.lit(96 if month_first else 16)),
+        _mixed(F.datediff(_day(value, month_first), F.lit(FIRST_DAY).cast("date")).cast("long"), 271, 270, secret),
+        lambda n, i: F.when(
+            (n < DAYS) & (F.dayofmonth(day_of(n)) > 12) if month_first else n < DAYS, n
+        ).otherwise(_mixed(n, 271, 270, secret)),
     )
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int"))
+    date = day_of(moved)
+    if month_first:
+        return F.when(value.contains("/"), F.date_format(date, "MM/dd/yyyy")).otherwise(F.date_format(date, "MM.dd.yyyy"))
     return (
         F.when(value.rlike("^[0-9]{4}"), F.date_format(date, "yyyy-MM-dd"))
         .when(value.contains("/"), F.date_format(date, "dd/MM/yyyy"))
@@ -245,7 +271,12 @@ def pseudonym(value: Column, key: Column) -> Column:
             kind("ssn"),
             F.when(value.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"), _ssn(value, key)).otherwise(value),
         )
-        .when(kind("date"), F.when(_day(value).isNotNull(), _date(value, key)).otherwise(value))
+        .when(
+            kind("date"),
+            F.when(_day(value).isNotNull(), _date(value, key))
+            .when(_day(value, True).isNotNull(), _date(value, key, True))
+            .otherwise(value),
+        )
         .when(kind("card"), F.when(_is_card(value), _card(value, key)).otherwise(value))
         .otherwise(value)
     )
