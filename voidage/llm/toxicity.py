@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,6 +23,10 @@ MOST_WORDS = 20_000
 #: Toxic rows, and half the clean rows, that the model is fitted on, chosen by a hash of their id.
 SAMPLE = 1_500
 PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+#: Signs of the longest input; longer words are read in parts, each half over the one before.
+LONGEST = 40
+_LONG = re.compile(rf"\S{{{LONGEST + 1}}}")
+_MARKS = re.compile(f"[{re.escape(PUNCTUATION)}]+")
 
 
 @dataclass
@@ -32,8 +37,19 @@ class Model:
     weights: dict[str, np.ndarray]
 
 
+def parts_of(word: str) -> list[str]:
+    """The word; one longer than an input without the punctuation around it is cut there, then into overlapping parts."""
+    if len(word) <= LONGEST or len(word.strip(PUNCTUATION) or word) <= LONGEST:
+        return [word]
+    step = LONGEST // 2
+    pieces = [piece for piece in _MARKS.split(word) if piece] or [word]
+    return [p[i : i + LONGEST] for p in pieces for i in range(0, max(1, len(p) - step), step)]
+
+
 def split_words(text: str) -> list[str]:
-    return text.lower().split()
+    """Words of the whole text, long ones in parts."""
+    words = text.lower().split()
+    return [part for word in words for part in parts_of(word)] if _LONG.search(text) else words
 
 
 def word_inputs(words: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,7 +61,7 @@ def word_inputs(words: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarra
         core = word.strip(PUNCTUATION) or word
         numbers[k] = vocabulary.get(core, 0)
         starts[k] = len(flat)
-        marked = f"^{core[:40]}$".encode("utf-8", "replace")
+        marked = f"^{core}$".encode("utf-8", "replace")
         flat += [zlib.crc32(marked[i : i + 4]) % GRAMS for i in range(max(1, len(marked) - 3))]
     return numbers, np.array(flat, np.int64), starts
 
@@ -307,6 +323,10 @@ class Scorer:
             owners, first = np.unique(windows.owner[order], return_index=True)
             begin = np.concatenate([[0], np.cumsum([len(words) for words in split])])
             tops[owners] = windows.starts[order[first]] - begin[owners]
+            for k in owners:
+                if _LONG.search(texts[k]):
+                    ends = np.cumsum([len(parts_of(word)) for word in texts[k].lower().split()])
+                    tops[k] = np.searchsorted(ends, tops[k], side="right")
         return scores, counts, tops
 
 
