@@ -1,0 +1,43 @@
+"""Lookups where several tests have points within the tolerance."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+
+from build import pvt_table, request_table
+from voidage.plans.pvt import pvt_lookup
+
+
+@pytest.mark.parametrize("side", [1, -1])
+def test_the_newest_of_many_noisy_points(spark, side):
+    points = [("C1", f"20{10 + k}-01-01", 200.0 + side * k * 1e-6, float(k)) for k in range(1, 9)]
+    points += [("C1", "2019-06-01", 200.0 + side * 1e-4, 50.0), ("C1", "2030-01-01", 200.0, 60.0)]
+    (row,) = pvt_lookup(request_table(spark, [("C1", "2020-03-10", 200.0)]), pvt_table(spark, points), tolerance=1e-5).collect()
+    assert (row.BRANCH, row.VISCOSITY_OIL, row.POINT_PRESSURE) == ("exact", 8.0, points[7][2])
+
+
+@pytest.mark.parametrize("tolerance", [1e-5, 0.5, 30.0])
+def test_against_all_points(spark, tolerance):
+    rng = random.Random(5)
+    near = lambda: rng.choice([100.0, 250.0]) + rng.uniform(-2, 2) * tolerance
+    points = []
+    for k in range(300):
+        key = (rng.choice("AB"), f"{rng.randrange(2000, 2020)}-{rng.randrange(1, 13):02}-15")
+        points.append((*key, near(), float(k)))
+    asked = [(rng.choice("ABC"), f"{rng.randrange(1999, 2021)}-{rng.randrange(1, 13):02}-03", near()) for _ in range(150)]
+    asked += asked[:5] + [("A", "2010-01-01", None)]
+    rows = pvt_lookup(request_table(spark, asked), pvt_table(spark, points), tolerance=tolerance).collect()
+    assert len(rows) == len(asked)
+    for row in rows:
+        known = [
+            p for p in points
+            if row.PRESSURE is not None and p[0] == row.ID_COMPLETION and p[1][:7] <= str(row.VRR_DATE)[:7]
+            and abs(p[2] - row.PRESSURE) < tolerance
+        ]
+        assert (row.BRANCH == "exact") == bool(known)
+        if known:
+            best = max(known, key=lambda p: (dt.date.fromisoformat(p[1]), -abs(p[2] - row.PRESSURE)))
+            assert (row.POINT_PRESSURE, row.VISCOSITY_OIL) == (best[2], best[3])

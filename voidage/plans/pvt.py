@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voidage.functions.dates import month_end
 from voidage.functions.numeric import ROUNDING
 from voidage.operators.curves import bracket
-from voidage.sources.schemas import PROPERTIES
+from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
 #: What a lookup does where there is no exact point:
 #: ``full``           interpolate, else extend the curve at either end, else one flat value
@@ -43,7 +44,7 @@ def pvt_stub(requests: DataFrame) -> DataFrame:
     return requests.select("*", *(F.lit(None).cast("double").alias(name) for name in PROPERTIES))
 
 
-def with_branch(found: DataFrame, policy: str, tolerance: float = 0.0) -> DataFrame:
+def with_branch(found: DataFrame, policy: str) -> DataFrame:
     """Name the rule each bracketed request falls under and pick its points.
 
     Adds BRANCH and the structs ``__a`` and ``__b``: the value is that of the
@@ -51,8 +52,6 @@ def with_branch(found: DataFrame, policy: str, tolerance: float = 0.0) -> DataFr
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy: {policy}")
-    if tolerance:
-        found = _tolerate(found, tolerance)
     at, low, low2, up, up2 = (
         F.col(name).isNotNull() for name in ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2")
     )
@@ -101,16 +100,43 @@ def with_branch(found: DataFrame, policy: str, tolerance: float = 0.0) -> DataFr
     )
 
 
-def _tolerate(found: DataFrame, tolerance: float) -> DataFrame:
+def _tolerate(found: DataFrame, pvt: DataFrame, scope: str, tolerance: float) -> DataFrame:
     """Take a point nearer than ``tolerance`` for exact: the newest, of one test the nearest."""
 
-    def within(name: str) -> Column:
-        gap = F.abs(F.col(f"{name}.PRESSURE") - F.col("PRESSURE"))
-        rank = F.struct(F.col(f"{name}.TEST_DATE").alias("tested"), (-gap).alias("near"))
-        return F.when(gap < tolerance, F.struct(rank.alias("rank"), F.col(name).alias("point")))
-
-    best = F.array_max(F.array(*map(within, ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2"))))
-    return found.withColumn("AT", best["point"])
+    def rank(point: Column) -> Column:
+        gap = F.abs(point["PRESSURE"] - F.col("PRESSURE"))
+        key = F.struct(point["TEST_DATE"].alias("tested"), (-gap).alias("near"))
+        return F.when(gap < tolerance, F.struct(key.alias("rank"), point.alias("point")))
+
+    if scope == "active":
+        # Points of one test only: the nearest is among those next to the request.
+        best = F.array_max(F.array(*(rank(F.col(name)) for name in ("AT", "LOWER", "UPPER"))))
+        return found.withColumn("AT", best["point"])
+    # Bins are twice as wide as the tolerance; a request asks those that it reaches.
+    bins = lambda pressure: pressure / F.lit(2.0 * tolerance)
+    near = (
+        found.filter(F.col("PRESSURE").isNotNull())
+        .select(*REQUEST_KEY)
+        .distinct()
+        .withColumn("__bin", F.explode(F.sequence(*(F.floor(bins(F.col("PRESSURE")) + x) for x in (-0.51, 0.51)))))
+    )
+    points = (
+        pvt.filter(F.col("PRESSURE").isNotNull() & F.col("TEST_DATE").isNotNull())
+        .select("ID_COMPLETION", F.struct("PRESSURE", "TEST_DATE", *PROPERTIES).alias("__p"))
+        .withColumn("__bin", F.floor(bins(F.col("__p.PRESSURE"))))
+    )
+    newest = (
+        near.join(points, ["ID_COMPLETION", "__bin"])
+        .filter(F.col("__p.TEST_DATE") <= month_end(F.col("VRR_DATE")))
+        .groupBy(*REQUEST_KEY)
+        .agg(F.max(rank(F.col("__p")))["point"].alias("__at"))
+    )
+    same = [F.col(f"__q.{name}") == F.col(f"__n.{name}") for name in REQUEST_KEY]
+    return (
+        found.alias("__q")
+        .join(newest.alias("__n"), same, "left")
+        .select(*(F.col("__n.__at").alias(c) if c == "AT" else F.col(f"__q.{c}") for c in found.columns))
+    )
 
 
 def property_value(name: str, guarded: bool = False) -> Column:
@@ -155,7 +181,10 @@ def pvt_lookup(
     applied) and POINT_PRESSURE (the pressure of the point the rule started from).
     """
     round_off = ROUNDING[rounding]
-    chosen = with_branch(bracket(requests, pvt, scope), policy, tolerance)
+    found = bracket(requests, pvt, scope)
+    if tolerance:
+        found = _tolerate(found, pvt, scope, tolerance)
+    chosen = with_branch(found, policy)
     return with_line(chosen).select(
         *requests.columns,
         "BRANCH",
