@@ -339,16 +339,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     """Fit on at most ``sample`` toxic and twice as many clean rows, chosen by a hash of ``doc_id`` and never held out.
 
     None (all scores 0) where a class has no labelled row. Null labels and null ids
-    are passed over. Only the sampled rows reach the driver.
+    are passed over; an id with both labels is toxic. Of rows that share an id the one
+    of the least text hash is learned from, so no more than the sample reaches the driver.
     """
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
-    known = known.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"])
+    known = known.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [
         known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         for kind, most in ((0, 2 * sample), (1, sample))
     ]
     chosen = F.broadcast(parts[0].union(parts[1]))  # at most 3 * sample rows of two numbers
-    rows = id_and_text(docs).join(chosen, "doc_id").collect()
+    of_hash = F.struct(F.xxhash64("text").alias("hash"), "text")
+    sampled = id_and_text(docs).join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min(of_hash)["text"].alias("text"))
+    rows = sampled.collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows]))
 
