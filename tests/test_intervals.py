@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from build import day, factor_table, pressure_table, volume_table
 from voidage.operators.extremes import first_rows, two_extremes
-from voidage.operators.intervals import interval_join, last_start, next_distinct_date, overlap_join, validity_intervals
+from voidage.operators.intervals import CYCLE, interval_join, next_distinct_date, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
 from voidage.plans.vrr import pressure_in_force, with_factor
 
@@ -59,14 +59,26 @@ def test_interval_join_with_nothing_on_the_right(spark):
     assert interval_join(left, empty, ["k"], "at", "start", "END_DATE", "left").count() == 200
 
 
-def test_any_fold_gives_the_same(spark):
-    """Bounds may come from a cheaper table: months are folded at other places then."""
-    left, right, _ = _random_tables(spark, 6)
-    ended = validity_intervals(right, ["k"], "start")
-    rows = lambda **o: sorted(map(str, interval_join(left, ended, ["k"], "at", "start", "END_DATE", **o).collect()))
-    early = spark.createDataFrame([(day("1990-01-01"),)], "start date")
-    late = early.union(spark.createDataFrame([(day("2031-01-01"),)], "start date"))
-    assert rows() == rows(fold=last_start(early.select("start"))) == rows(fold=last_start(late.select("start")))
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_long_and_overlapping_intervals(spark, how):
+    """Intervals of a day up to many cycles, open ends, empty and reversed ones, whole cycles apart."""
+    rng = random.Random(8)
+    date = lambda: dt.date(1950, 1, 1) + dt.timedelta(days=rng.randrange(30_000))
+    rows = []
+    for i in range(150):
+        start = date()
+        length = rng.choice([-40, 0, 1, 20, 400, 365 * 5, 365 * 30])
+        rows.append((rng.choice("AB"), start, rng.choice([start + dt.timedelta(days=length), dt.date(9999, 12, 31)]), i))
+    rows += [("A", None, dt.date(2000, 1, 1), -1), ("A", dt.date(2000, 1, 1), None, -2), (None, *rows[0][1:3], -3)]
+    asked = [(rng.choice("ABC"), date(), n) for n in range(300)] + [("A", None, -1), (None, date(), -2)]
+    right = spark.createDataFrame(rows, "k string, start date, end date, i int")
+    left = spark.createDataFrame(asked, "k string, at date, n int")
+    found = sorted((r.n, r.i) for r in interval_join(left, right, ["k"], "at", "start", "end", how).collect() if r.i is not None)
+    inside = lambda r, k, at: None not in (r[0], r[1], r[2], k, at) and r[0] == k and r[1] <= at < r[2]
+    expected = sorted((n, r[3]) for k, at, n in asked for r in rows if inside(r, k, at))
+    assert found == expected
+    kept = {r.n for r in interval_join(left, right, ["k"], "at", "start", "end", how).collect()}
+    assert kept == ({n for *_, n in asked} if how == "left" else {n for n, _ in expected})
 
 
 def _repeated(spark, joined) -> int:
@@ -89,19 +101,16 @@ def _repeated(spark, joined) -> int:
     return sum(metrics)
 
 
-def test_starts_after_the_fold_are_not_repeated(spark):
-    """Factors that start decades after the last pressure get one month each, not a backward row of months."""
-    factors = spark.createDataFrame([("P", day("2050-01-01"), day("9999-12-31"), i) for i in range(10)], "k string, s date, e date, f int")
+def test_an_interval_is_repeated_for_one_cycle_at_most(spark):
+    """However long it is, and whatever dates the other side has."""
+    factors = spark.createDataFrame([("P", day("1950-01-01"), day("9999-12-31"), i) for i in range(10)], "k string, s date, e date, f int")
     pressures = spark.createDataFrame([("P", day("2019-01-01"), day("2019-02-01"), 1)], "k string, s date, e date, p int")
-    joined = interval_join(
-        pressures, factors.withColumnsRenamed({"s": "s2", "e": "e2"}), ["k"], "s", "s2", "e2", "left",
-        fold=last_start(pressures.select("s")),
-    )
-    assert _repeated(spark, joined) <= 10
-    empty = pressures.filter("false")
-    assert overlap_join(factors, empty, ["k"], "s", "e").count() == 0
-    assert _repeated(spark, interval_join(pressures, factors.withColumnsRenamed({"s": "s2", "e": "e2"}), ["k"], "s", "s2", "e2", "left",
-                                          fold=last_start(empty.select("s")))) <= 10
+    others = factors.withColumnsRenamed({"s": "s2", "e": "e2"})
+    joined = interval_join(pressures, others, ["k"], "s", "s2", "e2", "left")
+    assert joined.count() == 10 and _repeated(spark, joined) == 10 * CYCLE
+    month = pressures.withColumnsRenamed({"s": "s2", "e": "e2"})
+    assert _repeated(spark, interval_join(factors, month, ["k"], "s", "s2", "e2", "left")) == 1
+    assert overlap_join(factors, pressures.filter("false"), ["k"], "s", "e").count() == 0
 
 
 def test_next_distinct_date_skips_ties(spark):

@@ -38,11 +38,27 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-def _final_plan(df) -> str:
+def _executed(df) -> list:
+    """The nodes of the plan as it was run, subqueries left out; what is reused is one node."""
     execution = df._jdf.queryExecution()
     execution.toRdd().count()
-    plan = execution.executedPlan().toString()
-    return plan[: plan.index("== Initial Plan ==")]
+    pending, nodes = [execution.executedPlan()], []
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            pending.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            pending.append(node.plan())
+        else:
+            nodes.append(node)
+            children = node.children()
+            pending += [children.apply(i) for i in range(children.size())]
+    return nodes
+
+
+def _scans(nodes, column: str) -> int:
+    return sum(node.getClass().getSimpleName() == "FileSourceScanExec" and f"{column}#" in node.toString() for node in nodes)
 
 
 def test_scan_reads_only_what_the_query_needs(spark):
@@ -58,9 +74,33 @@ def test_top_rows_are_cut_before_the_shuffle(spark, name):
 
 
 def test_rollup_is_grouped_once(spark):
-    """The running totals reuse the shuffle of the grouped rows."""
-    plan = _final_plan(QUERIES["vrr_view_pair"](spark, MEDIUM))
-    assert "ReusedExchange" in plan
+    """The daily lines are read once, and the running totals reuse the shuffle of the grouped rows."""
+    nodes = _executed(QUERIES["vrr_view_pair"](spark, MEDIUM))
+    assert _scans(nodes, "l_suppkey") == 1
+    reused = [node.toString() for node in nodes if node.getClass().getSimpleName() == "ReusedExchangeExec"]
+    assert any("__key" in text and " m#" in text for text in reused)
+
+
+@pytest.mark.parametrize("view", ["vrr_view", "vrr_report", "pvt_lookup"])
+def test_no_subquery_in_a_view(spark, view):
+    """Interval joins need no dates of the tables, so plans stay small."""
+    from build import factor_table, pressure_table, pvt_table, volume_table
+    from voidage.plans.pvt import pvt_lookup, requests_by_factor
+    from voidage.plans.vrr import vrr_report, vrr_view
+
+    tables = (
+        volume_table(spark, [{"ID_PATTERN": "P1", "COMPLETION_ID": "C1", "PROD_DATE": "2020-01-02"}]),
+        factor_table(spark, [("P1", "C1", "2020-01-01", 0.5)]),
+        pressure_table(spark, [("P1", "2019-01-01", 110.0)]),
+    )
+    pvt = pvt_table(spark, [("C1", "2019-01-01", 100.0, 2.0)])
+    df = {
+        "vrr_view": lambda: vrr_view(*tables, pvt),
+        "vrr_report": lambda: vrr_report(*tables),
+        "pvt_lookup": lambda: pvt_lookup(requests_by_factor(*tables[1:]), pvt),
+    }[view]()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "subquery" not in plan and len(plan) < 200_000
 
 
 @pytest.mark.parametrize("limit", [None, 0, 10**8])
@@ -115,4 +155,12 @@ def test_one_bracket_and_two_reads(spark):
     once = _reads(QUERIES["pvt_full_all"](spark, SMALL), "p_partkey")
     assert _reads(QUERIES["union_branches"](spark, SMALL), "p_partkey") == once
     assert _reads(QUERIES["second_bound"](spark, SMALL), "p_partkey") == once
-    assert _reads(QUERIES["vrr_view_latest_own_pressure"](spark, SMALL), "l_suppkey") == 2
+    own = QUERIES["vrr_view_latest_own_pressure"](spark, SMALL)
+    assert _reads(own, "l_suppkey") == 2 and _scans(_executed(own), "l_suppkey") <= 2
+
+
+def test_points_are_numbered_and_shuffled_once(spark):
+    """The three readers of the points share their shuffles in the executed plan."""
+    nodes = _executed(QUERIES["pvt_full_all"](spark, SMALL))
+    assert sum(node.getClass().getSimpleName() == "ReusedExchangeExec" for node in nodes) >= 1
+    assert _scans(nodes, "p_size") <= 2

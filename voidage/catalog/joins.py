@@ -18,7 +18,6 @@ from voidage.plans.vrr import (
     pressure_in_force as in_force,
     pressure_intervals,
     schedule,
-    schedule_fold,
     with_factor,
 )
 from voidage.sources.derived import Field
@@ -370,15 +369,7 @@ def lateral_lookup(field: Field) -> DataFrame:
         {"ID_PATTERN": "FACTOR_PATTERN", "VRR_DATE": "PRESSURE_DATE"}
     )
     daily = field.volumes.select(*DAY).withColumn("ID_COMPLETION", F.col("COMPLETION_ID"))
-    rows = interval_join(
-        daily,
-        planned,
-        ["ID_COMPLETION"],
-        "PROD_DATE",
-        "START_DATE",
-        "END_DATE",
-        fold=schedule_fold(field.factors, field.pressures),
-    )
+    rows = interval_join(daily, planned, ["ID_COMPLETION"], "PROD_DATE", "START_DATE", "END_DATE")
     return spark.sql(
         """SELECT r.ID_PATTERN, r.COMPLETION_ID, r.PROD_DATE, r.AMOUNT_TYPE, r.FACTOR_PATTERN, r.FACTOR,
                   r.PRESSURE_DATE, r.PRESSURE, x.BRANCH, x.OIL_FORMATION_VOLUME_FACTOR, x.SOLUTION_GAS_OIL_RATIO

@@ -9,7 +9,7 @@ from voidage.catalog.oracle import with_tables
 from voidage.catalog.registry import register
 from voidage.plans import sqlapi
 from voidage.functions.numeric import ROUNDING, interpolate
-from voidage.operators.curves import bracket
+from voidage.operators.curves import bracket, packed_bracket
 from voidage.plans.pvt import property_value, pvt_lookup, requests_by_factor, with_branch, with_line
 from voidage.sources.derived import Field
 from voidage.sources.schemas import PROPERTIES
@@ -189,7 +189,7 @@ def union_branches(field: Field) -> DataFrame:
     The bracket is read once: each request is tagged with its branch, then sent as one
     narrow row per property set of the points that its branch needs.
     """
-    named = with_branch(bracket(_asked(field), field.pvt), "full")
+    named = with_branch(packed_bracket(_asked(field), field.pvt), "full")
     # One pass makes the two kinds of rows that the union consists of.
     kinds = F.array(
         F.struct(F.lit("line").alias("kind"), F.col("__b").isNotNull().alias("ours")),
@@ -204,9 +204,11 @@ def union_branches(field: Field) -> DataFrame:
         F.col("__a.PRESSURE").alias("POINT_PRESSURE"),
         *(
             ROUNDING["sql"](
-                F.when(F.col("__kind.kind") == "line", property_value(p)).otherwise(F.col(f"__a.{p}"))
+                F.when(F.col("__kind.kind") == "line", property_value(p)).otherwise(
+                    F.get(F.col("__a.VALUES"), F.lit(k))
+                )
             ).alias(p)
-            for p in PROPERTIES
+            for k, p in enumerate(PROPERTIES)
         ),
     )
 

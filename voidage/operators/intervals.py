@@ -8,13 +8,15 @@ dates, and other tables then meet ``[start, end)`` through an equi-join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from voidage.functions.dates import month_index, open_end
 
-_MONTH, _FOLD = "__month", "__fold"
+#: Months after which the places that join intervals to dates come round again.
+CYCLE = 60
+
+_MONTH = "__month"
 
 
 def next_distinct_date(df: DataFrame, keys: Sequence[str], date: str, end: str = "END_DATE") -> DataFrame:
@@ -38,16 +40,6 @@ def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str
     return df.withColumn(end, F.coalesce(follows, open_end()))
 
 
-def last_start(*starts: DataFrame) -> Column:
-    """Month of the last date in tables of one column, as one scalar subquery.
-
-    The query works it out each time it runs; nothing is measured, and no date is
-    written down, while a plan is built or a view is defined.
-    """
-    dates = reduce(DataFrame.union, (df.toDF("d") for df in starts))
-    return dates.agg(F.coalesce(F.max(month_index(F.col("d"))), F.lit(0))).scalar()
-
-
 def fits(df: DataFrame, limit_bytes: int) -> bool:
     """Whether the rows of ``df`` take at most ``limit_bytes``, by one aggregation of their text lengths."""
     widths = F.sum(sum((F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(16)))
@@ -62,39 +54,31 @@ def interval_join(
     start: str,
     end: str,
     how: str = "inner",
-    fold: Column | None = None,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key in force at a date.
 
     A plain join on the key would test every interval of the key and put the
-    whole key into one partition.  Here the calendar month joins the key: a
-    right row is repeated for each month it overlaps, a left row has exactly
-    one month, and the interval bounds stay as the residual condition.  A left
-    row is then tested only against intervals that touch its month, and a hot
-    key is spread over its months.
-
-    Months after the last interval start are folded into that month on both
-    sides, so open-ended intervals are not repeated for ever; an interval that
-    starts later than the fold has that one month.
+    whole key into one partition.  Here a calendar month joins the key, counted
+    round a cycle of ``CYCLE`` months: a right row is repeated for each place in
+    the cycle that its months take, at most ``CYCLE`` times however long it is,
+    a left row has exactly one place, and the interval bounds stay as the
+    residual condition.  A left row is then tested only against intervals that
+    touch its month or one whole cycles away from it, and a hot key is spread
+    over the cycle.  Nothing of the data has to be known for this, least of all
+    where open-ended intervals could stop being repeated.
 
     ``on`` names columns that both sides have and ``at`` the left date; the
-    result keeps one of each key.  ``fold`` is the ``last_start`` of ``right`` or,
-    as any fold gives the same rows, of cheaper tables.  How the sides move is left to Spark,
+    result keeps one of each key.  How the sides move is left to Spark,
     which measures them in bytes while the query runs, unless ``broadcast_bytes``
     asks to measure the repeated intervals now, and send them if they are no more.
     """
-    if fold is None:
-        fold = last_start(right.select(start))
     first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
-    months = F.sequence(F.least(first, F.col(_FOLD)), F.least(last, F.col(_FOLD)))
-    by_month = (
-        right.filter(F.col(start) < F.col(end))
-        .withColumn(_FOLD, fold)
-        .withColumn(_MONTH, F.explode(months))
-        .drop(_FOLD)
+    months = F.sequence(first, F.least(last, first + F.lit(CYCLE - 1)))
+    by_month = right.filter(F.col(start) < F.col(end)).withColumn(
+        _MONTH, F.explode(F.transform(months, lambda month: month % CYCLE))
     )
-    keyed = left.withColumn(_MONTH, F.least(month_index(F.col(at)), fold))
+    keyed = left.withColumn(_MONTH, month_index(F.col(at)) % CYCLE)
     condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:
         condition = condition & (F.col(f"__l.{name}") == F.col(f"__r.{name}"))
@@ -107,9 +91,7 @@ def interval_join(
     )
 
 
-def overlap_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], start: str, end: str, fold: Column | None = None
-) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], start: str, end: str) -> DataFrame:
     """Pair the intervals of two tables that overlap, cut to the common part.
 
     Two intervals overlap when one starts within the other, so this is two
@@ -118,13 +100,11 @@ def overlap_join(
 
     Both sides carry ``start`` and ``end``; the result has one of each.
     """
-    if fold is None:
-        fold = last_start(left.select(start), right.select(start))
     names = {start: "__start", end: "__end"}
 
     def starts_within(inner: DataFrame, outer: DataFrame) -> DataFrame:
         outer = outer.withColumnsRenamed(names)
-        return interval_join(inner, outer, on, start, "__start", "__end", fold=fold)
+        return interval_join(inner, outer, on, start, "__start", "__end")
 
     first = starts_within(left, right)
     second = starts_within(right, left).filter(F.col(start) > F.col("__start"))

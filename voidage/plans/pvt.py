@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voidage.functions.dates import month_end
 from voidage.functions.numeric import ROUNDING
-from voidage.operators.curves import bracket
+from voidage.operators.curves import packed_bracket, packed_point
 from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
 #: What a lookup does where there is no exact point:
@@ -47,8 +47,8 @@ def pvt_stub(requests: DataFrame) -> DataFrame:
 def with_branch(found: DataFrame, policy: str) -> DataFrame:
     """Name the rule each bracketed request falls under and pick its points.
 
-    Adds BRANCH and the structs ``__a`` and ``__b``: the value is that of the
-    line through both, or that of ``__a`` alone where ``__b`` is NULL.
+    Adds BRANCH and the points ``__a`` and ``__b``, packed as they were found: the
+    value is that of the line through both, or that of ``__a`` alone where ``__b`` is NULL.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy: {policy}")
@@ -122,7 +122,7 @@ def _tolerate(found: DataFrame, pvt: DataFrame, scope: str, tolerance: float) ->
     )
     points = (
         pvt.filter(F.col("PRESSURE").isNotNull() & F.col("TEST_DATE").isNotNull())
-        .select("ID_COMPLETION", F.struct("PRESSURE", "TEST_DATE", *PROPERTIES).alias("__p"))
+        .select("ID_COMPLETION", packed_point().alias("__p"))
         .withColumn("__bin", F.floor(bins(F.col("__p.PRESSURE"))))
     )
     newest = (
@@ -146,7 +146,7 @@ def property_value(name: str, guarded: bool = False) -> Column:
     from the columns ``__dx`` and ``__run``: ten properties share them, and the
     generated code stays small enough to be compiled.
     """
-    y1, y2 = F.col(f"__a.{name}"), F.col(f"__b.{name}")
+    y1, y2 = (F.get(F.col(f"{point}.VALUES"), F.lit(PROPERTIES.index(name))) for point in ("__a", "__b"))
     line = y1 + F.col("__dx") * (y2 - y1) / F.col("__run")
     if guarded:
         inside = (F.col("__dx") >= F.least(F.col("__run"), F.lit(0.0))) & (
@@ -181,7 +181,7 @@ def pvt_lookup(
     applied) and POINT_PRESSURE (the pressure of the point the rule started from).
     """
     round_off = ROUNDING[rounding]
-    found = bracket(requests, pvt, scope)
+    found = packed_bracket(requests, pvt, scope)
     if tolerance:
         found = _tolerate(found, pvt, scope, tolerance)
     chosen = with_branch(found, policy)

@@ -14,6 +14,9 @@ SETTINGS = {
     # instead of sorting the larger side.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # A view has some fifty generated classes; the default of 100 entries forgets
+    # them between two runs and compiles all of them again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.session.timeZone": "UTC",
     # Plans are built from many small expressions; do not record a Python
     # stack trace for each of them.
