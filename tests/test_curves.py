@@ -127,6 +127,6 @@ def test_more_tests_than_any_fixed_number_of_blocks(spark):
 
     from voidage.operators import curves
 
-    sizes, _ = curves._blocks_of_prefix("all_to_date")
+    sizes, _ = curves.blocks_of_prefix("all_to_date")
     n = spark.range(1).select(F.lit(5 * 2**18).cast("int").alias("TEST_NO")).select(sizes.alias("s")).first().s
     assert sum(2**k for k in n) == 5 * 2**18 + 1

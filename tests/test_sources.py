@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from build import factor_table, pressure_table, pvt_table, request_table, volume_table
+from build import factor_table, pressure_table, pvt_table, volume_table
 from conftest import MEDIUM, SMALL
 from voidage.plans import sqlapi
 from voidage.plans.pvt import pvt_lookup, requests_by_factor
@@ -109,7 +109,7 @@ def test_sql_views(spark):
     sqlapi.register_views(spark, volumes, factors, pressures, pvt, prefix="b_", tables=True)
     row = spark.sql("SELECT v.ID_PATTERN_VRR, p.BRANCH FROM b_pattern_vrr_view v, b_completion_pvt_interpolated p").first()
     assert tuple(row) == ("P102-01-2020", "single")
-    sqlapi.register_lookup_function(spark, request_table(spark, [("C1", "2020-01-01", 110.0)]), pvt)
+    sqlapi.register_lookup_function(spark, pvt)
     (answer,) = spark.sql("SELECT * FROM pvt_at(110D, 'C1', DATE '2020-01-01')").collect()
     assert (answer.BRANCH, answer.VISCOSITY_GAS) == ("single", 2.0)
     (unknown,) = spark.sql("SELECT * FROM pvt_at(111D, 'C9', DATE '2020-01-01')").collect()

@@ -364,7 +364,7 @@ def cross_where_join(field: Field) -> DataFrame:
 def lateral_lookup(field: Field) -> DataFrame:
     """The table function, called LATERAL for every daily row with the factor and pressure in force."""
     spark = field.pvt.sparkSession
-    sqlapi.register_lookup_function(spark, _asked(field), field.pvt, name="pvt_in_force")
+    sqlapi.register_lookup_function(spark, field.pvt, name="pvt_in_force")
     planned = schedule(field.factors, field.pressures).withColumnsRenamed(
         {"ID_PATTERN": "FACTOR_PATTERN", "VRR_DATE": "PRESSURE_DATE"}
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from voidage.catalog import oracle
@@ -9,6 +11,7 @@ from voidage.catalog.oracle import with_tables
 from voidage.catalog.registry import register
 from voidage.plans import sqlapi
 from voidage.functions.numeric import ROUNDING, interpolate
+from voidage.operators.curve_index import refresh_index, store_index
 from voidage.operators.curves import bracket, packed_bracket
 from voidage.plans.pvt import property_value, pvt_lookup, requests_by_factor, with_branch, with_line
 from voidage.sources.derived import Field
@@ -234,29 +237,43 @@ def sql_scalar_udf(field: Field) -> DataFrame:
     )
 
 
-_NEVER_ASKED = """
-    SELECT ID_COMPLETION, VRR_DATE, PRESSURE FROM asked
-    UNION ALL SELECT 'Z' || ID_COMPLETION, VRR_DATE, PRESSURE FROM asked WHERE PRESSURE > 2000"""
+# Besides the requests of the report: a completion that does not exist, and pressures and dates beside all of theirs.
+_ANY = """
+    SELECT ID_COMPLETION, VRR_DATE, PRESSURE FROM {asked}
+    UNION ALL SELECT 'Z' || ID_COMPLETION, VRR_DATE, PRESSURE FROM {asked} WHERE PRESSURE > 2000
+    UNION ALL SELECT ID_COMPLETION, VRR_DATE + 40, PRESSURE + 17.25 FROM {asked}"""
 
 
 @register(
     oracle.lookup(
         requests=f"""
         WITH asked AS (SELECT DISTINCT ID_COMPLETION, p.DATE AS VRR_DATE, PRESSURE
-                       FROM contribution_factor JOIN pattern_pressure p USING (ID_PATTERN)) {_NEVER_ASKED}"""
+                       FROM contribution_factor JOIN pattern_pressure p USING (ID_PATTERN)) {_ANY.format(asked='asked')}"""
     )
 )
 def sql_table_function(field: Field) -> DataFrame:
-    """Every request, and others that the function does not know, answered by it, called LATERAL."""
+    """The table function, called LATERAL with arguments that nobody told it before."""
     spark = field.pvt.sparkSession
-    asked = _asked(field)
-    sqlapi.register_lookup_function(spark, asked, field.pvt)
+    sqlapi.register_lookup_function(spark, field.pvt)
     return spark.sql(
         f"""SELECT r.ID_COMPLETION, r.VRR_DATE, r.PRESSURE, a.*
-           FROM ({_NEVER_ASKED.replace('asked', '{asked}')}) r,
-                LATERAL pvt_at(r.PRESSURE, r.ID_COMPLETION, r.VRR_DATE) a""",
-        asked=asked,
+           FROM ({_ANY}) r, LATERAL pvt_at(r.PRESSURE, r.ID_COMPLETION, r.VRR_DATE) a""",
+        asked=_asked(field),
+    )
+
+
+@register(oracle.lookup(requests="SELECT DISTINCT ID_COMPLETION, p.DATE + 40 AS VRR_DATE, PRESSURE + 17.25 AS PRESSURE"
+                        " FROM contribution_factor JOIN pattern_pressure p USING (ID_PATTERN)"))
+def pvt_indexed(field: Field) -> DataFrame:
+    """The lookup from an index: one of the tests before 1996 is stored, then it gets the later tests and is read."""
+    name = f"curves_{uuid.uuid4().hex}"
+    early = F.col("TEST_DATE") < "1996-01-01"
+    store_index(field.pvt.filter(early), name, buckets=8)
+    index = refresh_index(field.pvt.filter(~early), name)
+    asked = _asked(field).select(
+        "ID_COMPLETION", F.date_add("VRR_DATE", 40).alias("VRR_DATE"), (F.col("PRESSURE") + 17.25).alias("PRESSURE")
     )
+    return pvt_lookup(asked, index)
 
 
 @register(

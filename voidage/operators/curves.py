@@ -98,42 +98,63 @@ def _sizes(n: str) -> str:
     return f"sequence(0, CAST(floor(log2({n})) AS INT) + 1)"
 
 
-def _blocks_of_prefix(scope: str) -> tuple[Column, Column]:
+def blocks_of_prefix_sql(scope: str) -> tuple[str, str]:
+    """The sizes of the blocks that the tests up to TEST_NO consist of, and the block of a ``{size}``, as SQL text."""
+    if scope not in SCOPES:
+        raise ValueError(f"unknown scope: {scope}")
     if scope == "active":
-        return F.expr("array(0)"), F.col("TEST_NO")
-    sizes = F.expr(f"filter({_sizes('TEST_NO + 1')}, k -> shiftright(TEST_NO + 1, k) & 1 = 1)")
-    return sizes, F.expr("shiftright(TEST_NO + 1, __size + 1) * 2")
+        return "array(0)", "TEST_NO"
+    sizes = f"filter({_sizes('TEST_NO + 1')}, k -> shiftright(TEST_NO + 1, k) & 1 = 1)"
+    return sizes, "shiftright(TEST_NO + 1, {size} + 1) * 2"
 
 
-def _blocks_of_test(scope: str) -> tuple[Column, Column]:
+def blocks_of_prefix(scope: str) -> tuple[Column, Column]:
+    sizes, block = blocks_of_prefix_sql(scope)
+    return F.expr(sizes), F.expr(block.format(size="__size"))
+
+
+def blocks_of_test(scope: str) -> tuple[Column, Column]:
     if scope == "active":
         return F.expr("array(0)"), F.col("TEST_NO")
-    # A prefix only uses even-numbered blocks that are full.
-    sizes = F.expr(
-        f"filter({_sizes('TESTS')}, k -> shiftleft(1, k) <= TESTS AND shiftright(TEST_NO, k) & 1 = 0)"
-    )
-    return sizes, F.expr("shiftright(TEST_NO, __size)")
+    # A prefix only uses even-numbered blocks that are full. An index has every test as a block, too.
+    single = "k = 0 OR " if scope == "index" else ""
+    used = f"{single}(shiftright(TEST_NO, k) & 1 = 0 AND shiftleft(shiftright(TEST_NO, k) + 1, k) <= TESTS)"
+    return F.expr(f"filter({_sizes('TESTS')}, k -> {used})"), F.expr("shiftright(TEST_NO, __size)")
 
 
 def _range_of(pressure: str, width: float) -> Column:
     return F.floor(F.col(pressure) / F.lit(float(width)))
 
 
+def measured(pvt: DataFrame) -> DataFrame:
+    """Points that a search can find: packed (``p``), with the number of rows each stands for (``n``)."""
+    return pvt.filter(F.col("PRESSURE").isNotNull() & F.col("TEST_DATE").isNotNull()).select(
+        "ID_COMPLETION", "TEST_DATE", "PRESSURE", packed_point().alias("p"), F.lit(1).cast("bigint").alias("n")
+    )
+
+
 def _points(pvt: DataFrame, scope: str, width: float) -> DataFrame:
+    return levels(measured(pvt), numbered_tests(pvt).drop("END_DATE"), *blocks_of_test(scope), width)
+
+
+def levels(
+    points: DataFrame, tests: DataFrame, sizes: Column, block: Column, width: float, only: Column | None = None
+) -> DataFrame:
     """Points per block and range with their neighbours in the range.
 
     One row per block and pressure, of equal pressures the latest test.  A task
-    sorts the distinct pressures of one range of a block.
+    sorts the distinct pressures of one range of a block.  ``only`` chooses blocks.
     """
-    sizes, block = _blocks_of_test(scope)
-    distinct = (
-        pvt.filter(F.col("PRESSURE").isNotNull())
-        .join(numbered_tests(pvt).drop("END_DATE"), ["ID_COMPLETION", "TEST_DATE"])
+    filed = (
+        points.join(tests, ["ID_COMPLETION", "TEST_DATE"])
         .withColumn("__size", F.explode(sizes))
         .withColumn("__block", block)
+    )
+    distinct = (
+        (filed if only is None else filed.filter(only))
         .withColumn("__range", _range_of("PRESSURE", width))
         .groupBy(*_PIECE, "PRESSURE")
-        .agg(F.max(packed_point()).alias("p"), F.count(F.lit(1)).alias("__points"))
+        .agg(F.max("p").alias("p"), F.sum("n").alias("__points"))
     )
     rising = W.partitionBy(*_PIECE).orderBy("PRESSURE")
     return distinct.select(
@@ -148,7 +169,7 @@ def _points(pvt: DataFrame, scope: str, width: float) -> DataFrame:
     )
 
 
-def _surroundings(points: DataFrame, probes: DataFrame) -> DataFrame:
+def _surroundings(points: DataFrame, probes: DataFrame | None = None) -> DataFrame:
     """Per block and range that has points or requests, what lies around it.
 
     ``own`` are the two lowest points of the range itself, ``under`` the two
@@ -163,9 +184,10 @@ def _surroundings(points: DataFrame, probes: DataFrame) -> DataFrame:
         F.when(highest, F.col("p")).alias("high"),
         F.col("to_here").alias("n"),
     )
+    if probes is not None:
+        ends = ends.unionByName(probes.select(*_PIECE), allowMissingColumns=True)
     ranges = (
-        ends.unionByName(probes.select(*_PIECE), allowMissingColumns=True)
-        .groupBy(*_PIECE)
+        ends.groupBy(*_PIECE)
         .agg(
             F.array_sort(F.collect_list("low")).alias("low"),
             F.sort_array(F.collect_list("high"), asc=False).alias("high"),
@@ -201,6 +223,31 @@ def _surroundings(points: DataFrame, probes: DataFrame) -> DataFrame:
     )
 
 
+def _two(beyond: Column, *here: Column) -> Column:
+    """The first two points of those here and then those beyond the range."""
+    there = F.filter(F.array(*here), lambda p: p.isNotNull())
+    return F.slice(F.concat(there, F.coalesce(beyond, F.slice(there, 1, 0))), 1, 2)
+
+
+def neighbours(points: DataFrame) -> DataFrame:
+    """``levels`` with each point's neighbours in its whole block, and the points up to it and in all."""
+    c = F.col("around")
+    at = lambda side, k: F.get(side, F.lit(k))
+    down, up = _two(c["under"], F.col("below"), F.col("below2")), _two(c["over"], F.col("above"), F.col("above2"))
+    linked = points.join(_surroundings(points), list(_PIECE)).withColumns({"__down": down, "__up": up})
+    return linked.select(
+        *_BLOCK,
+        F.col("p").alias("POINT"),
+        at("__down", 0).alias("DOWN"),
+        at("__down", 1).alias("DOWN2"),
+        at("__up", 0).alias("UP"),
+        at("__up", 1).alias("UP2"),
+        F.col("__points").alias("HERE"),
+        (c["before"] + F.col("to_here")).alias("PASSED"),
+        c["all"].alias("TOTAL"),
+    )
+
+
 def _floors(points: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes (``__key``, ``__x``) with the points around them, from one sort per range of a block."""
     level = F.struct("p", "below", "below2", "above", "above2", "to_here", "__points")
@@ -218,15 +265,9 @@ def _floors(points: DataFrame, probes: DataFrame) -> DataFrame:
         F.last("f", ignorenulls=True).over(so_far).alias("f"),
         F.first("around", ignorenulls=True).over(so_far).alias("c"),
     ).filter(F.col("__key").isNotNull())
-    f, c = F.col("f"), F.col("c")
+    f, c, two = F.col("f"), F.col("c"), _two
     hit = F.coalesce(f["p"]["PRESSURE"] == F.col("__x"), F.lit(False))
     nothing = F.lit(0).cast("bigint")
-
-    def two(beyond: Column, *here: Column) -> Column:
-        """The first two points of those here and then those beyond the range."""
-        there = F.filter(F.array(*here), lambda p: p.isNotNull())
-        return F.slice(F.concat(there, F.coalesce(beyond, F.slice(there, 1, 0))), 1, 2)
-
     below = F.when(hit, two(c["under"], f["below"], f["below2"])).otherwise(two(c["under"], f["p"], f["below"]))
     own = lambda k: F.get(c["own"], F.lit(k))
     above = F.when(f.isNull(), two(c["over"], own(0), own(1))).otherwise(two(c["over"], f["above"], f["above2"]))
@@ -253,7 +294,7 @@ def _floors(points: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 SIDES = ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2")
-_FOUND = (*SIDES, "BELOW", "ABOVE")
+FOUND = (*SIDES, "BELOW", "ABOVE")
 
 
 def bracket(
@@ -287,9 +328,9 @@ def packed_bracket(
 
 
 def _search(known: DataFrame, pvt: DataFrame, scope: str, width: float | None = None) -> DataFrame:
-    """The points around requests that know their TEST_NO, one row per request: its columns and ``_FOUND``."""
+    """The points around requests that know their TEST_NO, one row per request: its columns and ``FOUND``."""
     width = RANGE if width is None else width
-    sizes, block = _blocks_of_prefix(scope)
+    sizes, block = blocks_of_prefix(scope)
     key = [c for c in known.columns if c not in ("TEST_NO", "TEST_DATE", "END_DATE")]
     known = (
         # A request without a pressure matches nothing, like one without a test.
@@ -305,13 +346,13 @@ def _search(known: DataFrame, pvt: DataFrame, scope: str, width: float | None =
     )
     found = _floors(_points(pvt, scope, width), probes)
     if scope != "active":
-        found = _gathered(found)
+        found = gathered(found)
     none = F.lit(0).cast("bigint")
     point = found.schema["AT"].dataType
     without = known.filter(F.col("TEST_NO").isNull()).select(
         "__key", *(F.lit(None).cast(point).alias(n) for n in SIDES), none.alias("BELOW"), none.alias("ABOVE")
     )
-    return found.unionByName(without).select("__key.*", *_FOUND)
+    return found.unionByName(without).select("__key.*", *FOUND)
 
 
 def answered(requests: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -333,7 +374,7 @@ def answered(requests: DataFrame, search: Callable[[DataFrame], DataFrame]) -> D
     return joined.select(*(F.col(f"__q.{c}") for c in requests.columns), *(F.col(f"__a.{n}") for n in added))
 
 
-def _gathered(found: DataFrame) -> DataFrame:
+def gathered(found: DataFrame) -> DataFrame:
     """The block results of each request as one."""
     gathered = found.groupBy("__key").agg(
         F.max("AT").alias("AT"),
@@ -350,7 +391,7 @@ def _gathered(found: DataFrame) -> DataFrame:
         )
         .withColumn("__above", F.filter("__upper", lambda p: p.PRESSURE > F.col("UPPER.PRESSURE")))
         .withColumn("UPPER2", _lowest("__above"))
-        .select("__key", *_FOUND)
+        .select("__key", *FOUND)
     )
 
 

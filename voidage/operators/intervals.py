@@ -46,6 +46,14 @@ def fits(df: DataFrame, limit_bytes: int) -> bool:
     return (df.agg(widths).first()[0] or 0) <= limit_bytes
 
 
+def filed_by_month(df: DataFrame, start: str, end: str, month: str) -> DataFrame:
+    """Each interval once for every place in the cycle of months that it touches; empty ones are left out."""
+    first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
+    months = F.sequence(first, F.least(last, first + F.lit(CYCLE - 1)))
+    places = F.explode(F.transform(months, lambda m: m % CYCLE))
+    return df.filter(F.col(start) < F.col(end)).withColumn(month, places)
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -73,11 +81,7 @@ def interval_join(
     which measures them in bytes while the query runs, unless ``broadcast_bytes``
     asks to measure the repeated intervals now, and send them if they are no more.
     """
-    first, last = month_index(F.col(start)), month_index(F.date_sub(F.col(end), 1))
-    months = F.sequence(first, F.least(last, first + F.lit(CYCLE - 1)))
-    by_month = right.filter(F.col(start) < F.col(end)).withColumn(
-        _MONTH, F.explode(F.transform(months, lambda month: month % CYCLE))
-    )
+    by_month = filed_by_month(right, start, end, _MONTH)
     keyed = left.withColumn(_MONTH, month_index(F.col(at)) % CYCLE)
     condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:

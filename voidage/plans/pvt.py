@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voidage.functions.dates import month_end
 from voidage.functions.numeric import ROUNDING
+from voidage.operators.curve_index import CurveIndex
 from voidage.operators.curves import packed_bracket, packed_point
 from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
@@ -44,60 +45,65 @@ def pvt_stub(requests: DataFrame) -> DataFrame:
     return requests.select("*", *(F.lit(None).cast("double").alias(name) for name in PROPERTIES))
 
 
+_AT, _LOW, _LOW2, _UP, _UP2 = (f"{side} IS NOT NULL" for side in ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2"))
+
+#: Per policy its branches with the condition of each, the first that holds; otherwise it is ``none``.
+#: As SQL text, which DataFrame plans and the SQL table function share.
+RULES = {
+    "full": (
+        ("exact", _AT),
+        ("interp", f"{_LOW} AND {_UP}"),
+        ("extrap_low", f"NOT ({_LOW}) AND {_UP2}"),
+        ("extrap_high", f"NOT ({_UP}) AND {_LOW2}"),
+        ("single", f"{_LOW} OR {_UP}"),
+    ),
+    "low_only": (
+        ("exact", _AT),
+        ("interp", f"{_LOW} AND {_UP}"),
+        ("extrap_low", f"NOT ({_LOW}) AND {_UP2}"),
+        ("no_row", f"{_LOW} OR {_UP}"),
+    ),
+    "low_only_null": (
+        ("interp", f"{_LOW} AND {_UP}"),
+        ("extrap_low", f"NOT ({_AT}) AND NOT ({_LOW}) AND {_UP2}"),
+    ),
+    "nearest": (
+        ("exact", _AT),
+        ("interp", f"{_LOW} AND {_UP}"),
+        ("nearest_low", _LOW),
+        ("nearest_high", _UP),
+    ),
+}
+
+#: The point a branch starts from, and the second one of its line, if it has a line.
+FIRST_POINT = (
+    "CASE WHEN BRANCH = 'exact' THEN AT WHEN BRANCH = 'extrap_low' THEN UPPER"
+    " WHEN BRANCH <> 'none' THEN coalesce(LOWER, UPPER) END"
+)
+SECOND_POINT = (
+    "CASE WHEN BRANCH = 'interp' THEN UPPER WHEN BRANCH = 'extrap_low' THEN UPPER2"
+    " WHEN BRANCH = 'extrap_high' THEN LOWER2 END"
+)
+
+
+def branch_of(policy: str) -> str:
+    """The name of the rule that a bracketed request falls under, as SQL text."""
+    if policy not in RULES:
+        raise ValueError(f"unknown policy: {policy}")
+    cases = " ".join(f"WHEN {condition} THEN '{name}'" for name, condition in RULES[policy])
+    return f"CASE {cases} ELSE 'none' END"
+
+
 def with_branch(found: DataFrame, policy: str) -> DataFrame:
     """Name the rule each bracketed request falls under and pick its points.
 
     Adds BRANCH and the points ``__a`` and ``__b``, packed as they were found: the
     value is that of the line through both, or that of ``__a`` alone where ``__b`` is NULL.
     """
-    if policy not in POLICIES:
-        raise ValueError(f"unknown policy: {policy}")
-    at, low, low2, up, up2 = (
-        F.col(name).isNotNull() for name in ("AT", "LOWER", "LOWER2", "UPPER", "UPPER2")
-    )
-    rules = {
-        "full": (
-            ("exact", at),
-            ("interp", low & up),
-            ("extrap_low", ~low & up2),
-            ("extrap_high", ~up & low2),
-            ("single", low | up),
-        ),
-        "low_only": (
-            ("exact", at),
-            ("interp", low & up),
-            ("extrap_low", ~low & up2),
-            ("no_row", low | up),
-        ),
-        "low_only_null": (
-            ("interp", low & up),
-            ("extrap_low", ~at & ~low & up2),
-        ),
-        "nearest": (
-            ("exact", at),
-            ("interp", low & up),
-            ("nearest_low", low),
-            ("nearest_high", up),
-        ),
-    }[policy]
-    branch = F.lit("none")
-    for name, applies in reversed(rules):
-        branch = F.when(applies, name).otherwise(branch)
-    is_branch = F.col("BRANCH")
-    named = found.withColumn("BRANCH", branch)
+    named = found.withColumn("BRANCH", F.expr(branch_of(policy)))
     if policy == "low_only":
-        named = named.filter(is_branch != "no_row")
-    return named.withColumn(
-        "__a",
-        F.when(is_branch == "exact", F.col("AT"))
-        .when(is_branch == "extrap_low", F.col("UPPER"))
-        .when(is_branch != "none", F.coalesce("LOWER", "UPPER")),
-    ).withColumn(
-        "__b",
-        F.when(is_branch == "interp", F.col("UPPER"))
-        .when(is_branch == "extrap_low", F.col("UPPER2"))
-        .when(is_branch == "extrap_high", F.col("LOWER2")),
-    )
+        named = named.filter(F.col("BRANCH") != "no_row")
+    return named.withColumns({"__a": F.expr(FIRST_POINT), "__b": F.expr(SECOND_POINT)})
 
 
 def _tolerate(found: DataFrame, pvt: DataFrame, scope: str, tolerance: float) -> DataFrame:
@@ -166,7 +172,7 @@ def with_line(chosen: DataFrame) -> DataFrame:
 
 def pvt_lookup(
     requests: DataFrame,
-    pvt: DataFrame,
+    pvt: DataFrame | CurveIndex,
     scope: str = "all_to_date",
     policy: str = "full",
     tolerance: float = 0.0,
@@ -179,9 +185,11 @@ def pvt_lookup(
     repeat come back as often.  They come back with their pressure unrounded, so
     that the result can be joined on it, plus the properties, BRANCH (the rule
     applied) and POINT_PRESSURE (the pressure of the point the rule started from).
+
+    ``pvt`` is the table of points, or a ``CurveIndex`` that was built from one.
     """
     round_off = ROUNDING[rounding]
-    found = packed_bracket(requests, pvt, scope)
+    found = pvt.bracket(requests, scope) if isinstance(pvt, CurveIndex) else packed_bracket(requests, pvt, scope)
     if tolerance:
         found = _tolerate(found, pvt, scope, tolerance)
     chosen = with_branch(found, policy)

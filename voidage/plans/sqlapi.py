@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voidage.plans.pvt import pvt_lookup, requests_by_factor
+from voidage.operators.curve_index import CurveIndex, cell_of
+from voidage.operators.curves import blocks_of_prefix_sql
+from voidage.operators.intervals import CYCLE, filed_by_month
+from voidage.plans.pvt import FIRST_POINT, SECOND_POINT, branch_of, pvt_lookup, requests_by_factor
 from voidage.plans.vrr import vrr_view
 from voidage.sources.schemas import PROPERTIES
 
@@ -29,25 +32,82 @@ def register_line_functions(spark: SparkSession) -> None:
     )
 
 
+def _lowest(points: str) -> str:
+    """The point of the lowest pressure, and of those the one tested last."""
+    lowest = f"array_min(transform({points}, p -> p.PRESSURE))"
+    return f"array_max(filter({points}, p -> p.PRESSURE = {lowest}))"
+
+
+#: Rounding to five places as SQL text, by the names that ``pvt_lookup`` has for it.
+_ROUNDED = {
+    "sql": "round({}, 5)",
+    "half_up": "floor(({}) * 100000 + 0.5D) / 100000",
+    "half_even": "bround({}, 5)",
+}
+
+
 def register_lookup_function(
-    spark: SparkSession, requests: DataFrame, pvt: DataFrame, name: str = "pvt_at", **options
+    spark: SparkSession,
+    pvt: DataFrame | CurveIndex,
+    name: str = "pvt_at",
+    scope: str = "all_to_date",
+    policy: str = "full",
+    rounding: str = "sql",
 ) -> None:
-    """A SQL table function that answers ``requests`` and gives one row for any arguments.
+    """A SQL table function ``name(pressure, completion, date)`` that answers any arguments.
+
+    It gives what ``pvt_lookup`` gives for them: BRANCH, POINT_PRESSURE and the
+    properties in one row; without a row where the policy has none.  Nothing is
+    said beforehand about what will be asked.
 
-    The function selects from the set-based lookup by equality on its arguments,
-    so a LATERAL call is planned as an equi-join with it.  Arguments that are not
-    among ``requests`` get the branch ``none`` without properties, like a request
-    about which nothing is known.
+    Its arguments enter the body as a relation of one row, which is then joined by
+    equality to the tests and the blocks of the index.  A LATERAL call is planned
+    as that body over the distinct arguments of all its rows, joined back to them:
+    every argument is looked up once, and no request is tested against all the
+    points of a completion.
+
+    ``pvt`` is a stored ``CurveIndex``, or the table of points, of which each call
+    works an index out.
     """
-    pvt_lookup(requests.distinct(), pvt, **options).createOrReplaceTempView(f"{name}_answers")
+    index = pvt if isinstance(pvt, CurveIndex) else CurveIndex.of(pvt)
+    # Only the view of tests is filed by month, as a function cannot join by interval.
+    filed_by_month(index.tests, "TEST_DATE", "END_DATE", "MONTH").createOrReplaceTempView(f"{name}_tests")
+    index.points.createOrReplaceTempView(f"{name}_points")
+    sizes, block = blocks_of_prefix_sql(scope)
+    value = "get(A.VALUES, {k})"
+    line = f"{value} + (at_pressure - A.PRESSURE) * (get(B.VALUES, {{k}}) - {value}) / (B.PRESSURE - A.PRESSURE)"
+    values = ", ".join(
+        _ROUNDED[rounding].format(f"CASE WHEN B IS NULL THEN {value} ELSE {line} END".format(k=k))
+        for k in range(len(PROPERTIES))
+    )
     columns = ", ".join(f"{p} DOUBLE" for p in PROPERTIES)
-    # At most one answer has the three keys, so each aggregate is its value.
-    values = ", ".join(f"max({p})" for p in PROPERTIES)
     spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(at_pressure DOUBLE, at_completion STRING, at_date DATE)
-            RETURNS TABLE (BRANCH STRING, POINT_PRESSURE DOUBLE, {columns})
-            RETURN SELECT coalesce(max(BRANCH), 'none'), max(POINT_PRESSURE), {values} FROM {name}_answers
-                   WHERE ID_COMPLETION = at_completion AND VRR_DATE = at_date AND PRESSURE = at_pressure"""
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(at_pressure DOUBLE, at_completion STRING, at_date DATE)
+        RETURNS TABLE (BRANCH STRING, POINT_PRESSURE DOUBLE, {columns})
+        RETURN
+        SELECT BRANCH, A.PRESSURE, {values}
+        FROM (SELECT BRANCH, {FIRST_POINT} AS A, {SECOND_POINT} AS B
+        FROM (SELECT *, {branch_of(policy)} AS BRANCH
+        FROM (SELECT AT, LOWER, UPPER, LOWER2, {_lowest("ABOVE")} AS UPPER2
+        FROM (SELECT *, array_max(filter(LOWS, p -> p.PRESSURE < LOWER.PRESSURE)) AS LOWER2,
+                     filter(UPS, p -> p.PRESSURE > UPPER.PRESSURE) AS ABOVE
+        FROM (SELECT max(CASE WHEN HIT THEN POINT END) AS AT,
+                     max(CASE WHEN HIT THEN DOWN ELSE POINT END) AS LOWER,
+                     min_by(UP, struct(UP.PRESSURE, -unix_date(UP.TEST_DATE))) FILTER (WHERE UP IS NOT NULL) AS UPPER,
+                     flatten(collect_list(CASE WHEN HIT THEN array(DOWN, DOWN2) ELSE array(POINT, DOWN) END)) AS LOWS,
+                     flatten(collect_list(array(UP, UP2))) AS UPS
+        FROM (SELECT i.*, i.FROM_PRESSURE = q.X AS HIT
+        FROM (SELECT *, {block.format(size="SIZE")} AS BLOCK, {cell_of("X")} AS CELL
+        FROM (SELECT a.*, t.TEST_NO, t.SINCE, t.UNTIL, explode({sizes}) AS SIZE
+        FROM (SELECT at_pressure AS X, at_completion AS COMPLETION, last_day(at_date) AS MONTH_END,
+                     (year(at_date) * 12 + month(at_date)) % {CYCLE} AS MONTH) a
+        JOIN {name}_tests t ON t.ID_COMPLETION = a.COMPLETION AND t.MONTH = a.MONTH
+             AND t.TEST_DATE <= a.MONTH_END AND a.MONTH_END < t.END_DATE)) q
+        JOIN {name}_points i ON i.ID_COMPLETION = q.COMPLETION AND i.SIZE = q.SIZE AND i.BLOCK = q.BLOCK
+             AND i.CELL = q.CELL AND i.FROM_PRESSURE <= q.X AND q.X < i.TO_PRESSURE
+             AND i.GENERATION BETWEEN q.SINCE AND q.UNTIL))))
+        ) WHERE BRANCH <> 'no_row')"""
     )
 
 
