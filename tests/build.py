@@ -37,3 +37,22 @@ def volume_table(spark, rows):
         row = {**row, "PROD_DATE": day(row["PROD_DATE"])}
         data.append(tuple(row.get(name) for name in names))
     return spark.createDataFrame(data, schemas.DAILY_VOLUME)
+
+
+def executed_nodes(df) -> list:
+    """The nodes of the plan as it was run, subqueries left out; what is reused is one node."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    pending, nodes = [execution.executedPlan()], []
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            pending.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            pending.append(node.plan())
+        else:
+            nodes.append(node)
+            children = node.children()
+            pending += [children.apply(i) for i in range(children.size())]
+    return nodes

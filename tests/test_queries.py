@@ -7,6 +7,7 @@ import re
 import pytest
 
 import parity
+from build import executed_nodes
 from conftest import MEDIUM, SMALL
 from __spark_entry__ import entry
 from voidage.catalog import ORACLES, QUERIES
@@ -38,25 +39,6 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-def _executed(df) -> list:
-    """The nodes of the plan as it was run, subqueries left out; what is reused is one node."""
-    execution = df._jdf.queryExecution()
-    execution.toRdd().count()
-    pending, nodes = [execution.executedPlan()], []
-    while pending:
-        node = pending.pop()
-        kind = node.getClass().getSimpleName()
-        if kind == "AdaptiveSparkPlanExec":
-            pending.append(node.executedPlan())
-        elif kind.endswith("QueryStageExec"):
-            pending.append(node.plan())
-        else:
-            nodes.append(node)
-            children = node.children()
-            pending += [children.apply(i) for i in range(children.size())]
-    return nodes
-
-
 def _scans(nodes, column: str) -> int:
     return sum(node.getClass().getSimpleName() == "FileSourceScanExec" and f"{column}#" in node.toString() for node in nodes)
 
@@ -75,7 +57,7 @@ def test_top_rows_are_cut_before_the_shuffle(spark, name):
 
 def test_rollup_is_grouped_once(spark):
     """The daily lines are read once, and the running totals reuse the shuffle of the grouped rows."""
-    nodes = _executed(QUERIES["vrr_view_pair"](spark, MEDIUM))
+    nodes = executed_nodes(QUERIES["vrr_view_pair"](spark, MEDIUM))
     assert _scans(nodes, "l_suppkey") == 1
     reused = [node.toString() for node in nodes if node.getClass().getSimpleName() == "ReusedExchangeExec"]
     assert any("__key" in text and " m#" in text for text in reused)
@@ -155,11 +137,11 @@ def test_one_bracket_and_two_reads(spark):
     once = _reads(QUERIES["pvt_full_all"](spark, SMALL), "p_partkey")
     assert _reads(QUERIES["union_branches"](spark, SMALL), "p_partkey") == once
     assert _reads(QUERIES["second_bound"](spark, SMALL), "p_partkey") == once
-    assert 1 <= _scans(_executed(QUERIES["vrr_view_latest_own_pressure"](spark, SMALL)), "l_suppkey") <= 2
+    assert 1 <= _scans(executed_nodes(QUERIES["vrr_view_latest_own_pressure"](spark, SMALL)), "l_suppkey") <= 2
 
 
 def test_points_are_numbered_and_shuffled_once(spark):
     """The three readers of the points share their shuffles in the executed plan."""
-    nodes = _executed(QUERIES["pvt_full_all"](spark, SMALL))
+    nodes = executed_nodes(QUERIES["pvt_full_all"](spark, SMALL))
     assert sum(node.getClass().getSimpleName() == "ReusedExchangeExec" for node in nodes) >= 1
     assert _scans(nodes, "p_size") <= 2

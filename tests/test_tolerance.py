@@ -7,7 +7,8 @@ import random
 
 import pytest
 
-from build import pvt_table, request_table
+from build import executed_nodes, pvt_table, request_table
+from voidage.operators.curve_index import CurveIndex
 from voidage.plans.pvt import pvt_lookup
 
 
@@ -19,8 +20,9 @@ def test_the_newest_of_many_noisy_points(spark, side):
     assert (row.BRANCH, row.VISCOSITY_OIL, row.POINT_PRESSURE) == ("exact", 8.0, points[7][2])
 
 
-@pytest.mark.parametrize("tolerance", [1e-5, 0.5, 30.0])
-def test_against_all_points(spark, tolerance):
+@pytest.mark.parametrize("indexed", [False, True])
+@pytest.mark.parametrize("tolerance", [1e-5, 0.5, 30.0, 400.0])
+def test_against_all_points(spark, tolerance, indexed):
     rng = random.Random(5)
     near = lambda: rng.choice([100.0, 250.0]) + rng.uniform(-2, 2) * tolerance
     points = []
@@ -29,7 +31,10 @@ def test_against_all_points(spark, tolerance):
         points.append((*key, near(), float(k)))
     asked = [(rng.choice("ABC"), f"{rng.randrange(1999, 2021)}-{rng.randrange(1, 13):02}-03", near()) for _ in range(150)]
     asked += asked[:5] + [("A", "2010-01-01", None)]
-    rows = pvt_lookup(request_table(spark, asked), pvt_table(spark, points), tolerance=tolerance).collect()
+    # Points just at the tolerance, as doubles have it.
+    points += [("A", "2019-12-15", x + side * tolerance, 1.0) for _, _, x in asked[:40] for side in (-1, 1) if x is not None]
+    table = pvt_table(spark, points)
+    rows = pvt_lookup(request_table(spark, asked), CurveIndex.of(table) if indexed else table, tolerance=tolerance).collect()
     assert len(rows) == len(asked)
     for row in rows:
         known = [
@@ -39,5 +44,17 @@ def test_against_all_points(spark, tolerance):
         ]
         assert (row.BRANCH == "exact") == bool(known)
         if known:
-            best = max(known, key=lambda p: (dt.date.fromisoformat(p[1]), -abs(p[2] - row.PRESSURE)))
+            best = max(known, key=lambda p: (dt.date.fromisoformat(p[1]), -abs(p[2] - row.PRESSURE), p[2], p[3]))
             assert (row.POINT_PRESSURE, row.VISCOSITY_OIL) == (best[2], best[3])
+
+
+def test_rows_are_linear_in_points_and_requests(spark):
+    """All points lie within the tolerance of all requests; no node of the plan makes their pairs."""
+    points = [("C1", f"2000-{1 + k % 12:02}-01", 100.0 + k / 1000, float(k)) for k in range(600)]
+    asked = [("C1", "2010-01-01", 100.0 + k / 997) for k in range(500)]
+    df = pvt_lookup(request_table(spark, asked), pvt_table(spark, points), tolerance=5.0)
+    assert {r.BRANCH for r in df.collect()} == {"exact"}
+    most = max(
+        node.metrics().apply("numOutputRows").value() for node in executed_nodes(df) if node.metrics().contains("numOutputRows")
+    )
+    assert most < 20 * (len(points) + len(asked))

@@ -136,19 +136,27 @@ class CurveIndex:
         return answered(requests, lambda asked: self._search(asked, scope))
 
     def _search(self, asked: DataFrame, scope: str) -> DataFrame:
-        sizes, block = blocks_of_prefix(scope)
-        known = interval_join(
-            asked.withColumn("__month_end", month_end(F.col("VRR_DATE"))),
+        return self.search(self.with_known_tests(asked), scope)
+
+    def with_known_tests(self, requests: DataFrame) -> DataFrame:
+        """Requests with the last test known at the end of their month, if any."""
+        return interval_join(
+            requests.withColumn("__month_end", month_end(F.col("VRR_DATE"))),
             self.tests,
             on=["ID_COMPLETION"],
             at="__month_end",
             start="TEST_DATE",
             end="END_DATE",
             how="left",
-        )
+        ).drop("__month_end")
+
+    def search(self, known: DataFrame, scope: str) -> DataFrame:
+        """The points around requests that know their TEST_NO."""
+        sizes, block = blocks_of_prefix(scope)
+        key = [c for c in known.columns if c not in self.tests.columns or c == "ID_COMPLETION"]
         # Requests without a test or a pressure have no block, and stay for the left join.
         probes = (
-            known.select(F.struct(*asked.columns).alias("__key"), "ID_COMPLETION", "PRESSURE", "TEST_NO", "SINCE", "UNTIL")
+            known.select(F.struct(*key).alias("__key"), "ID_COMPLETION", "PRESSURE", "TEST_NO", "SINCE", "UNTIL")
             .withColumn("__size", F.explode_outer(F.when(F.col("PRESSURE").isNotNull(), sizes)))
             .withColumnsRenamed({"PRESSURE": "__x"})
             .withColumn("BLOCK", block)

@@ -324,10 +324,10 @@ def packed_bracket(
     """``bracket`` with its points packed, for those who choose among them first."""
     if scope not in SCOPES:
         raise ValueError(f"unknown scope: {scope}")
-    return answered(requests, lambda asked: _search(with_known_tests(asked, pvt), pvt, scope, width))
+    return answered(requests, lambda asked: search(with_known_tests(asked, pvt), pvt, scope, width))
 
 
-def _search(known: DataFrame, pvt: DataFrame, scope: str, width: float | None = None) -> DataFrame:
+def search(known: DataFrame, pvt: DataFrame, scope: str, width: float | None = None) -> DataFrame:
     """The points around requests that know their TEST_NO, one row per request: its columns and ``FOUND``."""
     width = RANGE if width is None else width
     sizes, block = blocks_of_prefix(scope)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from voidage.functions.dates import month_end
 from voidage.functions.numeric import ROUNDING
 from voidage.operators.curve_index import CurveIndex
-from voidage.operators.curves import packed_bracket, packed_point
+from voidage.operators.curves import measured, numbered_tests, packed_bracket, search, with_known_tests
+from voidage.operators.nearby import newest_within
 from voidage.sources.schemas import PROPERTIES, REQUEST_KEY
 
 #: What a lookup does where there is no exact point:
@@ -106,7 +106,7 @@ def with_branch(found: DataFrame, policy: str) -> DataFrame:
     return named.withColumns({"__a": F.expr(FIRST_POINT), "__b": F.expr(SECOND_POINT)})
 
 
-def _tolerate(found: DataFrame, pvt: DataFrame, scope: str, tolerance: float) -> DataFrame:
+def _tolerate(found: DataFrame, pvt: DataFrame | CurveIndex, scope: str, tolerance: float) -> DataFrame:
     """Take a point nearer than ``tolerance`` for exact: the newest, of one test the nearest."""
 
     def rank(point: Column) -> Column:
@@ -118,25 +118,20 @@ def _tolerate(found: DataFrame, pvt: DataFrame, scope: str, tolerance: float) ->
         # Points of one test only: the nearest is among those next to the request.
         best = F.array_max(F.array(*(rank(F.col(name)) for name in ("AT", "LOWER", "UPPER"))))
         return found.withColumn("AT", best["point"])
-    # Bins are twice as wide as the tolerance; a request asks those that it reaches.
-    bins = lambda pressure: pressure / F.lit(2.0 * tolerance)
-    near = (
-        found.filter(F.col("PRESSURE").isNotNull())
-        .select(*REQUEST_KEY)
-        .distinct()
-        .withColumn("__bin", F.explode(F.sequence(*(F.floor(bins(F.col("PRESSURE")) + x) for x in (-0.51, 0.51)))))
-    )
-    points = (
-        pvt.filter(F.col("PRESSURE").isNotNull() & F.col("TEST_DATE").isNotNull())
-        .select("ID_COMPLETION", packed_point().alias("__p"))
-        .withColumn("__bin", F.floor(bins(F.col("__p.PRESSURE"))))
-    )
-    newest = (
-        near.join(points, ["ID_COMPLETION", "__bin"])
-        .filter(F.col("__p.TEST_DATE") <= month_end(F.col("VRR_DATE")))
-        .groupBy(*REQUEST_KEY)
-        .agg(F.max(rank(F.col("__p")))["point"].alias("__at"))
-    )
+    asked = found.select(*REQUEST_KEY).filter(F.col("PRESSURE").isNotNull()).distinct()
+    if isinstance(pvt, CurveIndex):
+        in_all = F.count(F.lit(1)).over(W.partitionBy("ID_COMPLETION")).cast("int")
+        points, tests = pvt.measured(), pvt.tests.withColumn("TESTS", in_all)
+        known, of_test = pvt.with_known_tests(asked), lambda requests: pvt.search(requests, "active")
+    else:
+        points, tests = measured(pvt), numbered_tests(pvt)
+        known, of_test = with_known_tests(asked, pvt), lambda requests: search(requests, pvt, "active")
+    newest = newest_within(known, points, tests, tolerance)
+    if isinstance(pvt, CurveIndex):
+        newest = newest.join(pvt.tests.select("ID_COMPLETION", F.col("TEST_NO").alias("NEWEST"), "SINCE", "UNTIL"), ["ID_COMPLETION", "NEWEST"])
+    of_newest = of_test(newest.withColumnRenamed("NEWEST", "TEST_NO"))
+    nearest = F.array_max(F.array(*(rank(F.col(name)) for name in ("AT", "LOWER", "UPPER"))))
+    newest = of_newest.select(*REQUEST_KEY, nearest["point"].alias("__at"))
     same = [F.col(f"__q.{name}") == F.col(f"__n.{name}") for name in REQUEST_KEY]
     return (
         found.alias("__q")
