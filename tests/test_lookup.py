@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from build import pvt_table, request_table
+from voidage.functions.numeric import round_binary
 from voidage.plans.pvt import pvt_lookup, pvt_stub
 from voidage.sources.schemas import PROPERTIES
 
@@ -100,6 +104,22 @@ def test_rounding_rules(spark):
     assert value("half_even") == -0.01562
 
 
+def test_rounding_of_the_exact_binary_value(spark):
+    """Like Python's round, next to halves and on them, for any size and sign."""
+    rng = random.Random(3)
+    values = [None, 0.0, -0.0, 0.000005, 1.5e-5, 2.675, 1e22, -1e17, 6.9e10, 123456.5, float("inf")]
+    for _ in range(1500):
+        half = (rng.randrange(10 ** rng.randrange(1, 13)) + 0.5) / 10 ** rng.randrange(1, 6)
+        values += [half, math.nextafter(half, 0), math.nextafter(half, math.inf), -half]
+        values += [(2 * rng.randrange(10**6) + 1) / 2 ** rng.randrange(1, 12), rng.uniform(-1e6, 1e6), rng.uniform(-1e-4, 1e-4), 2.0 ** rng.uniform(30, 56)]
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (5, 2, 0):
+        for row in table.select("v", round_binary(F.col("v"), places).alias("r")).collect():
+            expected = row.v if row.v is None or math.isinf(row.v) else float(round(row.v, places))
+            assert row.r == expected, (row.v, places)
+    assert math.isnan(spark.range(1).select(round_binary(F.lit(float("nan")))).first()[0])
+
+
 def test_stub(spark):
     (row,) = pvt_stub(request_table(spark, [("C1", "2020-03-10", 150.0)])).collect()
     assert row.PRESSURE == 150.0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from voidage.catalog.oracle import settled, with_tables
 from voidage.catalog.registry import register
 from voidage.functions.dates import month_end, pattern_key
-from voidage.functions.numeric import ROUNDING, ratio_or_zero, round_half_up, settle
+from voidage.functions.numeric import ROUNDING, ratio_or_zero, round_binary, round_half_up, settle
 from voidage.functions.volumes import scf
 from voidage.plans.pvt import pvt_stub, requests_by_factor
 from voidage.sources.derived import Field
@@ -173,7 +173,7 @@ def null_case_functions(field: Field) -> DataFrame:
         """SELECT ID_COMPLETION, TEST_DATE, PRESSURE,
                   round(-GAS_FORMATION_VOLUME_FACTOR, 5) AS AWAY_FROM_ZERO,
                   floor(-GAS_FORMATION_VOLUME_FACTOR * 100000 + 0.5) / 100000 AS HALF_UP,
-                  round_even(-GAS_FORMATION_VOLUME_FACTOR, 5) AS HALF_EVEN
+                  CAST(printf('%.5f', -GAS_FORMATION_VOLUME_FACTOR) AS DOUBLE) AS HALF_EVEN
            FROM pvt""",
         "pvt",
     )
@@ -189,3 +189,29 @@ def rounding_modes(field: Field) -> DataFrame:
         round_half_up(value).alias("HALF_UP"),
         ROUNDING["half_even"](value).alias("HALF_EVEN"),
     )
+
+
+# Besides the factors themselves, which are halves of the binary value where they are odd multiples of
+# 1/64, the doubles nearest to decimal halves, and their neighbours.
+_BESIDE_HALVES = """
+    SELECT ID_COMPLETION, TEST_DATE, PRESSURE, {k} AS STEP,
+           (floor(1000 * PRESSURE * VISCOSITY_OIL) + 0.5D) / 100000 * (1 + {k} / 4503599627370496D) AS VALUE"""
+
+
+@register(
+    with_tables(
+        "SELECT *, CAST(printf('%.5f', VALUE) AS DOUBLE) AS HALF_EVEN, CAST(printf('%.3f', -VALUE) AS DOUBLE) AS THREE_PLACES"
+        f" FROM ({_BESIDE_HALVES.format(k='k').replace('0.5D', '0.5::DOUBLE').replace('6D', '6::DOUBLE')}"
+        " FROM pvt, (VALUES (-1), (0), (1)) AS s(k))",
+        "pvt",
+    )
+)
+def round_exact_binary(field: Field) -> DataFrame:
+    """Halves to even of values next to halves, by their exact binary value."""
+    steps = field.pvt.withColumn("k", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    spark = field.pvt.sparkSession
+    beside = spark.sql(f"{_BESIDE_HALVES.format(k='k')} FROM {{steps}}", steps=steps)
+    value = F.col("VALUE")
+    return beside.select(
+        "*", round_binary(value).alias("HALF_EVEN"), round_binary(-value, 3).alias("THREE_PLACES")
+    )

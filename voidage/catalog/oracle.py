@@ -175,20 +175,13 @@ def _branch(name: str, conditions: list[str], a: str | None, b: str | None = Non
     )
 
 
-def _half_even(x: str) -> str:
-    down = f"floor({x})"
-    return (
-        f"CAST(CASE WHEN {x} - {down} = 0.5 AND CAST({down} AS BIGINT) % 2 = 0 THEN {down}"
-        f" ELSE floor({x} + 0.5) END AS DOUBLE) / 100000"
-    )
-
-
 # round() of a double goes by its binary value here, which puts 1.103125 below
 # its half; as a decimal a half is a half.
 ROUNDED = {
     "sql": lambda x: f"CAST(round(CAST({x} AS DECIMAL(38, 12)), 5) AS DOUBLE)",
     "half_up": lambda x: f"floor(({x}) * 100000 + 0.5) / 100000",
-    "half_even": lambda x: _half_even(f"CAST({x} AS DECIMAL(38, 12)) * 100000"),
+    # Printing rounds the exact binary value, halves to even.
+    "half_even": lambda x: f"CAST(printf('%.5f', {x}) AS DOUBLE)",
 }
 
 

@@ -31,12 +31,44 @@ def round_half_up(c: Column, places: int = PLACES) -> Column:
     return F.floor(c * scale + 0.5) / scale
 
 
+#: Scaled values from here on are doubles farther apart than the decimals, so each is its own rounded value.
+_WHOLE = 2.0**53
+#: Cuts a double in two halves of 26 bits, whose products with a power of ten up to 10^5 are exact.
+_SPLIT = 2.0**27 + 1
+
+
+def round_binary(c: Column, places: int = PLACES) -> Column:
+    """The decimal of ``places`` (at most 5) nearest to the exact binary value, halves to even.
+
+    ``bround`` goes by the shortest decimal that a double stands for: it takes 0.000015
+    for a half, while the double is a little above it.  Here the scaled value is kept
+    as a double and what that lacks of the exact product, so that a half is one only
+    where the binary value is.
+    """
+    if not 0 <= places <= 5:
+        raise ValueError("places must be 0 to 5")
+    x, scale = F.abs(c), F.lit(10.0**places)
+    scaled = x * scale
+    upper = x * _SPLIT - (x * _SPLIT - x)
+    lacking = (upper * scale - scaled) + (x - upper) * scale
+    down = F.floor(scaled).cast("double")
+    # Both sides are exact: what is above a half without the rest, against the rest.
+    above, rest = scaled - down - 0.5, -lacking
+    odd = F.pmod(down, F.lit(2.0)) == 1
+    up = (above > rest) | ((above == rest) & odd)
+    # A large product may have been rounded up by a half, which then was one below.
+    back = (lacking == -0.5) & odd
+    rounded = (down + F.when(back, -1.0).when(up, 1.0).otherwise(0.0)) / scale
+    far = F.isnan(c) | (scaled >= _WHOLE)
+    return F.when(c.isNull() | far, c).when(c < 0, -rounded).otherwise(rounded)
+
+
 #: Rounding rules of a lookup result: SQL (halves away from zero),
-#: halves up, halves to even.
+#: halves up, halves of the binary value to even.
 ROUNDING = {
     "sql": lambda c: F.round(c, PLACES),
     "half_up": round_half_up,
-    "half_even": lambda c: F.bround(c, PLACES),
+    "half_even": round_binary,
 }
 
 

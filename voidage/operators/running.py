@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -14,10 +14,12 @@ def running_totals(
 
     The default window frame includes every row of the current date, so the
     running sum depends only on the total of each date.  Rows are first summed
-    to one per key and date, the window runs over those - a key is never longer
-    than the calendar - and the result joins back on (key, date).
+    to one per key and date.  Those are summed up within each month, the totals of
+    the months before are added, and the result joins back on (key, date).  So a
+    window orders the days of one month or the months of one key, however long a
+    key's history and however many its rows are.
 
-    The two join as one struct, which equals itself whether or not its fields
+    They join as one struct, which equals itself whether or not its fields
     are NULL: a row without a key or date keeps its totals.
 
     ``df`` is read twice.  With ``shared`` it is shuffled on (key, date) first,
@@ -29,6 +31,21 @@ def running_totals(
     if shared:
         keyed = keyed.repartition("__key")
     daily = keyed.groupBy("__key").agg(*(F.sum(value).alias(name) for name, value in totals.items()))
-    to_date = W.partitionBy(*(f"__key.{k}" for k in keys)).orderBy(f"__key.{date}")
-    running = daily.select("__key", *(F.sum(name).over(to_date).alias(name) for name in totals))
-    return keyed.join(running, "__key").select("__key.*", *rest, *totals)
+    running = summed_up(daily.select("__key.*", *totals), keys, date, totals)
+    joinable = running.select(F.struct(*keys, date).alias("__key"), *totals)
+    return keyed.join(joinable, "__key").select("__key.*", *rest, *totals)
+
+
+def summed_up(daily: DataFrame, keys: Sequence[str], date: str, names: Iterable[str]) -> DataFrame:
+    """Daily totals, one row per key and date, replaced by running ones: sums within months, and of months before."""
+    names = list(names)
+    month = daily.withColumn("__month", F.struct(*keys, F.trunc(date, "month").alias("__first")))
+    in_month = W.partitionBy("__month").orderBy(date)
+    days = month.select("__month", date, *(F.sum(n).over(in_month).alias(n) for n in names), *(F.col(n).alias(f"__{n}") for n in names))
+    before = W.partitionBy(*(F.col(f"__month.{k}") for k in keys)).orderBy("__month.__first").rowsBetween(W.unboundedPreceding, -1)
+    # The days lie by month already, so that their sums need no shuffle.
+    months = days.groupBy("__month").agg(*(F.sum(f"__{n}").alias(f"__{n}") for n in names))
+    carried = months.select("__month", *(F.sum(f"__{n}").over(before).alias(f"__before_{n}") for n in names))
+    both = days.join(carried, "__month")
+    total = lambda n: F.coalesce(F.col(f"__before_{n}") + F.col(n), f"__before_{n}", n)
+    return both.select(*(F.col(f"__month.{k}").alias(k) for k in keys), date, *(total(n).alias(n) for n in names))

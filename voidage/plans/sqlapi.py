@@ -38,12 +38,8 @@ def _lowest(points: str) -> str:
     return f"array_max(filter({points}, p -> p.PRESSURE = {lowest}))"
 
 
-#: Rounding to five places as SQL text, by the names that ``pvt_lookup`` has for it.
-_ROUNDED = {
-    "sql": "round({}, 5)",
-    "half_up": "floor(({}) * 100000 + 0.5D) / 100000",
-    "half_even": "bround({}, 5)",
-}
+#: Rounding to five places as SQL text, by those names of ``pvt_lookup`` that have one.
+_ROUNDED = {"sql": "round({}, 5)", "half_up": "floor(({}) * 100000 + 0.5D) / 100000"}
 
 
 def register_lookup_function(
@@ -66,7 +62,7 @@ def register_lookup_function(
     every argument is looked up once, and no request is tested against all the
     points of a completion.
 
-    ``pvt`` is a stored ``CurveIndex``, or the table of points, of which each call
+    ``rounding`` is ``sql`` or ``half_up``.  ``pvt`` is a stored ``CurveIndex``, or the table of points, of which each call
     works an index out.
     """
     index = pvt if isinstance(pvt, CurveIndex) else CurveIndex.of(pvt)
