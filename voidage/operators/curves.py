@@ -156,15 +156,15 @@ def levels(
         .groupBy(*_PIECE, "PRESSURE")
         .agg(F.max("p").alias("p"), F.sum("n").alias("__points"))
     )
-    rising = W.partitionBy(*_PIECE).orderBy("PRESSURE")
-    return distinct.select(
+    rising = f"OVER (PARTITION BY {', '.join(_PIECE)} ORDER BY PRESSURE)"
+    return distinct.selectExpr(
         *_PIECE,
         "p",
-        F.lag("p", 1).over(rising).alias("below"),
-        F.lag("p", 2).over(rising).alias("below2"),
-        F.lead("p", 1).over(rising).alias("above"),
-        F.lead("p", 2).over(rising).alias("above2"),
-        F.sum("__points").over(rising).alias("to_here"),
+        f"lag(p, 1) {rising} AS below",
+        f"lag(p, 2) {rising} AS below2",
+        f"lead(p, 1) {rising} AS above",
+        f"lead(p, 2) {rising} AS above2",
+        f"sum(__points) {rising} AS to_here",
         "__points",
     )
 
@@ -177,117 +177,101 @@ def _surroundings(points: DataFrame, probes: DataFrame | None = None) -> DataFra
     ``before`` is the number of points below the range, ``all`` that of the block.
     Only a block's ranges are sorted together, one row each.
     """
-    lowest, highest = F.col("below2").isNull(), F.col("above2").isNull()
-    ends = points.filter(lowest | highest).select(
+    ends = points.filter("below2 IS NULL OR above2 IS NULL").selectExpr(
         *_PIECE,
-        F.when(lowest, F.col("p")).alias("low"),
-        F.when(highest, F.col("p")).alias("high"),
-        F.col("to_here").alias("n"),
+        "CASE WHEN below2 IS NULL THEN p END AS low",
+        "CASE WHEN above2 IS NULL THEN p END AS high",
+        "to_here AS n",
     )
     if probes is not None:
         ends = ends.unionByName(probes.select(*_PIECE), allowMissingColumns=True)
-    ranges = (
-        ends.groupBy(*_PIECE)
-        .agg(
-            F.array_sort(F.collect_list("low")).alias("low"),
-            F.sort_array(F.collect_list("high"), asc=False).alias("high"),
-            F.max("n").alias("n"),
-        )
+    ranges = ends.groupBy(*_PIECE).agg(
+        F.expr("array_sort(collect_list(low)) AS low"),
+        F.expr("sort_array(collect_list(high), false) AS high"),
+        F.expr("max(n) AS n"),
     )
-    of_block = W.partitionBy(*_BLOCK).orderBy("__range")
-    earlier, later = of_block.rowsBetween(W.unboundedPreceding, -1), of_block.rowsBetween(1, W.unboundedFollowing)
-    filled = F.col("n").isNotNull()
-    last = lambda c: F.last(F.when(filled, c), ignorenulls=True).over(earlier)
-    first = lambda c: F.first(F.when(filled, c), ignorenulls=True).over(later)
+    of_block = f"PARTITION BY {', '.join(_BLOCK)}"
+    earlier = f"OVER ({of_block} ORDER BY __range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    later = f"OVER ({of_block} ORDER BY __range ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    last = lambda c: f"last(CASE WHEN n IS NOT NULL THEN {c} END, true) {earlier}"
+    first = lambda c: f"first(CASE WHEN n IS NOT NULL THEN {c} END, true) {later}"
     # Two neighbouring ranges with points have two points between them.
-    two = lambda own, other: F.slice(F.concat(own, F.coalesce(other, F.slice(own, 1, 0))), 1, 2)
-    linked = ranges.select(
+    linked = ranges.selectExpr(
         *_PIECE,
-        F.slice("low", 1, 2).alias("own"),
-        two(F.col("low"), first(F.col("low"))).alias("up"),
-        two(F.col("high"), last(F.col("high"))).alias("down"),
-        F.sum("n").over(earlier).alias("before"),
-        F.sum("n").over(W.partitionBy(*_BLOCK)).alias("all"),
+        "slice(low, 1, 2) AS own",
+        f"{_two('low', first('low'))} AS up",
+        f"{_two('high', last('high'))} AS down",
+        f"sum(n) {earlier} AS before",
+        f"sum(n) OVER ({of_block}) AS all",
         "n",
     )
-    none = F.lit(0).cast("bigint")
-    return linked.select(
+    return linked.selectExpr(
         *_PIECE,
-        F.struct(
-            "own",
-            last(F.col("down")).alias("under"),
-            first(F.col("up")).alias("over"),
-            F.coalesce("before", none).alias("before"),
-            F.coalesce("all", none).alias("all"),
-        ).alias("around"),
+        f"""struct(own, {last('down')} AS under, {first('up')} AS over, coalesce(before, 0L) AS before,
+                   coalesce(all, 0L) AS all) AS around""",
     )
 
 
-def _two(beyond: Column, *here: Column) -> Column:
-    """The first two points of those here and then those beyond the range."""
-    there = F.filter(F.array(*here), lambda p: p.isNotNull())
-    return F.slice(F.concat(there, F.coalesce(beyond, F.slice(there, 1, 0))), 1, 2)
+def _two(near: str, beyond: str) -> str:
+    """The first two points of an array and then those of another, which may be NULL."""
+    return f"slice(concat({near}, coalesce({beyond}, slice({near}, 1, 0))), 1, 2)"
+
+
+def _present(*points: str) -> str:
+    return f"filter(array({', '.join(points)}), p -> p IS NOT NULL)"
 
 
 def neighbours(points: DataFrame) -> DataFrame:
     """``levels`` with each point's neighbours in its whole block, and the points up to it and in all."""
-    c = F.col("around")
-    at = lambda side, k: F.get(side, F.lit(k))
-    down, up = _two(c["under"], F.col("below"), F.col("below2")), _two(c["over"], F.col("above"), F.col("above2"))
-    linked = points.join(_surroundings(points), list(_PIECE)).withColumns({"__down": down, "__up": up})
-    return linked.select(
+    linked = points.join(_surroundings(points), list(_PIECE)).selectExpr(
+        "*",
+        f"{_two(_present('below', 'below2'), 'around.under')} AS __down",
+        f"{_two(_present('above', 'above2'), 'around.over')} AS __up",
+    )
+    return linked.selectExpr(
         *_BLOCK,
-        F.col("p").alias("POINT"),
-        at("__down", 0).alias("DOWN"),
-        at("__down", 1).alias("DOWN2"),
-        at("__up", 0).alias("UP"),
-        at("__up", 1).alias("UP2"),
-        F.col("__points").alias("HERE"),
-        (c["before"] + F.col("to_here")).alias("PASSED"),
-        c["all"].alias("TOTAL"),
+        "p AS POINT",
+        "get(__down, 0) AS DOWN",
+        "get(__down, 1) AS DOWN2",
+        "get(__up, 0) AS UP",
+        "get(__up, 1) AS UP2",
+        "__points AS HERE",
+        "around.before + to_here AS PASSED",
+        "around.all AS TOTAL",
     )
 
 
 def _floors(points: DataFrame, probes: DataFrame) -> DataFrame:
     """Probes (``__key``, ``__x``) with the points around them, from one sort per range of a block."""
-    level = F.struct("p", "below", "below2", "above", "above2", "to_here", "__points")
+    level = "struct(p, below, below2, above, above2, to_here, __points) AS f"
     merged = (
-        points.select(*_PIECE, F.col("p.PRESSURE").alias("__x"), level.alias("f"))
+        points.selectExpr(*_PIECE, "p.PRESSURE AS __x", level)
         .unionByName(probes, allowMissingColumns=True)
         .unionByName(_surroundings(points, probes), allowMissingColumns=True)
     )
     # What is around comes first, and a point precedes the requests at its pressure.
-    rising = W.partitionBy(*_PIECE).orderBy(F.col("__x").asc_nulls_first(), F.col("f").isNull())
-    so_far = rising.rowsBetween(W.unboundedPreceding, 0)
-    found = merged.select(
-        "__key",
-        "__x",
-        F.last("f", ignorenulls=True).over(so_far).alias("f"),
-        F.first("around", ignorenulls=True).over(so_far).alias("c"),
-    ).filter(F.col("__key").isNotNull())
-    f, c, two = F.col("f"), F.col("c"), _two
-    hit = F.coalesce(f["p"]["PRESSURE"] == F.col("__x"), F.lit(False))
-    nothing = F.lit(0).cast("bigint")
-    below = F.when(hit, two(c["under"], f["below"], f["below2"])).otherwise(two(c["under"], f["p"], f["below"]))
-    own = lambda k: F.get(c["own"], F.lit(k))
-    above = F.when(f.isNull(), two(c["over"], own(0), own(1))).otherwise(two(c["over"], f["above"], f["above2"]))
-    passed = F.coalesce(f["to_here"], nothing)
-    sides = found.select(
+    rising = f"OVER (PARTITION BY {', '.join(_PIECE)} ORDER BY __x ASC NULLS FIRST, f IS NULL ROWS UNBOUNDED PRECEDING)"
+    found = merged.selectExpr(
+        "__key", "__x", f"last(f, true) {rising} AS f", f"first(around, true) {rising} AS c"
+    ).filter("__key IS NOT NULL")
+    hit = found.selectExpr("*", "coalesce(f.p.PRESSURE = __x, false) AS __hit")
+    sides = hit.selectExpr(
         "__key",
-        F.when(hit, f["p"]).alias("AT"),
-        below.alias("__below"),
-        above.alias("__above"),
-        (c["before"] + passed - F.when(hit, f["__points"]).otherwise(nothing)).alias("BELOW"),
-        (c["all"] - c["before"] - passed).alias("ABOVE"),
+        "CASE WHEN __hit THEN f.p END AS AT",
+        f"""{_two("CASE WHEN __hit THEN " + _present('f.below', 'f.below2') + " ELSE " + _present('f.p', 'f.below') + " END",
+                  'c.under')} AS __below""",
+        f"""{_two("CASE WHEN f IS NULL THEN " + _present('get(c.own, 0)', 'get(c.own, 1)') + " ELSE "
+                  + _present('f.above', 'f.above2') + " END", 'c.over')} AS __above""",
+        "c.before + coalesce(f.to_here, 0L) - CASE WHEN __hit THEN f.__points ELSE 0L END AS BELOW",
+        "c.all - c.before - coalesce(f.to_here, 0L) AS ABOVE",
     )
-    at = lambda side, k: F.get(side, F.lit(k))
-    return sides.select(
+    return sides.selectExpr(
         "__key",
         "AT",
-        at("__below", 0).alias("LOWER"),
-        at("__below", 1).alias("LOWER2"),
-        at("__above", 0).alias("UPPER"),
-        at("__above", 1).alias("UPPER2"),
+        "get(__below, 0) AS LOWER",
+        "get(__below, 1) AS LOWER2",
+        "get(__above, 0) AS UPPER",
+        "get(__above, 1) AS UPPER2",
         "BELOW",
         "ABOVE",
     )
@@ -376,26 +360,23 @@ def answered(requests: DataFrame, search: Callable[[DataFrame], DataFrame]) -> D
 
 def gathered(found: DataFrame) -> DataFrame:
     """The block results of each request as one."""
-    gathered = found.groupBy("__key").agg(
-        F.max("AT").alias("AT"),
-        F.flatten(F.collect_list(F.array("LOWER", "LOWER2"))).alias("__lower"),
-        F.flatten(F.collect_list(F.array("UPPER", "UPPER2"))).alias("__upper"),
-        F.sum("BELOW").alias("BELOW"),
-        F.sum("ABOVE").alias("ABOVE"),
+    lists = found.groupBy("__key").agg(
+        F.expr("max(AT) AS AT"),
+        F.expr("flatten(collect_list(array(LOWER, LOWER2))) AS __lower"),
+        F.expr("flatten(collect_list(array(UPPER, UPPER2))) AS __upper"),
+        F.expr("sum(BELOW) AS BELOW"),
+        F.expr("sum(ABOVE) AS ABOVE"),
     )
-    return (
-        gathered.withColumn("LOWER", F.array_max("__lower"))
-        .withColumn("UPPER", _lowest("__upper"))
-        .withColumn(
-            "LOWER2", F.array_max(F.filter("__lower", lambda p: p.PRESSURE < F.col("LOWER.PRESSURE")))
-        )
-        .withColumn("__above", F.filter("__upper", lambda p: p.PRESSURE > F.col("UPPER.PRESSURE")))
-        .withColumn("UPPER2", _lowest("__above"))
-        .select("__key", *FOUND)
+    nearest = lists.selectExpr("*", "array_max(__lower) AS LOWER", f"{lowest('__upper')} AS UPPER")
+    second = nearest.selectExpr(
+        "*",
+        "array_max(filter(__lower, p -> p.PRESSURE < LOWER.PRESSURE)) AS LOWER2",
+        "filter(__upper, p -> p.PRESSURE > UPPER.PRESSURE) AS __above",
     )
+    return second.selectExpr("__key", *(f"{lowest('__above')} AS UPPER2" if n == "UPPER2" else n for n in FOUND))
 
 
-def _lowest(points: str) -> Column:
-    """The point of the lowest pressure, and of those the one tested last."""
-    pressure = F.array_min(F.transform(points, lambda p: p.PRESSURE))
-    return F.array_max(F.filter(points, lambda p: p.PRESSURE == pressure))
+def lowest(points: str) -> str:
+    """The point of the lowest pressure in an array, and of those the one tested last, as SQL text."""
+    pressure = f"array_min(transform({points}, p -> p.PRESSURE))"
+    return f"array_max(filter({points}, p -> p.PRESSURE = {pressure}))"

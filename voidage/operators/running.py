@@ -38,14 +38,13 @@ def running_totals(
 
 def summed_up(daily: DataFrame, keys: Sequence[str], date: str, names: Iterable[str]) -> DataFrame:
     """Daily totals, one row per key and date, replaced by running ones: sums within months, and of months before."""
-    names = list(names)
+    names, of_key = list(names), ", ".join(f"__month.{k}" for k in keys)
     month = daily.withColumn("__month", F.struct(*keys, F.trunc(date, "month").alias("__first")))
-    in_month = W.partitionBy("__month").orderBy(date)
-    days = month.select("__month", date, *(F.sum(n).over(in_month).alias(n) for n in names), *(F.col(n).alias(f"__{n}") for n in names))
-    before = W.partitionBy(*(F.col(f"__month.{k}") for k in keys)).orderBy("__month.__first").rowsBetween(W.unboundedPreceding, -1)
+    so_far = (f"sum({n}) OVER (PARTITION BY __month ORDER BY {date}) AS {n}" for n in names)
+    days = month.selectExpr("__month", date, *so_far, *(f"{n} AS __{n}" for n in names))
     # The days lie by month already, so that their sums need no shuffle.
     months = days.groupBy("__month").agg(*(F.sum(f"__{n}").alias(f"__{n}") for n in names))
-    carried = months.select("__month", *(F.sum(f"__{n}").over(before).alias(f"__before_{n}") for n in names))
-    both = days.join(carried, "__month")
-    total = lambda n: F.coalesce(F.col(f"__before_{n}") + F.col(n), f"__before_{n}", n)
-    return both.select(*(F.col(f"__month.{k}").alias(k) for k in keys), date, *(total(n).alias(n) for n in names))
+    before = f"PARTITION BY {of_key} ORDER BY __month.__first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carried = months.selectExpr("__month", *(f"sum(__{n}) OVER ({before}) AS __before_{n}" for n in names))
+    total = (f"coalesce(__before_{n} + {n}, __before_{n}, {n}) AS {n}" for n in names)
+    return days.join(carried, "__month").selectExpr(*(f"__month.{k} AS {k}" for k in keys), date, *total)

@@ -100,10 +100,10 @@ def with_branch(found: DataFrame, policy: str) -> DataFrame:
     Adds BRANCH and the points ``__a`` and ``__b``, packed as they were found: the
     value is that of the line through both, or that of ``__a`` alone where ``__b`` is NULL.
     """
-    named = found.withColumn("BRANCH", F.expr(branch_of(policy)))
+    named = found.selectExpr("*", f"{branch_of(policy)} AS BRANCH")
     if policy == "low_only":
-        named = named.filter(F.col("BRANCH") != "no_row")
-    return named.withColumns({"__a": F.expr(FIRST_POINT), "__b": F.expr(SECOND_POINT)})
+        named = named.filter("BRANCH <> 'no_row'")
+    return named.selectExpr("*", f"{FIRST_POINT} AS __a", f"{SECOND_POINT} AS __b")
 
 
 def _tolerate(found: DataFrame, pvt: DataFrame | CurveIndex, scope: str, tolerance: float) -> DataFrame:
@@ -145,23 +145,21 @@ def property_value(name: str, guarded: bool = False) -> Column:
 
     The line of ``extrapolate``, with its two differences of pressure taken
     from the columns ``__dx`` and ``__run``: ten properties share them, and the
-    generated code stays small enough to be compiled.
+    generated code stays small enough to be compiled.  As SQL text it is one call
+    to Spark instead of twenty, ten times for each lookup.
     """
-    y1, y2 = (F.get(F.col(f"{point}.VALUES"), F.lit(PROPERTIES.index(name))) for point in ("__a", "__b"))
-    line = y1 + F.col("__dx") * (y2 - y1) / F.col("__run")
+    y1, y2 = (f"get({point}.VALUES, {PROPERTIES.index(name)})" for point in ("__a", "__b"))
+    line = f"{y1} + __dx * ({y2} - {y1}) / __run"
     if guarded:
-        inside = (F.col("__dx") >= F.least(F.col("__run"), F.lit(0.0))) & (
-            F.col("__dx") <= F.greatest(F.col("__run"), F.lit(0.0))
-        )
-        line = F.when((F.col("BRANCH") != "interp") | inside, line)
-    return F.when(F.col("__run").isNull(), y1).otherwise(line)
+        inside = "__dx >= least(__run, 0D) AND __dx <= greatest(__run, 0D)"
+        line = f"CASE WHEN BRANCH <> 'interp' OR ({inside}) THEN {line} END"
+    return F.expr(f"CASE WHEN __run IS NULL THEN {y1} ELSE {line} END")
 
 
 def with_line(chosen: DataFrame) -> DataFrame:
     """Add the pressure differences of the line: request and second point, from the first."""
-    start = F.col("__a.PRESSURE")
-    return chosen.withColumns(
-        {"__dx": F.col("PRESSURE") - start, "__run": F.col("__b.PRESSURE") - start}
+    return chosen.selectExpr(
+        "*", "PRESSURE - __a.PRESSURE AS __dx", "__b.PRESSURE - __a.PRESSURE AS __run"
     )
 
 

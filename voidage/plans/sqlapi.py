@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from voidage.operators.curve_index import CurveIndex, cell_of
-from voidage.operators.curves import blocks_of_prefix_sql
+from voidage.operators.curves import blocks_of_prefix_sql, lowest
 from voidage.operators.intervals import CYCLE, filed_by_month
 from voidage.plans.pvt import FIRST_POINT, SECOND_POINT, branch_of, pvt_lookup, requests_by_factor
 from voidage.plans.vrr import vrr_view
@@ -32,12 +32,6 @@ def register_line_functions(spark: SparkSession) -> None:
     )
 
 
-def _lowest(points: str) -> str:
-    """The point of the lowest pressure, and of those the one tested last."""
-    lowest = f"array_min(transform({points}, p -> p.PRESSURE))"
-    return f"array_max(filter({points}, p -> p.PRESSURE = {lowest}))"
-
-
 #: Rounding to five places as SQL text, by those names of ``pvt_lookup`` that have one.
 _ROUNDED = {"sql": "round({}, 5)", "half_up": "floor(({}) * 100000 + 0.5D) / 100000"}
 
@@ -85,7 +79,7 @@ def register_lookup_function(
         SELECT BRANCH, A.PRESSURE, {values}
         FROM (SELECT BRANCH, {FIRST_POINT} AS A, {SECOND_POINT} AS B
         FROM (SELECT *, {branch_of(policy)} AS BRANCH
-        FROM (SELECT AT, LOWER, UPPER, LOWER2, {_lowest("ABOVE")} AS UPPER2
+        FROM (SELECT AT, LOWER, UPPER, LOWER2, {lowest("ABOVE")} AS UPPER2
         FROM (SELECT *, array_max(filter(LOWS, p -> p.PRESSURE < LOWER.PRESSURE)) AS LOWER2,
                      filter(UPS, p -> p.PRESSURE > UPPER.PRESSURE) AS ABOVE
         FROM (SELECT max(CASE WHEN HIT THEN POINT END) AS AT,

@@ -216,27 +216,21 @@ def _by_own_pattern(daily, volumes, factors, pressures, pvt, factor, scope, poli
     return _join_factors(placed.drop("START_DATE", "END_DATE"), factors, factor, "left")
 
 
-def _sum_product(volume: str, factor: str) -> Column:
-    return F.sum(F.col(volume) * F.col(factor))
-
-
-# Sums per pattern, day and pressure: name -> aggregate.
+# Sums per pattern, day and pressure: name -> aggregate, as SQL text.
 _ROLLUP = {
-    "OIL_VOLUME_STB": lambda: F.sum("OIL_VOLUME"),
-    "WATER_VOLUME_STB": lambda: F.sum("WATER_VOLUME"),
-    "OIL_VOLUME_RES_BBL": lambda: _sum_product("OIL_VOLUME", "OIL_FORMATION_VOLUME_FACTOR"),
-    "WATER_VOLUME_RES_BBL": lambda: _sum_product("WATER_VOLUME", "WATER_FORMATION_VOLUME_FACTOR"),
-    "WATER_INJ_VOLUME_STB": lambda: F.sum("WATER_INJ_VOLUME"),
-    "WATER_INJ_VOLUME_RES_BBL": lambda: _sum_product(
-        "WATER_INJ_VOLUME", "INJECTED_WATER_FORMATION_VOLUME_FACTOR"
-    ),
-    "GAS_WELL_GAS_VOLUME_SCF": lambda: F.sum("GAS_WELL_GAS_VOLUME"),
-    "GAS_INJ_VOLUME_SCF": lambda: F.sum("GAS_INJ_VOLUME"),
-    "GAS_VOLUME_SCF": lambda: F.sum("GAS_VOLUME"),
-    "FREE_GAS": lambda: F.sum("FREE_GAS"),
-    "GAS_INJ_VOLUME_RES_BBL": lambda: _sum_product("GAS_INJ_VOLUME", "INJECTED_GAS_FORMATION_VOLUME_FACTOR"),
-    "SOLUTION_GAS_OIL_RATIO": lambda: F.sum("SOLUTION_GAS_OIL_RATIO"),
-    "PRESSURE": lambda: F.avg("PRESSURE"),
+    "OIL_VOLUME_STB": "sum(OIL_VOLUME)",
+    "WATER_VOLUME_STB": "sum(WATER_VOLUME)",
+    "OIL_VOLUME_RES_BBL": "sum(OIL_VOLUME * OIL_FORMATION_VOLUME_FACTOR)",
+    "WATER_VOLUME_RES_BBL": "sum(WATER_VOLUME * WATER_FORMATION_VOLUME_FACTOR)",
+    "WATER_INJ_VOLUME_STB": "sum(WATER_INJ_VOLUME)",
+    "WATER_INJ_VOLUME_RES_BBL": "sum(WATER_INJ_VOLUME * INJECTED_WATER_FORMATION_VOLUME_FACTOR)",
+    "GAS_WELL_GAS_VOLUME_SCF": "sum(GAS_WELL_GAS_VOLUME)",
+    "GAS_INJ_VOLUME_SCF": "sum(GAS_INJ_VOLUME)",
+    "GAS_VOLUME_SCF": "sum(GAS_VOLUME)",
+    "FREE_GAS": "sum(FREE_GAS)",
+    "GAS_INJ_VOLUME_RES_BBL": "sum(GAS_INJ_VOLUME * INJECTED_GAS_FORMATION_VOLUME_FACTOR)",
+    "SOLUTION_GAS_OIL_RATIO": "sum(SOLUTION_GAS_OIL_RATIO)",
+    "PRESSURE": "avg(PRESSURE)",
 }
 
 _GROUP = ("ID_PATTERN", "DATE")
@@ -253,17 +247,17 @@ def _rollup_vector(shares: DataFrame) -> DataFrame:
     return (
         shares.withColumn("__pressure", F.col("PRESSURE"))
         .groupBy(*_GROUP, "__pressure")
-        .agg(F.array(*(total() for total in _ROLLUP.values())).alias("m"))
+        .agg(F.expr(f"array({', '.join(_ROLLUP.values())}) AS m"))
         .select(*_GROUP, "m")
     )
 
 
-def _m(name: str) -> Column:
-    return F.col("m")[list(_ROLLUP).index(name)]
+def _m(name: str) -> str:
+    return f"m[{list(_ROLLUP).index(name)}]"
 
 
 def _unpacked(names: Sequence[str] = tuple(_ROLLUP)) -> list[Column]:
-    return [_m(name).alias(name) for name in names]
+    return [F.expr(f"{_m(name)} AS {name}") for name in names]
 
 
 def rollup(shares: DataFrame) -> DataFrame:
@@ -284,17 +278,19 @@ def _with_totals(rolled: DataFrame) -> DataFrame:
 
 def rollup_with_cumulatives(shares: DataFrame, cumulative_includes_free_gas: bool = False) -> DataFrame:
     """``rollup`` plus the six running totals per pattern."""
-    produced = _m("OIL_VOLUME_RES_BBL") + _m("WATER_VOLUME_RES_BBL")
-    if cumulative_includes_free_gas:
-        produced = produced + _m("FREE_GAS")
+    oil, water, water_in, gas_in = (
+        _m(f"{name}_RES_BBL") for name in ("OIL_VOLUME", "WATER_VOLUME", "WATER_INJ_VOLUME", "GAS_INJ_VOLUME")
+    )
+    produced = f"{oil} + {water}" + (f" + {_m('FREE_GAS')}" if cumulative_includes_free_gas else "")
     totals = {
-        "CUMULATIVE_OIL_PRODUCTION_VOLUME_RES_BBL": _m("OIL_VOLUME_RES_BBL"),
-        "CUMULATIVE_WATER_PRODUCTION_VOLUME_RES_BBL": _m("WATER_VOLUME_RES_BBL"),
-        "CUMULATIVE_WATER_INJECTION_VOLUME_RES_BBL": _m("WATER_INJ_VOLUME_RES_BBL"),
-        "CUMULATIVE_GAS_INJECTION_VOLUME_RES_BBL": _m("GAS_INJ_VOLUME_RES_BBL"),
+        "CUMULATIVE_OIL_PRODUCTION_VOLUME_RES_BBL": oil,
+        "CUMULATIVE_WATER_PRODUCTION_VOLUME_RES_BBL": water,
+        "CUMULATIVE_WATER_INJECTION_VOLUME_RES_BBL": water_in,
+        "CUMULATIVE_GAS_INJECTION_VOLUME_RES_BBL": gas_in,
         "CUMULATIVE_PRODUCTION_VOLUME_RES_BBL": produced,
-        "CUMULATIVE_INJECTION_VOLUME_RES_BBL": _m("WATER_INJ_VOLUME_RES_BBL") + _m("GAS_INJ_VOLUME_RES_BBL"),
+        "CUMULATIVE_INJECTION_VOLUME_RES_BBL": f"{water_in} + {gas_in}",
     }
+    totals = {name: F.expr(value) for name, value in totals.items()}
     running = running_totals(_rollup_vector(shares), ["ID_PATTERN"], "DATE", totals, shared=True)
     return _with_totals(running.select(*_GROUP, *_unpacked(), *totals))
 
