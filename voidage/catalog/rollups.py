@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voidage.catalog import oracle
@@ -11,6 +13,7 @@ from voidage.catalog.registry import register
 from voidage.functions.numeric import settle
 from voidage.functions.volumes import allocated_volumes
 from voidage.plans import relations
+from voidage.plans.stored import refresh_rollup, store_rollup, stored_view
 from voidage.plans.vrr import (
     VRR_COLUMNS,
     ratios,
@@ -304,6 +307,19 @@ def vrr_view_latest(field: Field) -> DataFrame:
     return _view(field, factor="latest", free_gas="stored")
 
 
+@register(_view_sql(factor="pair", require_gas=True))
+def vrr_view_stored(field: Field) -> DataFrame:
+    """The view from a stored rollup: days before July 1996 are rolled up and stored, the later ones then added."""
+    spark = field.pvt.sparkSession
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/rollup_{uuid.uuid4().hex}"
+    tables = (field.factors, field.pressures, field.pvt)
+    options = {"factor": "pair", "require_gas": True}
+    later = F.col("PROD_DATE") >= "1996-07-11"
+    store_rollup(field.volumes.filter(~later), *tables, path, **options)
+    refresh_rollup(field.volumes.filter(later).select("PROD_DATE"), field.volumes, *tables, path, **options)
+    return _settled(stored_view(spark, path), VRR_COLUMNS)
+
+
 @register(_view_sql(factor="latest", pressure_key="volume", gas_rule="stored"))
 def vrr_view_latest_own_pressure(field: Field) -> DataFrame:
     return _view(field, factor="latest", pressure_key="volume", free_gas="stored")

@@ -236,7 +236,7 @@ _ROLLUP = {
 _GROUP = ("ID_PATTERN", "DATE")
 
 
-def _rollup_vector(shares: DataFrame) -> DataFrame:
+def rollup_vector(shares: DataFrame) -> DataFrame:
     """The sums as one array column ``m``, in the order of ``_ROLLUP``.
 
     The running totals read the grouped rows a second time.  As separate
@@ -262,7 +262,7 @@ def _unpacked(names: Sequence[str] = tuple(_ROLLUP)) -> list[Column]:
 
 def rollup(shares: DataFrame) -> DataFrame:
     """Surface and reservoir volumes per pattern, day and pressure, with totals."""
-    return _with_totals(_rollup_vector(shares).select(*_GROUP, *_unpacked()))
+    return _with_totals(rollup_vector(shares).select(*_GROUP, *_unpacked()))
 
 
 def _with_totals(rolled: DataFrame) -> DataFrame:
@@ -278,6 +278,11 @@ def _with_totals(rolled: DataFrame) -> DataFrame:
 
 def rollup_with_cumulatives(shares: DataFrame, cumulative_includes_free_gas: bool = False) -> DataFrame:
     """``rollup`` plus the six running totals per pattern."""
+    return with_cumulatives(rollup_vector(shares), cumulative_includes_free_gas)
+
+
+def with_cumulatives(vector: DataFrame, cumulative_includes_free_gas: bool = False) -> DataFrame:
+    """The same from sums that ``rollup_vector`` made."""
     oil, water, water_in, gas_in = (
         _m(f"{name}_RES_BBL") for name in ("OIL_VOLUME", "WATER_VOLUME", "WATER_INJ_VOLUME", "GAS_INJ_VOLUME")
     )
@@ -291,7 +296,7 @@ def rollup_with_cumulatives(shares: DataFrame, cumulative_includes_free_gas: boo
         "CUMULATIVE_INJECTION_VOLUME_RES_BBL": f"{water_in} + {gas_in}",
     }
     totals = {name: F.expr(value) for name, value in totals.items()}
-    running = running_totals(_rollup_vector(shares), ["ID_PATTERN"], "DATE", totals, shared=True)
+    running = running_totals(vector, ["ID_PATTERN"], "DATE", totals, shared=True)
     return _with_totals(running.select(*_GROUP, *_unpacked(), *totals))
 
 
@@ -339,8 +344,12 @@ def vrr_view(
     shares = splits(
         volumes, factors, pressures, pvt, factor, pressure_key, free_gas, require_gas, scope, policy, broadcast_bytes
     )
-    report = ratios(rollup_with_cumulatives(shares, cumulative_includes_free_gas))
-    return report.filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") != 0).select(*VRR_COLUMNS)
+    return report_rows(rollup_with_cumulatives(shares, cumulative_includes_free_gas))
+
+
+def report_rows(rolled: DataFrame) -> DataFrame:
+    """The columns of the report, without the days before a pattern's first production."""
+    return ratios(rolled).filter(F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL") != 0).select(*VRR_COLUMNS)
 
 
 def _until_last_effect(intervals: DataFrame, factors: DataFrame) -> DataFrame:
