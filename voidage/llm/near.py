@@ -75,38 +75,50 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a sorted run of rows, those that share ``DEPTH`` values with a row next to them, and the run's ends.
 
     ``before`` is the row in front where that is near; ``shared`` how many values
-    they have in common, up to ``PATH``.
+    they have in common, up to ``PATH``. One batch and the last row of the batch
+    before are held at a time.
     """
-    found = [batch for batch in batches if batch.num_rows]
-    if not found:
-        return
-    table = pa.Table.from_batches(found)
-    tree = table.column("tree").to_numpy()
-    paths = np.frombuffer(b"".join(table.column("path").to_pylist()), ">u4").reshape(-1, PATH)
-    alike = (paths[1:] == paths[:-1]).cumprod(axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
-    shared = np.concatenate([[0], alike]).astype(np.int32)
-    near = shared >= DEPTH
-    kept = near | np.append(near[1:], False)
-    kept[[0, -1]] = True
-    edge = np.zeros(len(kept), bool)
-    edge[[0, -1]] = True
-    at = np.flatnonzero(kept)
-    nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-    none = ~near[at]
-    for a in range(0, len(at), 20_000):
-        k, no = at[a : a + 20_000], none[a : a + 20_000]
-        rows = table.take(pa.array(k)).combine_chunks()
-        yield pa.RecordBatch.from_arrays(
+    names = ["tree", "path", "node", "n"]
+    held, ahead = None, (0, 0, 0)  # the row not yet given back, and the one in front of it
+
+    def given(rows: pa.RecordBatch, before, n_before, shared, edge, at: np.ndarray) -> pa.RecordBatch:
+        none = shared[at] < DEPTH
+        return pa.RecordBatch.from_arrays(
             [
-                *(rows.column(c).combine_chunks() for c in ("tree", "path", "node", "n")),
-                pa.array(nodes[k - 1], mask=no),
-                pa.array(n[k - 1], mask=no),
-                pa.array(shared[k]),
-                pa.array(edge[k]),
+                *rows.take(pa.array(at)).columns,
+                pa.array(before[at], mask=none),
+                pa.array(n_before[at], mask=none),
+                pa.array(shared[at]),
+                pa.array(edge[at]),
             ],
-            ["tree", "path", "node", "n", "before", "n_before", "shared", "edge"],
+            [*names, "before", "n_before", "shared", "edge"],
         )
 
+    start = True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch.select(names)
+        if held is not None:
+            rows = pa.Table.from_batches([held, rows]).combine_chunks().to_batches()[0]
+        tree, nodes, n = (rows.column(c).to_numpy() for c in ("tree", "node", "n"))
+        paths = np.frombuffer(b"".join(rows.column("path").to_pylist()), ">u4").reshape(-1, PATH)
+        alike = (paths[1:] == paths[:-1]).cumprod(axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
+        before, n_before = np.append(ahead[0], nodes[:-1]), np.append(ahead[1], n[:-1])
+        shared = np.append(ahead[2], alike).astype(np.int32)
+        edge = np.zeros(len(nodes), bool)
+        edge[0] = start
+        near = shared >= DEPTH
+        kept = (near | edge)[:-1] | near[1:]
+        if kept.any():
+            yield given(rows, before, n_before, shared, edge, np.flatnonzero(kept))
+        if len(nodes) > 1:
+            start = False
+        held, ahead = rows.slice(len(nodes) - 1), (before[-1], n_before[-1], shared[-1])
+    if held is not None:
+        last = (np.array([x]) for x in (ahead[0], ahead[1], np.int32(ahead[2]), True))
+        yield given(held, *last, np.array([0]))
+
 
 def forest(classes: DataFrame) -> DataFrame:
     """Rows of all orders that have a near neighbour; see ``_neighbours``. ``classes``: ``node``, ``n``, ``signature``.
@@ -121,8 +133,8 @@ def forest(classes: DataFrame) -> DataFrame:
     ).select("tree", F.substring("twice", F.col("tree") * (4 * DEPTH) + 1, 4 * PATH).alias("path"), "node", "n")
     by = ["tree", "path", "node"]
     rows = stored(orders.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_neighbours, NEIGHBOURS))
-    # Neighbours in different tasks: the two ends of every task, few enough for one.
-    ends = rows.filter("edge").select("tree", "path", "node", "n").coalesce(1).sortWithinPartitions(*by)
+    # Neighbours in different tasks: the two ends of every task, few enough for one. Many tasks look for them.
+    ends = rows.filter("edge").select("tree", "path", "node", "n").repartition(1).sortWithinPartitions(*by)
     across = ends.mapInArrow(_neighbours, NEIGHBOURS).filter("before IS NOT NULL")
     return rows.unionByName(stored(across))
 
@@ -174,49 +186,147 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _rest(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Every pair of ``members`` (``node``, ``part``, ``text``) in different parts that can reach ``percent``: ``a``, ``b``.
+    """Pairs ``a``, ``b`` of ``members`` (``node``, ``part``, ``family``, ``text``) by which every part is linked that can be.
 
-    Exact: sets that reach it share one of the first n - ceil(n * percent / 100) + 1
-    shingles in any common order. With rare ones first, most of these occur once.
-    Of each shared shingle the members of the part with most of them meet only the
-    members of other parts, never each other.
+    Every pair of different parts that reaches ``percent`` is among them, or both its
+    ends are paired with the same third member that they reach. Pairs of one family
+    come from ``_within``, others from ``_across``; families are any division of the members.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
         for batch in batches:
-            for k, text in enumerate(batch.column(2).to_pylist()):
-                found = shingle_set(words([text])[0], width)
-                size, node, part = len(found), batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+            texts = batch.column(3).to_pylist()
+            for a, b in slices(texts, 1_000_000):
+                hashes, ends = words(texts[a:b])
+                found = [shingle_set(x, width).view(np.int64) for x in np.split(hashes, ends[:-1])]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, x, np.int64)) for x in (node, part, size)] + [pa.array(found.view(np.int64))],
-                    ["node", "part", "n", "shingle"],
+                    [*(batch.column(c).slice(a, b - a) for c in range(3)), shingles], ["node", "part", "family", "shingles"]
                 )
 
-    all_ = stored(members.select("node", "part", "text").mapInArrow(run, "node long, part long, n long, shingle long"))
-    by_part = all_.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("f"))
-    often = by_part.groupBy("shingle").agg(
-        F.sum("f").alias("f"), F.max(F.struct("f", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts")
+    rows = members.select("node", "part", "family", "text")
+    all_ = stored(rows.mapInArrow(run, "node long, part long, family long, shingles array<long>"))
+    each = all_.select("family", F.explode("shingles").alias("shingle"))
+    counts = stored(each.groupBy("family", "shingle").agg(F.count(F.lit(1)).alias("f")))
+    pairs = _within(all_, counts, percent).union(_across(all_, counts, percent))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _across(all_: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Every pair ``x``, ``y`` of different families and parts that can reach ``percent``.
+
+    Sets that reach it share one of the first n - ceil(n * percent / 100) + 1 shingles
+    in any common order; those of one family alone come first and are shared by none.
+    Of each shared shingle the members of the family with most of them meet only the
+    members of other families, never each other.
+    """
+    often = counts.groupBy("shingle").agg(
+        F.sum("f").alias("f"), F.max(F.struct("f", "family"))["family"].alias("main"), F.count(F.lit(1)).alias("families")
     )
-    counted = all_.join(often.filter("f > 1"), "shingle")
+    each = all_.select("node", "part", "family", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     of_node = Window.partitionBy("node")
-    ranked = counted.select(
+    ranked = each.join(often.filter("families > 1"), "shingle").select(
         "*",
         F.row_number().over(of_node.orderBy("f", "shingle")).alias("place"),
         F.count(F.lit(1)).over(of_node).alias("repeated"),
     )
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     first = stored(
-        ranked.filter((F.col("place") + F.col("n") - F.col("repeated") <= prefix) & (F.col("parts") > 1)).select(
-            "shingle", "node", "part", "n", "main"
+        ranked.filter(F.col("place") + F.col("n") - F.col("repeated") <= prefix).select(
+            "shingle", "node", "part", "family", "n", "main"
+        )
+    )
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("node", "part", "family", "n")]
+    left = first.filter("family != main").select("shingle", *side(1))
+    met = left.join(first.select("shingle", "main", *side(2)), "shingle").filter(
+        "family1 != family2 AND part1 != part2 AND (family2 = main OR node1 < node2)"
+        f" AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+    )
+    return met.select(F.col("node1").alias("x"), F.col("node2").alias("y"))
+
+
+def _within(all_: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``x``, ``y`` of one family and of different parts: all that can reach ``percent``, but for what one link tells.
+
+    Let T be the shingles that most of a family have, and D(x) what x has beyond T or
+    lacks of it. What x and y do not share is then |D(x)| + |D(y)| - 2 |D(x) & D(y)|.
+    With g(x) = (100 + percent) |D(x)| - (100 - percent) n(x), the two reach
+    ``percent`` exactly if 2 (100 + percent) |D(x) & D(y)| >= g(x) + g(y).
+
+    If g(x) + g(y) <= 0, both also reach the member of the least g: one pair for each.
+    Else they share elements of D, which are few and rare however large the family
+    is: one of the first |D(x)| - o + 1 in a common order, where o is how many it takes
+    even with the least g. How many they can share is also bounded by what each has
+    that is not its own alone, and by what is left behind the place where they meet.
+    """
+    up, down = 100 + percent, 100 - percent
+    several = all_.groupBy("family").agg(
+        F.count(F.lit(1)).alias("size"), F.min("part").alias("low"), F.max("part").alias("high")
+    )
+    several = several.filter("low != high").select("family", "size")
+    # No more shingles than twice the mean of its members' numbers.
+    typical = (
+        counts.filter("f > 1").join(several, "family").filter("2 * f > size").groupBy("family").agg(F.collect_list("shingle").alias("t"))
+    )
+    known = several.select("family").join(typical, "family", "left").select(
+        "family", F.coalesce("t", F.array().cast("array<long>")).alias("t")
+    )
+    around = stored(
+        all_.join(known, "family")
+        .select(
+            "node",
+            "part",
+            "family",
+            F.size("shingles").cast("long").alias("n"),
+            F.array_except("shingles", "t").alias("more"),
+            F.array_except("t", "shingles").alias("less"),
+        )
+        .withColumn("d", (F.size("more") + F.size("less")).cast("long"))
+        .withColumn("g", F.col("d") * up - F.col("n") * down)
+    )
+    centre = around.groupBy("family").agg(F.min(F.struct("g", "node", "part")).alias("centre"))
+    around = around.join(centre, "family")
+    close = around.filter("g + centre.g <= 0 AND part != centre.part").select(
+        F.col("node").alias("x"), F.col("centre.node").alias("y")
+    )
+    one = lambda column, lacks: F.transform(column, lambda s: F.struct(s.alias("shingle"), F.lit(lacks).alias("lacks")))
+    each = around.select(
+        "node",
+        "part",
+        "family",
+        "d",
+        "g",
+        F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("centre.g")) / (2 * up))).alias("o"),
+        F.explode(F.concat(one("more", 0), one("less", 1))).alias("e"),
+    ).select("node", "part", "family", "d", "g", "o", "e.shingle", "e.lacks")
+    each = stored(each)
+    by_part = each.groupBy("family", "shingle", "part").agg(F.count(F.lit(1)).alias("f"))
+    often = by_part.groupBy("family", "shingle").agg(
+        F.sum("f").alias("f"), F.max(F.struct("f", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts")
+    )
+    of_node = Window.partitionBy("node")
+    ranked = each.join(often.filter("f > 1"), ["family", "shingle"]).select(
+        "*",
+        F.row_number().over(of_node.orderBy("f", "shingle")).alias("place"),
+        F.count(F.lit(1)).over(of_node).alias("repeated"),
+        F.sum("lacks").over(of_node).alias("lacking"),
+    )
+    left_over = ranked.withColumn("left_over", F.col("repeated") - F.col("place") + 1)
+    first = stored(
+        left_over.filter("left_over >= o AND parts > 1").select(
+            "family", "shingle", "main", "node", "part", "g", "repeated", "lacking", "left_over"
         )
     )
-    left = first.filter("part != main").select("shingle", F.col("node").alias("x"), F.col("part").alias("px"), F.col("n").alias("nx"))
-    right = first.select("shingle", "main", F.col("node").alias("y"), F.col("part").alias("py"), F.col("n").alias("ny"))
-    met = left.join(right, "shingle").filter(
-        f"px != py AND (py = main OR x < y) AND 100 * least(nx, ny) >= {percent} * greatest(nx, ny)"
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("node", "part", "g", "repeated", "lacking", "left_over")]
+    left = first.filter("part != main").select("family", "shingle", *side(1))
+    met = left.join(first.select("family", "shingle", "main", *side(2)), ["family", "shingle"]).filter(
+        "part1 != part2 AND (part2 = main OR node1 < node2) AND g1 + g2 > 0"
+        f" AND {2 * up} * least(left_over1, left_over2,"
+        " least(lacking1, lacking2) + least(repeated1 - lacking1, repeated2 - lacking2)) >= g1 + g2"
     )
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return close.union(met.select(F.col("node1").alias("x"), F.col("node2").alias("y")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -267,14 +377,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         .agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
         .filter("size > 2 AND low != high")
     )
-    open_ = stored(placed.join(mixed_regions, ["tree", "prefix"]).select("node", "part").distinct())
+    open_ = stored(placed.join(mixed_regions.select("tree", "prefix"), ["tree", "prefix"]))
     if not open_.isEmpty():
-        found = stored(_rest(texts.join(open_, "node"), width, percent))
+        found = stored(_rest(texts.join(_families(open_), "node"), width, percent))
         if not found.isEmpty():
             parts = _merged(parts, stored(_verified(found, texts, width, percent)))
     return _labelled(sets, classes, parts)
 
 
+def _families(open_: DataFrame) -> DataFrame:
+    """``node``, ``part`` and ``family`` of the nodes in open regions: the largest part that is in a region with the node."""
+    sizes = open_.select("node", "part").distinct().groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    top = open_.join(sizes, "part").groupBy("tree", "prefix").agg(F.max(F.struct("size", "part")).alias("top"))
+    return open_.join(top, ["tree", "prefix"]).groupBy("node", "part").agg(F.max("top")["part"].alias("family"))
+
+
 def _texts_of(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """A text of each class: ``node``, ``text``. Where a ``doc_id`` repeats, the text that has the class's set."""
 
