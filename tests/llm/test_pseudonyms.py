@@ -68,6 +68,12 @@ def mod97(text):
     return int("".join(str(int(c, 36)) for c in text)) % 97
 
 
+def country_code(digits):
+    """As the numbering plan assigns them: 1 and 7, two digits for these, else three."""
+    two = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+    return digits[0] if digits[0] in "17" else digits[:2] if digits[:2] in two.split() else digits[:3]
+
+
 def brute(value):
     match = lambda kind: re.fullmatch(FORMS[kind], value)
     digits = only_digits(value)
@@ -83,14 +89,16 @@ def brute(value):
     if match("iban"):
         plain = value.replace(" ", "")
         if 15 <= len(plain) <= 34 and mod97(plain[4:] + plain[:4]) == 1:
-            body = feistel(value[4:], "iban")
-            return value[:2] + f"{98 - mod97(body.replace(' ', '') + value[:2] + '00'):02}" + body
+            body = feistel(plain[4:], "iban")
+            signs = iter(value[:2] + f"{98 - mod97(body + value[:2] + '00'):02}" + body)
+            return re.sub("[^ ]", lambda _: next(signs), value)
         return value
     if match("phone"):
         if 8 <= len(digits) <= 15:
-            head = re.match(r"(?:\+[0-9]{1,3}(?=[^0-9])|\+[0-9])?", value).group()
-            rest = value[len(head) :]
-            return head + refill(rest, feistel(only_digits(rest), "phone"))
+            code = country_code(digits) if value[0] == "+" else ""
+            trunk = re.match(r"\+([0-9]{1,3})[ .-]?\(0\)", value)
+            kept = code + ("0" if trunk and trunk.group(1) == code else "")
+            return refill(value, kept + feistel(digits[len(kept) :], "phone"))
         return value
     if match("ssn"):
         ok = lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
@@ -110,7 +118,8 @@ def brute(value):
         if not 0 <= n < P.DAYS:
             return value
         n = mixed(n, 271, 270, f"{KEY}:date")
-        while n >= P.DAYS:
+        late = lambda n: (dt.date(1900, 1, 1) + dt.timedelta(n)).day > 12
+        while n >= P.DAYS or late(n) != (day.day > 12):
             n = mixed(n, 271, 270, f"{KEY}:date")
         new = dt.date(1900, 1, 1) + dt.timedelta(n)
         return new.isoformat() if iso else new.strftime(f"%d{value[2]}%m{value[2]}%Y")

@@ -2,17 +2,23 @@
 
 A value is found by its form, validated, and permuted inside its format: letters
 stay letters of the same case, digits stay digits, separators stay in place. The
-permutation depends only on the key and the kind, so equal values get equal
+permutation depends only on the key and the kind, and acts on the value itself, not
+on how it is written: an IBAN or a phone number with or without spaces, or a date in
+another order, gets the same pseudonym in its own form. Equal values get equal
 pseudonyms in all documents, and different values different ones.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
 DEFAULT_KEY = "replace this key"
+#: Session setting that holds the key.
+KEY_SETTING = "spark.voidage.pseudonym.key"
 
 #: What may stand between two digits of a phone number.
 _BETWEEN = r"(?:[ .-]?\(|\)[ .-]?|[ .-])?"
@@ -32,6 +38,9 @@ _PHONE_DIGITS = {
 _FIXED_PHONE = "|".join(
     rf"\+(?:{codes})(?:{_BETWEEN}[0-9]){{{digits}}}(?![0-9A-Za-z])" for digits, codes in _PHONE_DIGITS.items()
 )
+#: Country codes of one and of two digits; all others have three.
+_COUNTRY_1 = "[17]"
+_COUNTRY_2 = "20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 #: 8 to 15 digits, as many as there are; from ten on a separate number is not taken in.
 _ANY_PHONE = rf"\+[0-9](?:{_BETWEEN}[0-9]){{7,9}}(?:{_WITHIN}[0-9]){{0,5}}"
 
@@ -143,15 +152,15 @@ def _digit_sum(digits: Column, double_last: bool) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda s, d: s + d)
 
 
-def _refill(form: Column, digits: Column) -> Column:
-    """``form`` with its digits, from the left, replaced by ``digits``."""
+def _refill(form: Column, signs: Column, those: str = "^[0-9]$") -> Column:
+    """``form`` with its digits (or the signs that match ``those``), from the left, replaced by ``signs``."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
     def sign(s: Column, c: Column) -> Column:
-        is_digit = c.rlike("^[0-9]$")
+        is_one = c.rlike(those)
         return F.struct(
-            F.concat(s["out"], F.when(is_digit, F.substr(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
-            (s["at"] + F.when(is_digit, 1).otherwise(0)).alias("at"),
+            F.concat(s["out"], F.when(is_one, F.substr(signs, s["at"], F.lit(1))).otherwise(c)).alias("out"),
+            (s["at"] + F.when(is_one, 1).otherwise(0)).alias("at"),
         )
 
     return F.aggregate(F.split(form, "(?!$)"), start, sign, lambda s: s["out"])
@@ -191,9 +200,9 @@ def _is_iban(value: Column) -> Column:
 
 def _iban(value: Column, key: Column) -> Column:
     country = F.substr(value, F.lit(1), F.lit(2))
-    body = feistel(F.substr(value, F.lit(5), F.lit(64)), "iban", key)
-    check = 98 - _mod97(F.concat(F.replace(body, F.lit(" "), F.lit("")), country, F.lit("00")))
-    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), body)
+    body = feistel(F.substr(F.replace(value, F.lit(" "), F.lit("")), F.lit(5), F.lit(64)), "iban", key)
+    check = 98 - _mod97(F.concat(body, country, F.lit("00")))
+    return _refill(value, F.concat(country, F.lpad(check.cast("string"), 2, "0"), body), "^[0-9A-Z]$")
 
 
 def _is_ip(value: Column) -> Column:
@@ -233,16 +242,17 @@ def _day(value: Column, month_first: bool = False) -> Column:
 
 def _date(value: Column, key: Column, month_first: bool = False) -> Column:
     # 271 * 270 is the next product above the number of days: a result beyond the
-    # last day is permuted again, so the days are permuted among themselves. Dates that
-    # can only be read month first stay such dates, so none becomes another's pseudonym.
+    # last day is permuted again, so the days are permuted among themselves. So are those
+    # after the 12th and those up to it: a date that can only be read month first stays one,
+    # is none other's pseudonym, and has that of the same day in another order.
     secret = F.concat(key, F.lit(":date"))
     day_of = lambda n: F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
+    day = _day(value, month_first)
+    late = F.dayofmonth(day) > 12
     moved = F.aggregate(
-        F.sequence(F.lit(1), F.lit(96 if month_first else 16)),
-        _mixed(F.datediff(_day(value, month_first), F.lit(FIRST_DAY).cast("date")).cast("long"), 271, 270, secret),
-        lambda n, i: F.when(
-            (n < DAYS) & (F.dayofmonth(day_of(n)) > 12) if month_first else n < DAYS, n
-        ).otherwise(_mixed(n, 271, 270, secret)),
+        F.sequence(F.lit(1), F.lit(128)),
+        _mixed(F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long"), 271, 270, secret),
+        lambda n, i: F.when((n < DAYS) & ((F.dayofmonth(day_of(n)) > 12) == late), n).otherwise(_mixed(n, 271, 270, secret)),
     )
     date = day_of(moved)
     if month_first:
@@ -283,10 +293,15 @@ def pseudonym(value: Column, key: Column) -> Column:
 
 
 def _phone(value: Column, key: Column) -> Column:
-    """A country code stays: the digits up to the first separator, at most three, or one if none follows."""
-    head = F.regexp_extract(value, r"^(?:\+[0-9]{1,3}(?=[^0-9])|\+[0-9])?", 0)
-    digits = _digits(F.substr(value, F.length(head) + 1, F.lit(64)))
-    return F.concat(head, _refill(F.substr(value, F.length(head) + 1, F.lit(64)), feistel(digits, "phone", key)))
+    """The country code stays, and a ``(0)`` after it; the rest is permuted, as in a number without a code."""
+    digits = _digits(value)
+    code = F.when(
+        value.startswith("+"), F.regexp_extract(digits, rf"^(?:{_COUNTRY_1}|(?:{_COUNTRY_2})|[0-9]{{3}})", 0)
+    ).otherwise("")
+    trunk = F.when(F.regexp_extract(value, r"^\+([0-9]{1,3})[ .-]?\(0\)", 1) == code, F.lit("0")).otherwise("")
+    trunk = F.when(code == "", F.lit("")).otherwise(trunk)
+    kept = F.concat(code, trunk)
+    return _refill(value, F.concat(kept, feistel(F.substr(digits, F.length(kept) + 1, F.lit(64)), "phone", key)))
 
 
 def _ssn(value: Column, key: Column) -> Column:
@@ -300,15 +315,24 @@ def _ssn(value: Column, key: Column) -> Column:
     return _refill(value, moved)
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def session_key(docs: DataFrame) -> str:
+    """The key that the session names in ``KEY_SETTING``; ``DEFAULT_KEY``, which is no secret, where it names none."""
+    key = docs.sparkSession.conf.get(KEY_SETTING, None)
+    if key is None:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are made with a key that is no secret", stacklevel=3)
+    return key or DEFAULT_KEY
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, personal data in ``text_col`` replaced, whole texts, no shuffle.
 
     Emails (local part), IPv4 addresses, IBANs, phone numbers, social security
     numbers, dates of 1900 to 2099 and card numbers. Numbers that fail their check
     (Luhn, remainder 97, octets, calendar) stay. Null texts stay null; every other
-    column and every row stays, repeated ones too.
+    column and every row stays, repeated ones too. Without a ``key`` it is the session's.
+    Whether a day is after the 12th of its month shows in its pseudonym.
     """
-    text, secret = docs[text_col], F.lit(key)
+    text, secret = docs[text_col], F.lit(session_key(docs) if key is None else key)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     between = F.split(text, ANY, -1)
     tail = F.array(F.lit(""))
