@@ -317,8 +317,8 @@ def with_edits(docs: DataFrame, most_chars: int = 150_000) -> DataFrame:
             yield one(waiting, first)
 
     ends = result.filter("place IS NOT NULL").select("doc_id", "place", "text", "tie", "row")
-    # Two rows of each task: few enough for one.
-    closed = ends.coalesce(1).sortWithinPartitions("doc_id", "tie", "row", "place").select("doc_id", "place", "text")
+    # Two rows of each task: few enough for one. Many tasks look for them.
+    closed = ends.repartition(1).sortWithinPartitions("doc_id", "tie", "row", "place").select("doc_id", "place", "text")
     return result.filter("place IS NULL").select(*_NAMES).union(closed.mapInArrow(close, COLUMNS))
 
 
