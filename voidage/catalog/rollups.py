@@ -26,6 +26,7 @@ from voidage.plans.vrr import (
 )
 from voidage.sources.derived import Field
 from voidage.sources.schemas import PROPERTIES
+from voidage.sources.tables import read_daily_volumes, store_daily_volumes
 
 # Decimal places kept in the checks: ratios four, sums of doubles three.
 _EXACT = ("ID_PATTERN_VRR", "ID_PATTERN", "DATE", "PRESSURE")
@@ -320,6 +321,18 @@ def vrr_view_stored(field: Field) -> DataFrame:
     return _settled(stored_view(spark, path), VRR_COLUMNS)
 
 
+@register(_view_sql(factor="pair", require_gas=True))
+def vrr_view_bucketed(field: Field) -> DataFrame:
+    """The view over daily rows stored in buckets by completion and month, which it does not move."""
+    spark = field.pvt.sparkSession
+    name = f"volumes_{uuid.uuid4().hex}"
+    store_daily_volumes(field.volumes, name, buckets=16)
+    rows = vrr_view(
+        read_daily_volumes(spark, name), field.factors, field.pressures, field.pvt, factor="pair", require_gas=True
+    )
+    return _settled(rows, VRR_COLUMNS)
+
+
 @register(_view_sql(factor="latest", pressure_key="volume", gas_rule="stored"))
 def vrr_view_latest_own_pressure(field: Field) -> DataFrame:
     return _view(field, factor="latest", pressure_key="volume", free_gas="stored")

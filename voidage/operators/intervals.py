@@ -11,10 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from voidage.functions.dates import month_index, open_end
-
-#: Months after which the places that join intervals to dates come round again.
-CYCLE = 60
+from voidage.functions.dates import CYCLE, month_index, month_place, open_end
 
 _MONTH = "__month"
 
@@ -63,6 +60,7 @@ def interval_join(
     end: str,
     how: str = "inner",
     broadcast_bytes: int | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Join each left row to the right rows of its key in force at a date.
 
@@ -77,12 +75,14 @@ def interval_join(
     where open-ended intervals could stop being repeated.
 
     ``on`` names columns that both sides have and ``at`` the left date; the
-    result keeps one of each key.  How the sides move is left to Spark,
+    result keeps one of each key.  ``place`` names a left column that holds the place of
+    ``at``; a table stored in buckets by ``on`` and that column is joined where it
+    lies, and only the intervals move.  Otherwise how the sides move is left to Spark,
     which measures them in bytes while the query runs, unless ``broadcast_bytes``
     asks to measure the repeated intervals now, and send them if they are no more.
     """
     by_month = filed_by_month(right, start, end, _MONTH)
-    keyed = left.withColumn(_MONTH, month_index(F.col(at)) % CYCLE)
+    keyed = left.withColumn(_MONTH, month_place(F.col(at)) if place is None else F.col(place))
     condition = (F.col(f"__l.{at}") >= F.col(f"__r.{start}")) & (F.col(f"__l.{at}") < F.col(f"__r.{end}"))
     for name in [*on, _MONTH]:
         condition = condition & (F.col(f"__l.{name}") == F.col(f"__r.{name}"))

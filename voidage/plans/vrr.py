@@ -13,7 +13,7 @@ from voidage.operators import factors as factor_rules
 from voidage.operators.intervals import interval_join, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
 from voidage.plans.pvt import pvt_lookup
-from voidage.sources.schemas import PROPERTIES, REQUEST_KEY, VOLUME_COLUMNS
+from voidage.sources.schemas import MONTH_PLACE, PROPERTIES, REQUEST_KEY, VOLUME_COLUMNS
 
 # The columns of the ratio report, in order.
 VRR_COLUMNS = (
@@ -151,6 +151,7 @@ def splits(
         F.col("PROD_DATE").alias("PROD_DATE"),
         *VOLUME_COLUMNS,
         *FREE_GAS_INPUTS[gas_rule],
+        *(c for c in (MONTH_PLACE,) if c in volumes.columns),
     )
     if pressure_key == "factor":
         placed = _by_schedule(daily, factors, pressures, pvt, factor, scope, policy, broadcast_bytes)
@@ -192,6 +193,7 @@ def _by_schedule(daily, factors, pressures, pvt, factor, scope, policy, broadcas
         start="START_DATE",
         end="END_DATE",
         broadcast_bytes=broadcast_bytes,
+        place=MONTH_PLACE if MONTH_PLACE in daily.columns else None,
     )
 
 

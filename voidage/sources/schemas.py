@@ -21,6 +21,9 @@ PROPERTIES = (
 # Fixed value: end date of an interval that is still in force.
 OPEN_END = "9999-12-31"
 
+# Column of stored daily volumes: the place of the day's month in the cycle of months.
+MONTH_PLACE = "MONTH_PLACE"
+
 REQUEST_KEY = ("ID_COMPLETION", "VRR_DATE", "PRESSURE")
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from voidage.functions.dates import month_place
 from voidage.sources import schemas
 
 
@@ -49,6 +50,29 @@ def write_daily_volumes(volumes: DataFrame, path: str) -> None:
     )
 
 
+def store_daily_volumes(volumes: DataFrame, name: str, buckets: int = 64) -> None:
+    """Store daily volumes as a catalog table, in buckets by completion and place of the month.
+
+    These are the columns by which the views join daily rows to their schedule, so
+    that rows read by ``read_daily_volumes`` are moved once, here, and not again by
+    every view. A completion with very many rows is spread over the places of its
+    months. ``buckets`` should be a few times the cores, and large enough that a bucket
+    of a file is not above the memory of a task.
+    """
+    by = ["COMPLETION_ID", schemas.MONTH_PLACE]
+    placed = volumes.withColumn(schemas.MONTH_PLACE, month_place(F.col("PROD_DATE")))
+    placed.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+
+
+def read_daily_volumes(spark: SparkSession, name: str) -> DataFrame:
+    """Daily volumes with the place of their month, as ``store_daily_volumes`` has stored them."""
+    stored = spark.table(name)
+    volumes = schemas.TABLES["production_volumes_daily_oilfield"]
+    return stored.select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in volumes.fields), F.col(schemas.MONTH_PLACE)
+    )
+
+
 def known_points(
     spark: SparkSession,
     pvt: DataFrame,
