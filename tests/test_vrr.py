@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from build import factor_table, pressure_table, pvt_table, volume_table
+from build import executed_nodes, factor_table, pressure_table, pvt_table, volume_table
 from voidage.plans.relations import relationship_counts
 from voidage.plans.vrr import VRR_COLUMNS, splits, vrr_report, vrr_view
 
@@ -175,6 +175,42 @@ def test_report(spark, factors, pressures):
     assert (row.PRESSURE, row.FACTORS) == (110.0, 0.75)
 
 
+def test_report_splits_the_days_of_a_hot_pattern_only(spark):
+    days = 20_000
+    stored = {"CUMULATIVE_INJECTION_VOLUME_RES_BBL": 3.0, "CUMULATIVE_PRODUCTION_VOLUME_RES_BBL": 6.0}
+    hot = [f"{1960 + d // 336}-{d // 28 % 12 + 1:02d}-{d % 28 + 1:02d}" for d in range(days)]
+    rows = [production(d, **stored) for d in hot]
+    for k in range(2, 12):
+        rows += [production(d, completion=f"C{k}", pattern=f"P{k}", **stored) for d in hot[:20]]
+    names = [(f"P{k}", f"C{k}") for k in range(1, 12)]
+    factors = factor_table(spark, [(p, c, d, f) for p, c in names for d, f in (("1960-01-01", 0.5), ("2100-01-01", 0.25))])
+    pressures = pressure_table(spark, [(p, "1960-01-01", 100.0) for p, _ in names])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        report = vrr_report(volume_table(spark, rows), factors, pressures)
+        joins = [n for n in executed_nodes(report) if "Join" in n.getClass().getSimpleName()]
+        last = [n for n in joins if "FACTORS" in n.output().mkString()]
+        assert len(last) == 1 and last[0].isSkewJoin()
+        found = report.groupBy("FACTORS").count().collect()
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+    assert {r["FACTORS"]: r["count"] for r in found} == {f: days + 10 * 20 for f in (0.5, 0.25)}
+
+
 def test_row_order_does_not_matter(spark, factors, pressures, pvt):
     rows = [production(f"2020-01-{d:02d}", THEOR_OIL_VOL_STB=float(d)) for d in range(1, 29)]
     assert view(spark, rows, factors, pressures, pvt) == view(spark, rows[::-1], factors, pressures, pvt)

@@ -45,9 +45,6 @@ VRR_COLUMNS = (
 
 PRESSURE_KEYS = ("factor", "volume")
 
-#: Parts into which the report deals the days of a pattern.
-SALTS = 32
-
 
 def pressure_intervals(pressures: DataFrame) -> DataFrame:
     """Pattern pressures with the date each one ends."""
@@ -403,10 +400,9 @@ def vrr_report(volumes: DataFrame, factors: DataFrame, pressures: DataFrame) ->
         F.coalesce(scf(F.col("THEOR_GAS_VOL_KSCF")), F.lit(0.0)).alias("THEOR_GAS_VOL_KSCF"),
         F.col("CUMULATIVE_PRODUCTION_VOLUME_RES_BBL").alias("PRODUCTION_VOLUME_RES_BBL"),
     )
-    # Both sides are distinct before they meet, so their pairs are as well. The days of
-    # a pattern are dealt to salts, each of which gets the pattern's few factors.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    # Both sides are distinct before they meet, so their pairs are as well. The join has
+    # exchanges of its own: where Spark measures that a pattern's days are too many for
+    # one task, it splits them and copies that pattern's factors alone.
     pattern_factors = factors.select("ID_PATTERN", F.col("FACTOR").alias("FACTORS")).distinct()
-    salted = rows.distinct().withColumn("__salt", F.pmod(F.xxhash64("DATE"), F.lit(SALTS)).cast("int"))
-    report = salted.join(pattern_factors.withColumn("__salt", salts), ["ID_PATTERN", "__salt"]).drop("__salt")
+    report = rows.distinct().join(pattern_factors, "ID_PATTERN")
     return report.withColumn("ID_PATTERN", pattern_key(F.col("ID_PATTERN"), F.col("DATE"), "dd-MMM-yyyy"))
