@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that the driver and all executors share.
 
     The cluster names that folder in ``spark.checkpoint.dir``. Only where it is not
-    set, as in tests on one machine, is it a folder below ``/tmp``.
+    set and the session runs in one process, as in tests, is it a folder below
+    ``/tmp``; executors elsewhere would not see that one, so there it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:/tmp/checkpoints"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: no folder that the driver and all executors share is known")
+        root = "file:/tmp/checkpoints"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
