@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from build import day, factor_table, pressure_table, volume_table
+from build import day, executed_nodes, factor_table, pressure_table, volume_table
 from voidage.operators.extremes import first_rows, two_extremes
 from voidage.operators.intervals import CYCLE, interval_join, next_distinct_date, overlap_join, validity_intervals
 from voidage.operators.running import running_totals
@@ -52,6 +52,35 @@ def test_interval_join_is_as_of(spark, limit, how):
     assert found == expected
 
 
+def _rows_sent(df) -> list[int]:
+    """Rows of each relation that the plan sends to every task."""
+    sent = [n for n in executed_nodes(df) if n.getClass().getSimpleName() == "BroadcastExchangeExec"]
+    return [n.metrics().apply("numOutputRows").value() for n in sent]
+
+
+def test_repeated_intervals_are_not_taken_for_small(spark):
+    """Intervals below the limit of a broadcast, but not when they are filed under all their months."""
+    rows = [(f"K{i}", dt.date(2000, 1, 1), dt.date(9999, 12, 31), i) for i in range(3000)]
+    right = spark.createDataFrame(rows, "k string, start date, end date, i int")
+    left = spark.createDataFrame([(f"K{i % 4000}", dt.date(2001, 1 + i % 12, 5), i) for i in range(9000)], "k string, at date, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    try:
+        joined = interval_join(left, right, ["k"], "at", "start", "end")
+        assert max(_rows_sent(joined), default=0) < len(rows)
+        found = sorted((r.n, r.i) for r in joined.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [(n, n % 4000) for n in range(9000) if n % 4000 < 3000]
+
+
+def test_dates_are_not_sent_to_every_task(spark):
+    """There are as many distinct dates as rows."""
+    factors = factor_table(spark, [(f"P{i % 5}", f"C{i}", f"200{i % 9}-01-01", 0.5) for i in range(500)])
+    ended = next_distinct_date(factors, ["ID_PATTERN", "ID_COMPLETION"], "EFFECT_DATE")
+    assert _rows_sent(ended) == []
+    assert {(r.END_DATE, r["count"]) for r in ended.groupBy("END_DATE").count().collect()} == {(dt.date(9999, 12, 31), 500)}
+
+
 def test_interval_join_with_nothing_on_the_right(spark):
     left, right, _ = _random_tables(spark, 4)
     empty = validity_intervals(right.filter("false"), ["k"], "start")
