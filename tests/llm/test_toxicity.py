@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -104,3 +105,16 @@ def test_query(spark):
     held = [r for r in rows if r.held_out and r.doc_id in toxic]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     assert np.mean([r.predicted == toxic[r.doc_id] for r in held]) > 0.97
+
+
+def test_training_does_not_hold_the_words_of_all_texts():
+    rng = random.Random(2)
+    words = [f"word{k}" for k in range(50)]
+    many = [" ".join(rng.choices(words, k=2_000)) for _ in range(200)]
+    tracemalloc.start()
+    try:
+        assert T.fit(many, np.arange(200) % 2, rounds=0) is not None
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12e6  # 400,000 words as strings of their own are more than twice that

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -170,8 +171,8 @@ def backward(weights, cache, d_logits: np.ndarray):
 class Windows:
     """Windows of texts as rows of a table of distinct words."""
 
-    def __init__(self, texts: list[list[int]]):
-        self.ids = np.array([x for text in texts for x in text], np.int64)
+    def __init__(self, texts: Sequence[Sequence[int]]):
+        self.ids = np.fromiter(chain.from_iterable(texts), np.int64)
         ends = np.cumsum([len(text) for text in texts])
         starts, stops, owner = [], [], []
         at = 0
@@ -218,15 +219,20 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 7, seed: int = 11, d
     labels = np.asarray(labels, np.float32)
     if len(set(labels.tolist())) < 2:
         return None
-    split = [split_words(text) for text in texts]
-    seen = Counter(core for words in split for core in {w.strip(PUNCTUATION) or w for w in words})
+    # Words become numbers text by text: the driver never holds the words of all texts.
+    seen: Counter[str] = Counter()
+    distinct: dict[str, int] = {}
+    numbered = []
+    for text in texts:
+        words = split_words(text)
+        seen.update({w.strip(PUNCTUATION) or w for w in words})
+        numbered.append(np.array([distinct.setdefault(w, len(distinct)) for w in words], np.int64))
     least = max(2, len(texts) // 300)  # a word of few texts would only tell those texts apart
     common = sorted((w for w, n in seen.items() if n >= least), key=lambda w: (-seen[w], w))[:MOST_WORDS]
     vocabulary = {word: k + 1 for k, word in enumerate(common)}
-    distinct = {word: k for k, word in enumerate(dict.fromkeys(w for words in split for w in words))}
     numbers, flat, starts = word_inputs(list(distinct), vocabulary)
     ends = np.append(starts, len(flat))
-    windows = Windows([[distinct[w] for w in words] for words in split])
+    windows = Windows(numbered)
     owner, rng = windows.owner, np.random.default_rng(seed)
     weights = initial(len(vocabulary))
     if not len(owner):
