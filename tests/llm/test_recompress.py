@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from making import MEDIUM, make  # noqa: F401
 
+from voidage.llm import hashing
 from voidage.llm import recompress as R
 from voidage.llm.common import documents
 from voidage.llm.hashing import Words
@@ -99,3 +102,30 @@ def test_every_window_has_one_group():
 
 def test_empty_table(make):
     assert R.without_repeats(make([])).count() == 0
+
+
+def test_words_hashed_by_whole_arrays(monkeypatch):
+    texts = ["", "a b c\x1cd\x00 e", " \t\n\x0b\x0c\r", " x y", "ab ba " * 3 + "x" * 900 + " end", "no_space", " e "]
+    words = [w for t in texts for w in t.encode().split()]
+    (one, two), ends = hashing.word_hashes(texts, 2)
+    assert list(ends) == list(np.cumsum([len(t.encode().split()) for t in texts]))
+    for found in (one, two):
+        assert len(set(zip(words, found))) == len(set(words)) == len(set(found))
+    assert not set(one) & set(two)
+    # Words are cut out in pieces; where a piece ends does not matter.
+    monkeypatch.setattr(hashing, "PIECE", 16)
+    again = hashing.word_hashes(texts, 2)[0]
+    assert all((x == y).all() for x, y in zip((one, two), again))
+    assert [len(x) for x in hashing.word_hashes([], 2)[0]] == [0, 0]
+
+
+def test_no_object_for_each_word():
+    """Blocks of texts take arrays of their words, not an object and a table entry for each of them."""
+    text = " ".join(f"{k:x}" for k in range(150_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([text])], ["doc", "tie", "text"])
+    list(R._blocks(iter([batch]), 2, 2))
+    tracemalloc.start()
+    list(R._blocks(iter([batch]), 2, 2))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 25 * len(text)
