@@ -221,23 +221,52 @@ def _across(all_: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
     in any common order; those of one family alone come first and are shared by none.
     Of each shared shingle the members of the family with most of them meet only the
     members of other families, never each other.
+
+    What most members of a family have is looked up once for the family, however many
+    they are, and a member only takes from it, in order, what its prefix has room for.
     """
     often = counts.groupBy("shingle").agg(
         F.sum("f").alias("f"), F.max(F.struct("f", "family"))["family"].alias("main"), F.count(F.lit(1)).alias("families")
     )
-    each = all_.select("node", "part", "family", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    of_node = Window.partitionBy("node")
-    ranked = each.join(often.filter("families > 1"), "shingle").select(
-        "*",
-        F.row_number().over(of_node.orderBy("f", "shingle")).alias("place"),
-        F.count(F.lit(1)).over(of_node).alias("repeated"),
+    often = stored(often.filter("families > 1").drop("families"))
+    # No more shingles than twice the mean of its members' numbers.
+    sizes = all_.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    typical = stored(
+        counts.withColumnRenamed("f", "here").join(often, "shingle").join(sizes, "family").filter("2 * here > size").drop("here", "size")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("f", "shingle")))["shingle"]
+    known = all_.join(typical.groupBy("family").agg(in_order.alias("t")), "family", "left")
+    known = known.withColumn("t", F.coalesce("t", F.array().cast("array<long>"))).select(
+        "node",
+        "part",
+        "family",
+        F.size("shingles").alias("n"),
+        F.array_intersect("t", "shingles").alias("own"),
+        F.array_except("shingles", "t").alias("more"),
     )
+    beyond = known.select("node", "part", "family", "n", F.size("own").alias("owned"), F.explode("more").alias("shingle"))
+    beyond = stored(beyond.join(often, "shingle"))
+    of_node = Window.partitionBy("node")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = stored(
-        ranked.filter(F.col("place") + F.col("n") - F.col("repeated") <= prefix).select(
-            "shingle", "node", "part", "family", "n", "main"
-        )
+    # Places of the prefix that the shingles of one family alone leave.
+    room = (prefix - F.col("n") + F.col("owned") + F.col("met")).cast("int").alias("room")
+    met = beyond.groupBy("node").agg(F.count(F.lit(1)).alias("met"))
+    columns = ["shingle", "node", "part", "family", "n", "main", "f", "room"]
+    taken = (
+        known.withColumn("owned", F.size("own"))
+        .filter("owned > 0")
+        .join(met, "node", "left")
+        .withColumn("met", F.coalesce("met", F.lit(0)))
+        .select("node", "part", "family", "n", "own", room)
+        .filter("room > 0")
+        .select("node", "part", "family", "n", "room", F.explode(F.slice("own", F.lit(1), F.col("room"))).alias("shingle"))
+        .join(typical, ["family", "shingle"])
+    )
+    beyond = beyond.withColumn("met", F.count(F.lit(1)).over(of_node)).withColumn("room", room)
+    ranked = beyond.select(*columns).union(taken.select(*columns)).withColumn(
+        "place", F.row_number().over(of_node.orderBy("f", "shingle"))
     )
+    first = stored(ranked.filter("place <= room").select("shingle", "node", "part", "family", "n", "main"))
     side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("node", "part", "family", "n")]
     left = first.filter("family != main").select("shingle", *side(1))
     met = left.join(first.select("shingle", "main", *side(2)), "shingle").filter(
